@@ -47,6 +47,7 @@ def with_(*names: str, **extra: str) -> str:
     order = list(BASE)
     deps = {"kept_cells": ["cells", "cell_nz"], "cell_nz": ["counts"], "c1": ["counts", "kept_cells"],
             "kept_genes": ["c1"], "c2": ["c1", "kept_genes"], "ln": ["c2"]}
+    deps.update(_DEPS_EXTRA)
     need: set[str] = set()
 
     def add(n):
@@ -118,3 +119,46 @@ def wilcoxon_ctes(layer: str, labels: str, universe: str, strata: str | None = N
                                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS padj
                   FROM w_bh""",
     }
+
+
+BASE.update({
+    "cell_qc": """
+        SELECT c.*, COALESCE(q.n_genes, 0) AS n_genes_by_counts, COALESCE(q.total, 0.0) AS total_counts,
+               COALESCE(q.mt, 0.0) AS total_counts_mt,
+               COALESCE(CASE WHEN q.total > 0 THEN q.mt * 100.0 / q.total END, 0.0) AS pct_counts_mt
+        FROM cells c LEFT JOIN (
+            SELECT x.cell_id, COUNT(*) AS n_genes, SUM(x.value) AS total,
+                   SUM(CASE WHEN g.is_mt THEN x.value ELSE 0.0 END) AS mt
+            FROM counts x JOIN genes g USING (gene_id) WHERE x.value > 0 GROUP BY 1) q USING (cell_id)""",
+    "kept_qc": "SELECT * FROM cell_qc WHERE cell_id IN (SELECT cell_id FROM kept_cells)",
+    "clf_lab": "SELECT cell_id, sample_type AS grp FROM kept_cells",
+    "clf_gsz": "SELECT grp, COUNT(*) AS n FROM clf_lab GROUP BY 1",
+    "clf_gm": """SELECT l.grp AS type, x.gene_id, SUM(x.value) / MAX(s.n) AS w
+                 FROM ln x JOIN clf_lab l USING (cell_id) JOIN clf_gsz s USING (grp) GROUP BY 1, 2""",
+    "clf_icpt": "SELECT type, -0.5 * SUM(w * w) AS b FROM clf_gm GROUP BY 1",
+    "clf_dot": "SELECT x.cell_id, g.type, SUM(x.value * g.w) AS d FROM ln x JOIN clf_gm g USING (gene_id) GROUP BY 1, 2",
+    "clf_dec": """SELECT c.cell_id, i.type, COALESCE(d.d, 0.0) + i.b AS decision
+                  FROM kept_cells c CROSS JOIN clf_icpt i
+                  LEFT JOIN clf_dot d ON d.cell_id = c.cell_id AND d.type = i.type""",
+    "clf_dec2": """SELECT *, MAX(decision) OVER (PARTITION BY cell_id) AS mx,
+                          ROW_NUMBER() OVER (PARTITION BY cell_id ORDER BY decision DESC, type) AS r FROM clf_dec""",
+    "pred": """SELECT cell_id, type AS predicted_celltype, decision,
+                      1.0 / z AS confidence FROM (
+                 SELECT *, SUM(exp(decision - mx)) OVER (PARTITION BY cell_id) AS z FROM clf_dec2) WHERE r = 1""",
+    "ann": """SELECT k.cell_id, k.sample, k.sample_type, k.health_status, k.region, k.sample AS leiden,
+                     k.n_genes_by_counts, k.total_counts, k.pct_counts_mt,
+                     CASE WHEN k.health_status = 'healthy' THEN
+                            CASE WHEN k.sample IN ('0','1') THEN 'B cells'
+                                 WHEN k.sample IN ('2','3') THEN 'T cells' ELSE 'Monocytes' END
+                          ELSE CASE WHEN k.sample IN ('0','1') THEN 'Leukemic B cells'
+                                    WHEN k.sample IN ('2','3') THEN 'Leukemic T cells'
+                                    ELSE 'Leukemic blasts' END END AS rule_cell_type,
+                     p.predicted_celltype AS classifier_cell_type, p.confidence AS classifier_confidence
+              FROM kept_qc k JOIN pred p USING (cell_id)""",
+})
+_DEPS_EXTRA = {
+    "cell_qc": ["cells", "counts", "genes"], "kept_qc": ["cell_qc", "kept_cells"],
+    "clf_lab": ["kept_cells"], "clf_gsz": ["clf_lab"], "clf_gm": ["ln", "clf_lab", "clf_gsz"],
+    "clf_icpt": ["clf_gm"], "clf_dot": ["ln", "clf_gm"], "clf_dec": ["kept_cells", "clf_icpt", "clf_dot"],
+    "clf_dec2": ["clf_dec"], "pred": ["clf_dec2"], "ann": ["kept_qc", "pred"],
+}

@@ -25,3 +25,205 @@ sql("rank_genes_groups", with_(
     seg_lab="SELECT cell_id, sample_type AS grp FROM kept_cells",
     **_seg_de,
 ) + f"SELECT grp AS \"group\", gene_id, {rnd('score', 'logfc', 'pval', 'padj')} FROM de")
+
+# ------------------------------------------------------- P: filters, cleaning
+sql("filter_cells", with_("kept_qc") +
+    f"SELECT cell_id, n_genes_by_counts, {rnd('total_counts', 'pct_counts_mt')} FROM kept_qc")
+sql("filter_genes", with_("kept_genes") + "SELECT gene_id, n_cells FROM kept_genes")
+sql("sample_type_rules", """
+    SELECT cell_id, subtype, CASE WHEN subtype IN ('PBMMC') THEN 'healthy' ELSE 'leukemia' END AS status
+    FROM (SELECT c_custkey AS cell_id,
+                 CASE WHEN starts_with(c_mktsegment, 'AUTO') THEN 'ETV6-RUNX1'
+                      WHEN starts_with(c_mktsegment, 'BUILD') THEN 'PBMMC'
+                      WHEN starts_with(c_mktsegment, 'FURN') THEN 'HHD'
+                      WHEN starts_with(c_mktsegment, 'HOUSE') THEN 'PRE-T' ELSE 'Unknown' END AS subtype
+          FROM customer)""")
+sql("fill_required", "SELECT c_custkey AS cell_id, c_mktsegment AS sample_type, 'unknown' AS sample FROM customer")
+sql("make_unique", with_("genes", g1="""
+        SELECT gene_id, gene_symbol,
+               ROW_NUMBER() OVER (PARTITION BY gene_symbol ORDER BY gene_id) - 1 AS k FROM genes""",
+    g2="""SELECT g1.*, CASE WHEN k = 0 THEN gene_symbol ELSE gene_symbol || '-' || CAST(k AS VARCHAR) END AS cand
+          FROM g1""",
+    g3="""SELECT g2.*, (k > 0 AND cand IN (SELECT gene_symbol FROM genes))::INT AS clash FROM g2""",
+    g4="""SELECT g3.*, SUM(clash) OVER (PARTITION BY gene_symbol ORDER BY gene_id
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bump FROM g3""") +
+    """SELECT gene_id, gene_symbol, CASE WHEN k = 0 THEN gene_symbol
+              ELSE gene_symbol || '-' || CAST(k + bump AS VARCHAR) END AS unique_symbol FROM g4""")
+sql("drop_null_labels", with_("pred", "cells") +
+    "SELECT c.cell_id, p.predicted_celltype FROM cells c JOIN pred p USING (cell_id)")
+sql("subset_cells", with_("counts", "cells") +
+    f"""SELECT cell_id, gene_id, {rnd('value')} FROM counts
+        WHERE cell_id IN (SELECT cell_id FROM cells WHERE health_status = 'healthy')""")
+sql("map_symbols", with_("genes") + """
+    SELECT gene_id, CASE WHEN regexp_full_match(CAST(gene_id AS VARCHAR), '[0-9]+')
+                         THEN 'GENE_' || lpad(CAST(gene_id AS VARCHAR), 4, '0')
+                         ELSE CAST(gene_id AS VARCHAR) END AS mapped_symbol FROM genes""")
+sql("diagnostics", with_("ln", "kept_cells", "kept_genes", d="""
+        SELECT COUNT_IF(isnan(value)) AS n_nan, COUNT_IF(isinf(value)) AS n_inf,
+               COUNT_IF(value < 0) AS n_negative, MIN(value) AS mn, MAX(value) AS mx, SUM(value) AS s,
+               COUNT(*) AS nnz FROM ln""",
+    dims="""SELECT (SELECT COUNT(*) FROM kept_cells) AS nc, (SELECT COUNT(*) FROM kept_genes) AS ng,
+                   (SELECT COUNT(*) FROM kept_cells WHERE cell_id NOT IN
+                       (SELECT cell_id FROM ln WHERE value <> 0)) AS zc,
+                   (SELECT COUNT(*) FROM kept_genes WHERE gene_id NOT IN
+                       (SELECT gene_id FROM ln WHERE value <> 0)) AS zg""") + f"""
+    SELECT n_nan, n_inf, n_negative, zc AS n_zero_cells, zg AS n_zero_genes,
+           round(CASE WHEN nnz < nc * ng THEN LEAST(mn, 0.0) ELSE mn END, 6) AS min_value,
+           round(CASE WHEN nnz < nc * ng THEN GREATEST(mx, 0.0) ELSE mx END, 6) AS max_value,
+           round(s / (nc * ng), 6) AS mean_value FROM d, dims""")
+
+# ----------------------------------------------------------------- J: joins
+sql("concat_samples", with_("counts", "cells") +
+    f"""SELECT c.sample || '_' || CAST(x.cell_id AS VARCHAR) AS cell_id, x.gene_id, {rnd('x.value')}
+        FROM counts x JOIN cells c USING (cell_id) WHERE c.health_status IN ('healthy', 'leukemia')""")
+sql("align_with_reference", with_("cells") +
+    """SELECT cell_id, health_status, health_status = 'healthy' AS is_reference FROM cells
+       WHERE health_status IN ('healthy', 'leukemia')""")
+sql("attach_labels", with_("pred", "cells") +
+    f"""SELECT c.cell_id, COALESCE(p.predicted_celltype, 'Unknown') AS predicted_celltype,
+               round(COALESCE(p.confidence, 0.0), 6) AS confidence
+        FROM cells c LEFT JOIN pred p USING (cell_id)""")
+_DE_CTES = dict(seg_lab="SELECT cell_id, sample_type AS grp FROM kept_cells", **_seg_de)
+sql("existing_markers", with_("ln", "kept_cells", "kept_genes", "genes", **_DE_CTES,
+    t5="""SELECT *, ROW_NUMBER() OVER (PARTITION BY grp ORDER BY score DESC, gene_id) AS r FROM de""") +
+    f"""SELECT gene_id, {rnd('best_score')} FROM (
+          SELECT gene_id, MAX(score) AS best_score FROM t5 WHERE r <= 5
+          AND gene_id IN (SELECT gene_id FROM genes) GROUP BY 1)
+        ORDER BY best_score DESC, gene_id LIMIT 20""")
+
+# ------------------------------------------------------------ A: aggregates
+_PT = (50, 100, 200, 500)
+sql("qc_cells", with_("cell_qc", rk="""
+        SELECT cell_id, value, ROW_NUMBER() OVER (PARTITION BY cell_id ORDER BY value DESC) AS r
+        FROM counts WHERE value > 0""",
+    top="SELECT cell_id, " + ", ".join(f"SUM(CASE WHEN r <= {n} THEN value ELSE 0 END) AS t{n}" for n in _PT)
+        + " FROM rk GROUP BY 1") +
+    "SELECT q.cell_id, q.n_genes_by_counts, round(q.total_counts, 6) AS total_counts, "
+    "round(ln(1 + q.n_genes_by_counts), 6) AS log1p_n_genes_by_counts, "
+    "round(ln(1 + q.total_counts), 6) AS log1p_total_counts, "
+    + ", ".join(f"round(COALESCE(t.t{n} * 100.0 / NULLIF(q.total_counts, 0), 0.0), 6) AS pct_counts_in_top_{n}_genes"
+                for n in _PT)
+    + ", round(q.total_counts_mt, 6) AS total_counts_mt, round(q.pct_counts_mt, 6) AS pct_counts_mt "
+      "FROM cell_qc q LEFT JOIN top t USING (cell_id)")
+sql("qc_genes", with_("counts", "genes", "cells", n="SELECT COUNT(*) AS n FROM cells",
+    pg="SELECT gene_id, COUNT(*) AS nc, SUM(value) AS tot FROM counts WHERE value > 0 GROUP BY 1") +
+    """SELECT g.gene_id, COALESCE(pg.nc, 0) AS n_cells_by_counts,
+              round(COALESCE(pg.tot, 0.0), 6) AS total_counts,
+              round(COALESCE(pg.tot, 0.0) / n.n, 6) AS mean_counts,
+              round(ln(1 + COALESCE(pg.tot, 0.0) / n.n), 6) AS log1p_mean_counts,
+              round((1.0 - COALESCE(pg.nc, 0) / n.n) * 100.0, 6) AS pct_dropout_by_counts,
+              round(ln(1 + COALESCE(pg.tot, 0.0)), 6) AS log1p_total_counts
+       FROM genes g LEFT JOIN pg USING (gene_id) CROSS JOIN n""")
+sql("pct_mt", with_("cell_qc") + f"SELECT cell_id, {rnd('pct_counts_mt')} FROM cell_qc")
+sql("crosstab_counts", with_("ann") +
+    "SELECT rule_cell_type, health_status, COUNT(*) AS count FROM ann GROUP BY 1, 2")
+sql("crosstab_index", with_("ann") +
+    """SELECT leiden, rule_cell_type, count,
+              round(count * 100.0 / SUM(count) OVER (PARTITION BY leiden), 6) AS pct
+       FROM (SELECT leiden, rule_cell_type, COUNT(*) AS count FROM ann GROUP BY 1, 2)""")
+sql("crosstab_columns", with_("ann") +
+    """SELECT classifier_cell_type, sample_type, count,
+              round(count * 100.0 / SUM(count) OVER (PARTITION BY sample_type), 6) AS pct
+       FROM (SELECT classifier_cell_type, sample_type, COUNT(*) AS count FROM ann GROUP BY 1, 2)""")
+sql("crosstab_wide", with_("ann") + "SELECT classifier_cell_type, " + ", ".join(
+    f"COUNT_IF(region = '{r}') AS \"{r}\"" for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"))
+    + " FROM ann GROUP BY 1")
+sql("cell_types_by_condition", with_("ann") +
+    """SELECT rule_cell_type, healthy, leukemia, total_cells,
+              round(healthy * 100.0 / total_cells, 6) AS healthy_pct,
+              round(leukemia * 100.0 / total_cells, 6) AS leukemia_pct
+       FROM (SELECT rule_cell_type, COUNT_IF(health_status = 'healthy') AS healthy,
+                    COUNT_IF(health_status = 'leukemia') AS leukemia,
+                    COUNT_IF(health_status IN ('healthy', 'leukemia')) AS total_cells
+             FROM ann GROUP BY 1)""")
+sql("value_counts", with_("ann") +
+    """SELECT classifier_cell_type, COUNT(*) AS count,
+              round(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM ann), 6) AS percent FROM ann GROUP BY 1""")
+sql("describe_metrics", with_("ann") + " UNION ALL ".join(
+    f"""SELECT '{c}' AS metric, COUNT({c}) AS count, round(AVG({c}), 6) AS mean,
+               round(STDDEV_SAMP({c}), 6) AS std, round(MIN({c})::DOUBLE, 6) AS min,
+               round(MAX({c})::DOUBLE, 6) AS max, round(MEDIAN({c})::DOUBLE, 6) AS median FROM ann"""
+    for c in ("total_counts", "n_genes_by_counts")))
+sql("confidence_summary", with_("ann") +
+    """SELECT classifier_cell_type, COUNT(classifier_confidence) AS count,
+              round(AVG(classifier_confidence), 3) AS mean, round(STDDEV_SAMP(classifier_confidence), 3) AS std
+       FROM ann GROUP BY 1""")
+sql("annotation_quality", with_("ann", lng="""
+        SELECT 'rule' AS method, rule_cell_type AS cell_type, NULL::DOUBLE AS conf FROM ann
+        UNION ALL SELECT 'classifier', classifier_cell_type, classifier_confidence FROM ann""",
+    per="""SELECT method, COUNT(DISTINCT cell_type) AS n_cell_types, COUNT(*) AS n_cells,
+                  AVG(conf) AS mean_confidence,
+                  AVG(CASE WHEN conf IS NULL THEN NULL ELSE (conf > 0.7)::DOUBLE END) * 100.0 AS hc
+           FROM lng GROUP BY 1""",
+    dom="""SELECT method, cell_type, n FROM (
+              SELECT method, cell_type, COUNT(*) AS n,
+                     ROW_NUMBER() OVER (PARTITION BY method ORDER BY COUNT(*) DESC, cell_type) AS r
+              FROM lng GROUP BY 1, 2) WHERE r = 1""") +
+    """SELECT p.method, p.n_cell_types, p.n_cells, round(p.mean_confidence, 6) AS mean_confidence,
+              round(p.hc, 6) AS high_confidence_pct, d.cell_type AS dominant_cell_type,
+              round(d.n * 100.0 / p.n_cells, 6) AS dominant_pct
+       FROM per p JOIN dom d USING (method)""")
+sql("sparsity", with_("counts", "cells", "genes") +
+    """SELECT (SELECT COUNT(*) FROM cells) AS n_cells, (SELECT COUNT(*) FROM genes) AS n_genes,
+              (SELECT COUNT(*) FROM counts WHERE value <> 0) AS nnz,
+              round(1.0 - (SELECT COUNT(*) FROM counts WHERE value <> 0)
+                          / ((SELECT COUNT(*) FROM cells) * (SELECT COUNT(*) FROM genes)), 6) AS sparsity""")
+sql("data_validation", with_("cell_qc", "genes") + """
+    SELECT section, key, round(value, 6) AS value FROM (
+      SELECT 'matrix' AS section, 'n_cells' AS key, (SELECT COUNT(*) FROM cells)::DOUBLE AS value
+      UNION ALL SELECT 'matrix', 'n_genes', (SELECT COUNT(*) FROM genes)::DOUBLE
+      UNION ALL SELECT 'matrix', 'total_counts', (SELECT SUM(value) FROM counts WHERE value <> 0)
+      UNION ALL SELECT 'matrix', 'sparsity', 1.0 - (SELECT COUNT(*) FROM counts WHERE value <> 0)
+                 / ((SELECT COUNT(*) FROM cells) * (SELECT COUNT(*) FROM genes))
+      UNION ALL SELECT 'counts_per_cell', 'mean', AVG(total_counts) FROM cell_qc
+      UNION ALL SELECT 'counts_per_cell', 'median', MEDIAN(total_counts) FROM cell_qc
+      UNION ALL SELECT 'counts_per_cell', 'min', MIN(total_counts) FROM cell_qc
+      UNION ALL SELECT 'counts_per_cell', 'max', MAX(total_counts) FROM cell_qc
+      UNION ALL SELECT 'genes_per_cell', 'mean', AVG(n_genes_by_counts) FROM cell_qc
+      UNION ALL SELECT 'genes_per_cell', 'median', MEDIAN(n_genes_by_counts)::DOUBLE FROM cell_qc
+      UNION ALL SELECT 'genes_per_cell', 'min', MIN(n_genes_by_counts)::DOUBLE FROM cell_qc
+      UNION ALL SELECT 'genes_per_cell', 'max', MAX(n_genes_by_counts)::DOUBLE FROM cell_qc
+      UNION ALL SELECT 'sample', sample, COUNT(*)::DOUBLE FROM cell_qc GROUP BY sample
+      UNION ALL SELECT 'sample_type', sample_type, COUNT(*)::DOUBLE FROM cell_qc GROUP BY sample_type
+      UNION ALL SELECT 'health_status', health_status, COUNT(*)::DOUBLE FROM cell_qc GROUP BY health_status)""")
+sql("before_after_report", with_("cells", "genes", "kept_cells", "kept_genes", ba="""
+        SELECT 'cells' AS axis, (SELECT COUNT(*) FROM cells) AS before, (SELECT COUNT(*) FROM kept_cells) AS after
+        UNION ALL SELECT 'genes', (SELECT COUNT(*) FROM genes), (SELECT COUNT(*) FROM kept_genes)""") +
+    """SELECT axis, before, after, before - after AS removed,
+              round(COALESCE((before - after) * 100.0 / NULLIF(before, 0), 0.0), 6) AS pct_removed FROM ba""")
+sql("reference_summary", with_("ann") +
+    """SELECT COUNT(*) AS total_healthy_cells, COUNT(DISTINCT sample) AS healthy_samples,
+              COUNT(DISTINCT leiden) AS healthy_clusters,
+              array_to_string(list_sort(list_distinct(list(rule_cell_type))), ', ') AS healthy_cell_types,
+              round(AVG(total_counts), 6) AS mean_counts_per_healthy_cell,
+              round(AVG(n_genes_by_counts), 6) AS mean_genes_per_healthy_cell
+       FROM ann WHERE health_status = 'healthy'""")
+sql("integration_summary", with_("ann") +
+    """SELECT health_status, COUNT(*) AS n_cells, round(AVG(total_counts), 6) AS mean_total_counts,
+              round(AVG(n_genes_by_counts), 6) AS mean_n_genes, round(AVG(pct_counts_mt), 6) AS mean_pct_mt,
+              round(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM ann), 6) AS percent
+       FROM ann GROUP BY 1""")
+sql("group_mean_expression", with_("ln", "kept_cells", lab="SELECT cell_id, sample_type AS grp FROM kept_cells",
+    sz="SELECT grp, COUNT(*) AS n_cells FROM lab GROUP BY 1") +
+    """SELECT l.grp AS "group", x.gene_id, round(SUM(x.value) / MAX(sz.n_cells), 6) AS mean_expression,
+              round(COUNT(*) / MAX(sz.n_cells), 6) AS frac_expressing, MAX(sz.n_cells) AS n_cells
+       FROM ln x JOIN lab l USING (cell_id) JOIN sz USING (grp) WHERE x.value <> 0 GROUP BY 1, 2""")
+sql("histogram", with_("ann", r="""SELECT CASE WHEN MIN(total_counts) = MAX(total_counts) THEN MIN(total_counts) - 0.5
+                                           ELSE MIN(total_counts) END AS lo,
+                                      CASE WHEN MIN(total_counts) = MAX(total_counts) THEN MAX(total_counts) + 0.5
+                                           ELSE MAX(total_counts) END AS hi FROM ann""") +
+    """SELECT bin, COUNT(*) AS count, round(MAX(lo + (hi - lo) * bin / 30), 6) AS lower,
+              round(MAX(lo + (hi - lo) * (bin + 1) / 30), 6) AS upper
+       FROM (SELECT LEAST(29, CAST(floor((total_counts - lo) * 30 / (hi - lo)) AS INTEGER)) AS bin, lo, hi
+             FROM ann, r WHERE total_counts IS NOT NULL) GROUP BY 1""")
+sql("box_stats", with_("ann") +
+    """SELECT sample_type, COUNT(total_counts) AS n, round(MIN(total_counts), 6) AS min,
+              round(quantile_cont(total_counts, 0.25), 6) AS q1, round(quantile_cont(total_counts, 0.5), 6) AS median,
+              round(quantile_cont(total_counts, 0.75), 6) AS q3, round(MAX(total_counts), 6) AS max
+       FROM ann GROUP BY 1""")
+
+sql("markers_top10_flagged", with_("ln", "kept_cells", "kept_genes", **_DE_CTES,
+    top="""SELECT *, COALESCE(padj < 0.05 AND logfc > 0.5, FALSE) AS significant,
+                  ROW_NUMBER() OVER (PARTITION BY grp ORDER BY score DESC, gene_id) AS rank FROM de""") +
+    f"SELECT grp AS \"group\", gene_id, {rnd('score', 'logfc', 'pval', 'padj')}, significant, rank "
+    "FROM top WHERE rank <= 10")

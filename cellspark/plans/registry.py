@@ -64,9 +64,335 @@ def q_markers_top10(spark, sf_dir):
     return rounded(top.select("group", "gene_id", "score", "logfc", "pval", "padj", "rank"))
 
 
+@register("markers_top10_flagged")
+def q_markers_top10_flagged(spark, sf_dir):
+    """D1 + D4 + D6 + D5 (flag variant): top 10 genes per segment by score
+    with ``significant`` = padj < 0.05 and logfc > 0.5."""
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    de = DE.rank_genes(ln, kept_cells, "sample_type", genes=kept_genes.select("gene_id"))
+    top = DE.top_markers(DE.significant(de, 0.05, 0.5, flag="significant"), 10)
+    return rounded(top.select("group", "gene_id", "score", "logfc", "pval", "padj", "significant", "rank"))
+
+
 @register("rank_genes_groups")
 def q_rank_genes_groups(spark, sf_dir):
     """D1 + D4: Wilcoxon group-vs-rest for every (segment, gene), BH-adjusted."""
     b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
     de = DE.rank_genes(ln, kept_cells, "sample_type", genes=kept_genes.select("gene_id"))
     return rounded(de.select("group", "gene_id", "score", "logfc", "pval", "padj"))
+
+
+# ------------------------------------------------------------------ shared
+
+from ..operators import aggregates as AG  # noqa: E402
+from ..operators import cleaning as CL  # noqa: E402
+from ..operators import enrich as EN  # noqa: E402
+from ..operators import graph as GR  # noqa: E402
+from ..operators import joins as JN  # noqa: E402
+from ..operators import labels as LB  # noqa: E402
+from ..operators import reference as RF  # noqa: E402
+
+ANN_COLS = ["cell_id", "sample", "sample_type", "health_status", "region", "leiden",
+            "n_genes_by_counts", "total_counts", "pct_counts_mt", "rule_cell_type",
+            "classifier_cell_type", "classifier_confidence"]
+
+
+def _classifier(ln, kept_cells):
+    """L1 on the stand-in: nearest-centroid model of the segments."""
+    coef, icpt = LB.centroid_model(ln, kept_cells, "sample_type")
+    return LB.classify_cells(ln, kept_cells, coef, icpt, prob="softmax")
+
+
+def _ann(spark, sf_dir):
+    """Kept cells with a cluster column (leiden = nation), the rule labels
+    (L6) and the classifier's label and confidence (L1)."""
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    pred = _classifier(ln, kept_cells)
+    ann = (kept_cells.withColumn("leiden", F.col("sample"))
+           .withColumn("rule_cell_type", LB.rule_labels("leiden", "health_status"))
+           .join(pred.select("cell_id", F.col("predicted_celltype").alias("classifier_cell_type"),
+                             F.col("confidence").alias("classifier_confidence")), "cell_id"))
+    return PL.materialize(ann.select(*ANN_COLS)), (b, kept_cells, kept_genes, c2, ln)
+
+
+def _de(spark, sf_dir):
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    de = DE.rank_genes(ln, kept_cells, "sample_type", genes=kept_genes.select("gene_id"))
+    return PL.materialize(de), (b, kept_cells, kept_genes, c2, ln)
+
+
+def _str_array(c):
+    return F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+
+
+# ------------------------------------------------------- P: filters, cleaning
+
+@register("filter_cells")
+def q_filter_cells(spark, sf_dir):
+    """P5: cells with >= 20 genes (stand-in threshold), with their QC."""
+    _, kept_cells, _, _, _ = _prep(spark, sf_dir)
+    return rounded(kept_cells.select("cell_id", "n_genes_by_counts", "total_counts", "pct_counts_mt"))
+
+
+@register("filter_genes")
+def q_filter_genes(spark, sf_dir):
+    """Genes in >= 3 of the kept cells."""
+    _, _, kept_genes, _, _ = _prep(spark, sf_dir)
+    return kept_genes.select("gene_id", "n_cells")
+
+
+SEGMENT_RULES = (("AUTO", "ETV6-RUNX1"), ("BUILD", "PBMMC"), ("FURN", "HHD"), ("HOUSE", "PRE-T"))
+
+
+@register("sample_type_rules")
+def q_sample_type_rules(spark, sf_dir):
+    """P1 + P2: subtype by name prefix (rule list as a parameter: segment
+    prefixes stand for sample names) and the derived health status."""
+    c = SI.read_table(spark, sf_dir, "customer")
+    st = CL.sample_type_of("c_mktsegment", SEGMENT_RULES)
+    return (c.select(F.col("c_custkey").alias("cell_id"), st.alias("subtype"))
+            .withColumn("status", CL.health_status_of("subtype")))
+
+
+@register("fill_required")
+def q_fill_required(spark, sf_dir):
+    """A cell table without ``sample`` gets it as 'unknown'."""
+    c = SI.read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("cell_id"), F.col("c_mktsegment").alias("sample_type"))
+    return CL.fill_required(c)
+
+
+@register("make_unique")
+def q_make_unique(spark, sf_dir):
+    """Gene symbols (p_name, 64 distinct) made unique in gene order."""
+    g = SI.standin_genes(spark, sf_dir)
+    return CL.make_unique(g, "gene_symbol", "gene_id", "unique_symbol").select("gene_id", "gene_symbol", "unique_symbol")
+
+
+@register("drop_null_labels")
+def q_drop_null_labels(spark, sf_dir):
+    """All cells with the classifier label (null for filtered cells),
+    null labels dropped."""
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    pred = _classifier(ln, kept_cells)
+    allc = b.cells.join(pred.select("cell_id", "predicted_celltype"), "cell_id", "left")
+    return CL.drop_null_labels(allc, "predicted_celltype").select("cell_id", "predicted_celltype")
+
+
+@register("subset_genes")
+def q_subset_genes(spark, sf_dir):
+    """The log layer restricted to the 200 HVGs."""
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    hvg = NZ.highly_variable_genes(ln, kept_cells, kept_genes.select("gene_id"), P["n_top_genes"])
+    return rounded(NZ.subset_genes(ln, hvg))
+
+
+@register("subset_cells")
+def q_subset_cells(spark, sf_dir):
+    """Counts of healthy cells."""
+    b = _bundle(spark, sf_dir)
+    counts, _ = CL.subset_cells(b.counts, b.cells, F.col("health_status") == "healthy")
+    return rounded(counts)
+
+
+@register("map_symbols")
+def q_map_symbols(spark, sf_dir):
+    """Numeric ids -> GENE_%04d placeholders (no mapping table)."""
+    g = SI.standin_genes(spark, sf_dir)
+    return CL.map_symbols(g, None).select("gene_id", "mapped_symbol")
+
+
+@register("diagnostics")
+def q_diagnostics(spark, sf_dir):
+    """Defect report of the log-normalised layer."""
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    return rounded(QC.diagnostics(ln, kept_cells, kept_genes))
+
+
+# ----------------------------------------------------------------- J: joins
+
+@register("concat_samples")
+def q_concat_samples(spark, sf_dir):
+    """Healthy and leukemia halves concatenated with sample-keyed ids."""
+    b = _bundle(spark, sf_dir)
+    parts = []
+    for status in ("healthy", "leukemia"):
+        cells = b.cells.where(F.col("health_status") == status)
+        counts = b.counts.join(cells.select("cell_id"), "cell_id", "left_semi")
+        parts.append((counts, cells, b.genes))
+    counts, cells, genes = JN.concat_samples(parts, key_cells_by_sample=True)
+    return rounded(counts)
+
+
+@register("align_with_reference")
+def q_align_with_reference(spark, sf_dir):
+    """Leukemia cells as query, healthy as reference, flagged."""
+    b = _bundle(spark, sf_dir)
+    side = lambda s: (b.counts.join(b.cells.where(F.col("health_status") == s).select("cell_id"), "cell_id",
+                                    "left_semi"), b.cells.where(F.col("health_status") == s), b.genes)
+    _, cells, _ = JN.align_with_reference(side("leukemia"), side("healthy"))
+    return cells.select("cell_id", "health_status", "is_reference")
+
+
+@register("attach_labels")
+def q_attach_labels(spark, sf_dir):
+    """Every cell gets the classifier label, 'Unknown'/0 when filtered."""
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    pred = _classifier(ln, kept_cells)
+    out = JN.attach_labels(b.cells, pred, "predicted_celltype", "confidence")
+    return rounded(out.select("cell_id", "predicted_celltype", "confidence"))
+
+
+@register("existing_markers")
+def q_existing_markers(spark, sf_dir):
+    """Best 20 of the per-segment top-5 genes present in the genes table."""
+    de, (b, *_r) = _de(spark, sf_dir)
+    return rounded(DE.existing_markers(de, b.genes, 20, 5))
+
+
+# ------------------------------------------------------------ A: aggregates
+
+@register("qc_cells")
+def q_qc_cells(spark, sf_dir):
+    """A1: per-cell QC metrics for every cell (zeros for empty cells)."""
+    b = _bundle(spark, sf_dir)
+    q = QC.qc_cells(b.counts, b.cells, b.genes)
+    return rounded(q.select("cell_id", "n_genes_by_counts", "total_counts", "log1p_n_genes_by_counts",
+                            "log1p_total_counts", *[f"pct_counts_in_top_{n}_genes" for n in QC.PERCENT_TOP],
+                            "total_counts_mt", "pct_counts_mt"))
+
+
+@register("qc_genes")
+def q_qc_genes(spark, sf_dir):
+    """A2: per-gene QC metrics for every gene."""
+    b = _bundle(spark, sf_dir)
+    q = QC.qc_genes(b.counts, b.genes, b.cells)
+    return rounded(q.select("gene_id", "n_cells_by_counts", "total_counts", "mean_counts", "log1p_mean_counts",
+                            "pct_dropout_by_counts", "log1p_total_counts"))
+
+
+@register("pct_mt")
+def q_pct_mt(spark, sf_dir):
+    """A3: percent of counts in the 'mito' genes (Brand#1 parts)."""
+    b = _bundle(spark, sf_dir)
+    return rounded(QC.pct_mt(b.counts, b.genes, b.cells))
+
+
+@register("crosstab_counts")
+def q_crosstab_counts(spark, sf_dir):
+    """A4: rule label x health status counts."""
+    ann, _ = _ann(spark, sf_dir)
+    return AG.crosstab(ann, "rule_cell_type", "health_status")
+
+
+@register("crosstab_index")
+def q_crosstab_index(spark, sf_dir):
+    """A4 normalize='index': cluster x rule label, percent of the cluster."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(AG.crosstab(ann, "leiden", "rule_cell_type", "index"))
+
+
+@register("crosstab_columns")
+def q_crosstab_columns(spark, sf_dir):
+    """A4 normalize='columns': classifier label x segment, percent of segment."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(AG.crosstab(ann, "classifier_cell_type", "sample_type", "columns"))
+
+
+@register("crosstab_wide")
+def q_crosstab_wide(spark, sf_dir):
+    """A4 as a zero-filled matrix: classifier label x region."""
+    ann, _ = _ann(spark, sf_dir)
+    return AG.crosstab_wide(ann, "classifier_cell_type", "region")
+
+
+@register("cell_types_by_condition")
+def q_cell_types_by_condition(spark, sf_dir):
+    """A5: rule labels by health status with totals and row percents."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(AG.cell_types_by_condition(ann, "rule_cell_type", "health_status", ["healthy", "leukemia"]))
+
+
+@register("value_counts")
+def q_value_counts(spark, sf_dir):
+    """Classifier label counts and percent."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(AG.value_counts(ann, "classifier_cell_type"))
+
+
+@register("describe_metrics")
+def q_describe_metrics(spark, sf_dir):
+    """Mean / std / min / max / median of counts and genes per cell."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(AG.describe_metrics(ann, ["total_counts", "n_genes_by_counts"]))
+
+
+@register("confidence_summary")
+def q_confidence_summary(spark, sf_dir):
+    """Per predicted type count / mean / std of confidence (3 places)."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(AG.confidence_summary(ann, "classifier_cell_type", "classifier_confidence"))
+
+
+@register("annotation_quality")
+def q_annotation_quality(spark, sf_dir):
+    """Quality of the rule and classifier labellings."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(AG.annotation_quality(ann, ["rule", "classifier"]))
+
+
+@register("sparsity")
+def q_sparsity(spark, sf_dir):
+    """A10: 1 - nnz / (cells x genes) of the raw matrix."""
+    b = _bundle(spark, sf_dir)
+    return rounded(QC.sparsity(b.counts, b.cells, b.genes))
+
+
+@register("data_validation")
+def q_data_validation(spark, sf_dir):
+    """The validation report of the raw matrix as (section, key, value)."""
+    b = _bundle(spark, sf_dir)
+    q = QC.qc_cells(b.counts, b.cells, b.genes, percent_top=())
+    return rounded(AG.data_validation(b.counts, q, b.genes))
+
+
+@register("before_after_report")
+def q_before_after_report(spark, sf_dir):
+    """Cells and genes before and after filtering."""
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    return rounded(QC.before_after_report(b.cells, b.genes, kept_cells, kept_genes))
+
+
+@register("reference_summary")
+def q_reference_summary(spark, sf_dir):
+    """Summary of the healthy cells."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(AG.reference_summary(ann, cluster_col="leiden", type_col="rule_cell_type"))
+
+
+@register("integration_summary")
+def q_integration_summary(spark, sf_dir):
+    """Per health status counts, percent and mean QC metrics."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(AG.integration_summary(ann))
+
+
+@register("group_mean_expression")
+def q_group_mean_expression(spark, sf_dir):
+    """Per segment and gene mean log expression and fraction expressing."""
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    return rounded(DE.group_means(ln, kept_cells, "sample_type"))
+
+
+@register("histogram")
+def q_histogram(spark, sf_dir):
+    """30 equal-width bins of counts per cell."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(AG.histogram(ann, "total_counts", 30))
+
+
+@register("box_stats")
+def q_box_stats(spark, sf_dir):
+    """Quartiles of counts per cell by segment."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(AG.box_stats(ann, "total_counts", "sample_type"))
