@@ -199,10 +199,11 @@ def scale(layer: DataFrame, cells: DataFrame, max_value: float | None = 10.0):
     return scaled, stats
 
 
-def dense_vectors(scaled: DataFrame, gene_stats: DataFrame, genes_order: DataFrame | None = None,
+def dense_vectors(scaled: DataFrame, gene_stats: DataFrame, cells: DataFrame | None = None,
                   max_genes: int = 5000) -> DataFrame:
     """(cell_id, vec ARRAY<DOUBLE>) over the genes of ``gene_stats`` in
-    gene_id order, filling absent entries with each gene's ``zero_value``.
+    gene_id order, filling absent entries with each gene's ``zero_value``;
+    with ``cells`` every listed cell gets a vector, even with no entry.
 
     Only for small gene panels (HVGs): the number of genes is checked
     against ``max_genes`` before a per-cell array of that length is built.
@@ -210,11 +211,14 @@ def dense_vectors(scaled: DataFrame, gene_stats: DataFrame, genes_order: DataFra
     """
     idx = gene_stats.select("gene_id", "zero_value").withColumn(
         "idx", (F.row_number().over(Window.orderBy("gene_id")) - 1).cast("int"))
-    n_genes = idx.count()
-    if n_genes > max_genes:
-        raise ValueError(f"{n_genes} genes exceed max_genes={max_genes} for dense vectors")
-    zeros = idx.select(F.array_sort(F.collect_list(F.struct("idx", "zero_value")))).scalar()
+    rows = idx.orderBy("idx").limit(max_genes + 1).collect()
+    if len(rows) > max_genes:
+        raise ValueError(f"more than max_genes={max_genes} genes for dense vectors")
+    # the panel's zero values are model parameters of bounded length: a literal
+    zeros = F.array(*[F.lit(float(r["zero_value"])) for r in rows])
     per_cell = (scaled.join(idx.select("gene_id", "idx"), "gene_id")
                 .groupBy("cell_id").agg(F.map_from_entries(F.collect_list(F.struct("idx", "value"))).alias("_m")))
-    vec = F.transform(zeros, lambda z: F.coalesce(F.element_at(F.col("_m"), z["idx"]), z["zero_value"]))
+    vec = F.transform(zeros, lambda z, i: F.coalesce(F.element_at(F.col("_m"), i), z))
+    if cells is not None:
+        per_cell = cells.select("cell_id").join(per_cell, "cell_id", "left")
     return per_cell.select("cell_id", vec.alias("vec"))

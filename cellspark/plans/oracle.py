@@ -74,7 +74,6 @@ def wilcoxon_ctes(layer: str, labels: str, universe: str, strata: str | None = N
     result CTE ``de`` has [st,] grp, gene_id, score, logfc, pval, padj.
     """
     st = "st, " if strata else ""
-    st_on = "AND a.st = b.st " if strata else ""
     part = "PARTITION BY st, gene_id" if strata else "PARTITION BY gene_id"
     p_sql = erfc_sql(f"(abs(score)/{math.sqrt(2.0)!r})")
     return {
@@ -91,11 +90,13 @@ def wilcoxon_ctes(layer: str, labels: str, universe: str, strata: str | None = N
         "w_gs": f"""SELECT a.{st}a.gene_id, a.grp, SUM(t.n - a.nnz_gene + a.rk_min + (a.ties - 1) / 2.0) AS r_nz,
                        COUNT(*) AS nnz, SUM(a.value) AS vsum
                     FROM w_rk a JOIN w_tot t ON TRUE {'AND a.st = t.st' if strata else ''}
-                    GROUP BY ALL""".replace("a.st, a.gene_id", "a.st, a.gene_id") if strata else
+                    GROUP BY ALL""" if strata else
                 f"""SELECT a.gene_id, a.grp, SUM(t.n - a.nnz_gene + a.rk_min + (a.ties - 1) / 2.0) AS r_nz,
                        COUNT(*) AS nnz, SUM(a.value) AS vsum
                     FROM w_rk a CROSS JOIN w_tot t GROUP BY ALL""",
-        "w_gt": f"SELECT {st}gene_id, COUNT(*) AS nnz_gene, SUM(value) AS vsum_gene FROM w_x GROUP BY ALL",
+        # gene totals as sums of the group sums: when only one group has
+        # nonzeros, total - group sum is then exactly 0
+        "w_gt": f"SELECT {st}gene_id, SUM(nnz) AS nnz_gene, SUM(vsum) AS vsum_gene FROM w_gs GROUP BY ALL",
         "w_grid": (f"""SELECT u.gene_id, s.st, s.grp, s.n1, t.n - s.n1 AS n2 FROM {universe} u
                        CROSS JOIN w_sizes s JOIN w_tot t ON s.st = t.st WHERE t.n - s.n1 > 0""" if strata else
                    f"""SELECT u.gene_id, s.grp, s.n1, t.n - s.n1 AS n2 FROM {universe} u

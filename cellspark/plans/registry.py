@@ -396,3 +396,341 @@ def q_box_stats(spark, sf_dir):
     """Quartiles of counts per cell by segment."""
     ann, _ = _ann(spark, sf_dir)
     return rounded(AG.box_stats(ann, "total_counts", "sample_type"))
+
+
+# ----------------------------------------------- N: normalise, HVG, scaling
+
+@register("normalize_log")
+def q_normalize_log(spark, sf_dir):
+    """N1 + N2: counts scaled to 1e4 per cell, then log1p."""
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    return rounded(ln)
+
+
+def _hvg(spark, sf_dir):
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    hvg = PL.materialize(NZ.highly_variable_genes(ln, kept_cells, kept_genes.select("gene_id"), P["n_top_genes"]))
+    return hvg, (b, kept_cells, kept_genes, c2, ln)
+
+
+@register("hvg_seurat")
+def q_hvg_seurat(spark, sf_dir):
+    """Seurat-flavour dispersions, normalised per mean bin, top 200."""
+    hvg, _ = _hvg(spark, sf_dir)
+    return rounded(hvg)
+
+
+@register("hvg_seurat_v3")
+def q_hvg_seurat_v3(spark, sf_dir):
+    """seurat_v3-flavour variance of standardised clipped counts."""
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    return rounded(NZ.highly_variable_genes_v3(c2, kept_cells, kept_genes.select("gene_id"), P["n_top_genes"]))
+
+
+@register("scale")
+def q_scale(spark, sf_dir):
+    """Stored entries of the HVG layer scaled to unit variance, clipped."""
+    hvg, (b, kept_cells, kept_genes, c2, ln) = _hvg(spark, sf_dir)
+    scaled, stats = NZ.scale(NZ.subset_genes(ln, hvg), kept_cells, 10.0)
+    return rounded(scaled)
+
+
+@register("scale_gene_stats")
+def q_scale_gene_stats(spark, sf_dir):
+    """Per HVG mean, std and the scaled value of an absent entry."""
+    hvg, (b, kept_cells, kept_genes, c2, ln) = _hvg(spark, sf_dir)
+    scaled, stats = NZ.scale(NZ.subset_genes(ln, hvg), kept_cells, 10.0)
+    return rounded(stats)
+
+
+@register("preprocess")
+def q_preprocess(spark, sf_dir):
+    """The whole preprocessing chain; one summary row."""
+    b = _bundle(spark, sf_dir)
+    pp = PL.preprocess(b.counts, b.cells, b.genes, min_genes=P["min_genes"], min_cells=P["min_cells"],
+                       n_top_genes=P["n_top_genes"], max_pct_mt=None)
+    f = pp.filtered
+    return (pp.scaled.agg(F.count(F.lit(1)).alias("n_scaled_entries"))
+            .select(QC._n_rows(f.cells).alias("n_cells"), QC._n_rows(f.genes).alias("n_genes"),
+                    QC._n_rows(pp.gene_stats).alias("n_hvg"), "n_scaled_entries"))
+
+
+# ------------------------------------------------------------- L: labels
+
+@register("classify_cells")
+def q_classify_cells(spark, sf_dir):
+    """L1: nearest-centroid linear model of the segments, softmax confidence."""
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    return rounded(_classifier(ln, kept_cells))
+
+
+@register("majority_vote")
+def q_majority_vote(spark, sf_dir):
+    """L2: each cell takes its cluster's modal classifier label."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(LB.majority_vote(ann, "classifier_cell_type", "leiden")
+                   .select("cell_id", "leiden", "majority_label", "majority_label_score"))
+
+
+def _emb_knn(spark, sf_dir, k):
+    emb = SI.standin_embeddings(spark, sf_dir)
+    return emb, PL.materialize(GR.knn(emb.select("cell_id", "vec"), k=k))
+
+
+@register("transfer_labels_knn")
+def q_transfer_labels_knn(spark, sf_dir):
+    """L3: every embedded cell labelled by a vote of its 15 nearest others."""
+    emb, edges = _emb_knn(spark, sf_dir, P["n_neighbors"])
+    return rounded(LB.transfer_labels_knn(edges, emb.select("cell_id", "label"), "label"))
+
+
+@register("transfer_labels_corr")
+def q_transfer_labels_corr(spark, sf_dir):
+    """L4: Spearman correlation with segment mean profiles, argmax."""
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    gm = DE.group_means(ln, kept_cells, "sample_type")
+    types = [r[0] for r in kept_cells.select("sample_type").distinct().collect()]
+    grid = kept_genes.select("gene_id", F.explode(F.array(*[F.lit(t) for t in sorted(types)])).alias("type"))
+    prof = (grid.join(gm.select(F.col("group").alias("type"), "gene_id", "mean_expression"), ["type", "gene_id"], "left")
+            .fillna({"mean_expression": 0.0}))
+    return rounded(LB.transfer_labels_corr(ln, kept_cells, prof, kept_genes.select("gene_id")))
+
+
+@register("first_available")
+def q_first_available(spark, sf_dir):
+    """Classifier label where the cell was kept, else the rule label."""
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    pred = _classifier(ln, kept_cells)
+    cells = (b.cells.withColumn("rule", LB.rule_labels("sample", "health_status"))
+             .join(pred.select("cell_id", F.col("predicted_celltype").alias("classifier")), "cell_id", "left"))
+    return LB.first_available(cells, ["classifier", "rule"]).select("cell_id", "celltype", "method")
+
+
+@register("rule_labels")
+def q_rule_labels(spark, sf_dir):
+    """Cluster (nation) x health status -> six labels."""
+    cells = SI.standin_cells(spark, sf_dir)
+    return cells.select("cell_id", LB.rule_labels("sample", "health_status").alias("rule_cell_type"))
+
+
+@register("compare_labels")
+def q_compare_labels(spark, sf_dir):
+    """ARI and NMI of classifier labels against the segments."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(LB.compare_labels(ann, "sample_type", "classifier_cell_type"))
+
+
+@register("per_type_accuracy")
+def q_per_type_accuracy(spark, sf_dir):
+    """Per label agreement of the classifier with the segments."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(LB.per_type_accuracy(ann, "sample_type", "classifier_cell_type"))
+
+
+@register("confidence_filter")
+def q_confidence_filter(spark, sf_dir):
+    """Cells with classifier confidence > 0.7."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(LB.confidence_filter(ann, "classifier_confidence", 0.7)
+                   .select("cell_id", "classifier_cell_type", "classifier_confidence"))
+
+
+# -------------------------------------------------- R: reference comparison
+
+@register("abnormal_clusters_ratio")
+def q_abnormal_clusters_ratio(spark, sf_dir):
+    """Every cluster's composition, abnormal when leukemia share > 0.8."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(RF.abnormal_clusters_ratio(ann, "leiden", type_col="rule_cell_type"))
+
+
+@register("abnormal_clusters_percent")
+def q_abnormal_clusters_percent(spark, sf_dir):
+    """R2: clusters with > 50 % leukemia cells and their dominant segment."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(RF.abnormal_clusters_percent(ann, "leiden"))
+
+
+@register("abnormal_clusters_with_types")
+def q_abnormal_clusters_with_types(spark, sf_dir):
+    """R2 plus the dominant classifier label and its percent."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(RF.abnormal_clusters_with_types(ann, "classifier_cell_type", "leiden"))
+
+
+@register("cluster_composition")
+def q_cluster_composition(spark, sf_dir):
+    """Dominant and second classifier label per cluster."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(RF.cluster_composition(ann, "classifier_cell_type", "leiden", "classifier"))
+
+
+@register("composition_by_sample")
+def q_composition_by_sample(spark, sf_dir):
+    """Rule-label composition of each segment (row %)."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(RF.composition_by_sample(ann, "rule_cell_type", "sample_type"))
+
+
+# ------------------------------------------------ D: differential expression
+
+@register("rank_genes_vs_reference")
+def q_rank_genes_vs_reference(spark, sf_dir):
+    """D2 (+ D5 flag): each abnormal cluster of R1 against the healthy cells
+    outside it; ranks over the two sides only."""
+    ann, (b, kept_cells, kept_genes, c2, ln) = _ann(spark, sf_dir)
+    r1 = RF.abnormal_clusters_ratio(ann, "leiden", type_col=None)
+    clusters = [r[0] for r in r1.where("is_abnormal").select("leiden").collect()]  # <= number of clusters
+    de = DE.rank_clusters_vs_healthy(ln, ann, "leiden", clusters, genes=kept_genes.select("gene_id"))
+    return rounded(DE.significant(de, 0.05, 0.5, flag="significant"))
+
+
+@register("rank_genes_within")
+def q_rank_genes_within(spark, sf_dir):
+    """D3 (+ two-sided D5 as a flag): leukemia vs healthy inside each R2
+    cluster with more than 10 healthy cells."""
+    ann, (b, kept_cells, kept_genes, c2, ln) = _ann(spark, sf_dir)
+    r2 = RF.abnormal_clusters_percent(ann, "leiden").select("leiden")
+    de = DE.rank_genes_within(ln, ann, "leiden", "health_status", "leukemia", "healthy", 10,
+                              clusters=r2, genes=kept_genes.select("gene_id"))
+    return rounded(DE.significant(de, 0.05, 0.5, two_sided=True, flag="significant"))
+
+
+@register("subtype_markers")
+def q_subtype_markers(spark, sf_dir):
+    """Groups whose name contains 'ING' (BUILDING), padj < 0.01, logfc > 1."""
+    de, (b, *_r) = _de(spark, sf_dir)
+    return rounded(DE.subtype_markers(de, "ING", genes=b.genes))
+
+
+@register("volcano")
+def q_volcano(spark, sf_dir):
+    """Volcano table of the segment markers."""
+    de, _ = _de(spark, sf_dir)
+    return rounded(DE.volcano(de).select("group", "gene_id", "logfc", "padj", "neg_log10_padj", "regulation"))
+
+
+@register("de_summary")
+def q_de_summary(spark, sf_dir):
+    """Per segment genes tested, significant, top 5 genes."""
+    de, _ = _de(spark, sf_dir)
+    s = DE.de_summary(de)
+    return s.withColumn("top_genes", _str_array(F.col("top_genes")))
+
+
+# ------------------------------------------------------ E: enrichment, drugs
+
+@register("enrich")
+def q_enrich(spark, sf_dir):
+    """E1 (J5): top 100 markers per segment against part-type and brand sets."""
+    de, (b, *_r) = _de(spark, sf_dir)
+    e = EN.enrich(de, SI.standin_gene_sets(spark, sf_dir), P["enrich_top"])
+    return rounded(e.withColumn("overlap_genes", _str_array(F.col("overlap_genes"))))
+
+
+@register("rank_drugs")
+def q_rank_drugs(spark, sf_dir):
+    """E2 (J6): top 50 up-regulated markers against supplier signatures."""
+    de, _ = _de(spark, sf_dir)
+    d = EN.rank_drugs(de, SI.standin_signatures(spark, sf_dir), 50)
+    return rounded(d.withColumn("overlap_genes", _str_array(F.col("overlap_genes"))))
+
+
+@register("drug_associations")
+def q_drug_associations(spark, sf_dir):
+    """Per segment the first 10 markers and the 3 best drugs."""
+    de, _ = _de(spark, sf_dir)
+    d = EN.rank_drugs(de, SI.standin_signatures(spark, sf_dir), 50)
+    a = EN.drug_associations(de, d)
+    return a.select("group", _str_array(F.col("association.top_genes")).alias("top_genes"),
+                    _str_array(F.col("association.potential_drugs")).alias("potential_drugs"))
+
+
+# ------------------------------------------------------------------ G: graph
+
+@register("knn")
+def q_knn(spark, sf_dir):
+    """Exact 15 nearest neighbours of every embedded cell."""
+    emb, edges = _emb_knn(spark, sf_dir, P["n_neighbors"])
+    return rounded(edges)
+
+
+def _knn_graph(edges):
+    """Symmetric unweighted graph of a kNN edge list (weight = number of
+    directions in which the pair is a neighbour pair)."""
+    e = edges.select("src", "dst", F.lit(1.0).alias("weight"))
+    t = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit(1.0).alias("weight"))
+    return e.unionByName(t).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+
+
+@register("modularity")
+def q_modularity(spark, sf_dir):
+    """Modularity of the manual labels on the symmetric kNN graph."""
+    emb, edges = _emb_knn(spark, sf_dir, P["n_neighbors"])
+    return rounded(GR.modularity_df(_knn_graph(edges), emb.select("cell_id", F.col("label").alias("community")),
+                                    1.0))
+
+
+@register("group_connectivity")
+def q_group_connectivity(spark, sf_dir):
+    """PAGA connectivity between manual labels on the kNN graph."""
+    emb, edges = _emb_knn(spark, sf_dir, P["n_neighbors"])
+    return rounded(GR.group_connectivity(edges, emb.select("cell_id", "label"), "label"))
+
+
+@register("connectivities")
+def q_connectivities(spark, sf_dir):
+    """UMAP fuzzy-set weights of the kNN graph (rows-only check)."""
+    emb, edges = _emb_knn(spark, sf_dir, P["n_neighbors"] - 1)
+    return rounded(GR.connectivities(edges))
+
+
+@register("communities")
+def q_communities(spark, sf_dir):
+    """Louvain communities of the fuzzy kNN graph (rows-only check)."""
+    emb, edges = _emb_knn(spark, sf_dir, P["n_neighbors"] - 1)
+    g = PL.materialize(GR.connectivities(edges))
+    return GR.communities(g, resolution=0.5)
+
+
+@register("pca")
+def q_pca(spark, sf_dir):
+    """G1: 50 principal components of the scaled HVG matrix (rows-only)."""
+    b = _bundle(spark, sf_dir)
+    pp = PL.preprocess(b.counts, b.cells, b.genes, min_genes=P["min_genes"], min_cells=P["min_cells"],
+                       n_top_genes=P["n_top_genes"], max_pct_mt=None)
+    from ..operators import embed as EM
+    emb, _, _ = EM.pca(pp.scaled, pp.gene_stats, pp.filtered.cells, 50)
+    return emb
+
+
+@register("batch_embedding")
+def q_batch_embedding(spark, sf_dir):
+    """10-dim PCA centred per segment (batch) (rows-only)."""
+    b = _bundle(spark, sf_dir)
+    pp = PL.preprocess(b.counts, b.cells, b.genes, min_genes=P["min_genes"], min_cells=P["min_cells"],
+                       n_top_genes=P["n_top_genes"], max_pct_mt=None)
+    from ..operators import embed as EM
+    return EM.batch_embedding(pp.scaled, pp.gene_stats, pp.filtered.cells, 10, "sample_type")
+
+
+def _dpt(spark, sf_dir):
+    emb, edges = _emb_knn(spark, sf_dir, P["n_neighbors"] - 1)
+    g = PL.materialize(GR.connectivities(edges))
+    vecs, evals = GR.diffusion_components(g, n_comps=10, n_iter=25)
+    root = emb.agg(F.min("cell_id")).first()[0]
+    return emb, GR.diffusion_pseudotime(vecs, evals, root)
+
+
+@register("diffusion_pseudotime")
+def q_diffusion_pseudotime(spark, sf_dir):
+    """G7 + G8: diffusion components and pseudotime from the smallest cell id."""
+    emb, pt = _dpt(spark, sf_dir)
+    return rounded(pt)
+
+
+@register("pseudotime_by_group")
+def q_pseudotime_by_group(spark, sf_dir):
+    """Pseudotime quartiles per manual label."""
+    emb, pt = _dpt(spark, sf_dir)
+    return rounded(GR.pseudotime_by_group(pt, emb.select("cell_id", "label"), "label"))
