@@ -113,8 +113,8 @@ def rank_genes(layer: DataFrame, labels: DataFrame, group_col: str, genes: DataF
         if n2 == 0:
             continue
         pairs.append(F.struct(*[F.lit(v).alias(c) for c, v in zip(strata, s)],
-                              F.lit(r["group"]).alias("group"), F.lit(n1).alias("n1"),
-                              F.lit(n2).alias("n2")))
+                              F.lit(r["group"]).alias("group"), F.lit(int(n1)).cast("long").alias("n1"),
+                              F.lit(int(n2)).cast("long").alias("n2")))
     if not pairs:
         raise ValueError("no group with a non-empty comparison side")
     sums = rank_sums(layer, labels, group_col, strata, bucket_width)
@@ -146,7 +146,9 @@ def rank_genes(layer: DataFrame, labels: DataFrame, group_col: str, genes: DataF
           + (F.col("n1") - F.col("nnz")) * (n0 + 1) / 2.0)
     mean1 = F.col("vsum") / F.col("n1")
     mean2 = (F.col("vsum_gene") - F.col("vsum")) / F.col("n2")
-    z = (r1 - F.col("n1") * (n + 1) / 2.0) / F.sqrt(F.col("n1") * F.col("n2") * (n + 1) / 12.0)
+    # products of group sizes exceed 32 bits beyond ~10^4 cells: use doubles
+    n1d, n2d = F.col("n1").cast("double"), F.col("n2").cast("double")
+    z = (r1 - n1d * (n + 1) / 2.0) / F.sqrt(n1d * n2d * (n + 1) / 12.0)
     logfc = F.log2((F.expm1(mean1) + F.lit(1e-9)) / (F.expm1(mean2) + F.lit(1e-9)))
     out = df.select(*strata, "group", "gene_id", z.alias("score"), logfc.alias("logfc"))
     out = out.withColumn("pval", norm_sf_two_sided("score"))
