@@ -96,3 +96,29 @@ def preprocess(counts: DataFrame, cells: DataFrame, genes: DataFrame, min_genes:
     scaled, stats = NZ.scale(sub, f.cells, max_value)
     stats = stats.join(hvg.where(F.col("highly_variable")).select("gene_id"), "gene_id", "left_semi")
     return Preprocessed(f, hvg, scaled, stats)
+
+
+def analyze(counts: DataFrame, cells: DataFrame, genes: DataFrame, group_col: str,
+            gene_sets: DataFrame | None = None, signatures: DataFrame | None = None,
+            min_genes: int = 200, min_cells: int = 3, target_sum: float = 1e4,
+            max_pct_mt: float | None = 20.0, enrich_top: int = 100, drug_top: int = 50) -> dict:
+    """The whole chain as lazy DataFrames in a dict -- QC report,
+    filtered cells, Wilcoxon markers per ``group_col``, their summary and,
+    when the tables are given, enrichment, drug ranking and associations.
+    Labels are never overwritten (the reference re-clustered here, D-6)."""
+    from ..operators import de as DE
+    from ..operators import enrich as EN
+    f = filter_and_normalize(counts, cells, genes, min_genes, min_cells, max_pct_mt=max_pct_mt,
+                             target_sum=target_sum)
+    de = materialize(DE.rank_genes(f.lognorm, f.cells, group_col, genes=f.genes.select("gene_id")))
+    out = {"cells": f.cells, "genes": f.genes, "lognorm": f.lognorm, "de": de,
+           "markers": DE.top_markers(DE.significant(de, flag="significant"), 10),
+           "summary": DE.de_summary(de),
+           "report": QC.before_after_report(cells, genes, f.cells, f.genes)}
+    if gene_sets is not None:
+        out["enrichment"] = EN.enrich(de, gene_sets, enrich_top)
+    if signatures is not None:
+        drugs = EN.rank_drugs(de, signatures, drug_top)
+        out["drugs"] = drugs
+        out["associations"] = EN.drug_associations(de, drugs)
+    return out

@@ -734,3 +734,16 @@ def q_pseudotime_by_group(spark, sf_dir):
     """Pseudotime quartiles per manual label."""
     emb, pt = _dpt(spark, sf_dir)
     return rounded(GR.pseudotime_by_group(pt, emb.select("cell_id", "label"), "label"))
+
+
+@register("analyze")
+def q_analyze(spark, sf_dir):
+    """The end-to-end chain by segment; per-segment marker summary joined
+    with its drug association (rows-only check)."""
+    b = _bundle(spark, sf_dir)
+    res = PL.analyze(b.counts, b.cells, b.genes, "sample_type", SI.standin_gene_sets(spark, sf_dir),
+                     SI.standin_signatures(spark, sf_dir), min_genes=P["min_genes"], min_cells=P["min_cells"],
+                     max_pct_mt=None, enrich_top=P["enrich_top"])
+    s = res["summary"].withColumn("top_genes", _str_array(F.col("top_genes")))
+    a = res["associations"].select("group", _str_array(F.col("association.potential_drugs")).alias("potential_drugs"))
+    return s.join(a, "group", "left")
