@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat
+from . import bpe, chat, ngram_join
 from ._shared import table
 
 #: Vocabulary file of operators 7 and 10; every executor has it at this path.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 90 % of their 3-word shingles."""
+    docs = table(spark, sf_dir, "documents")
+    return ngram_join.jaccard_components(docs, k=3, num=90, den=100).drop("sid")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -35,6 +41,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op7_bpe": op7_bpe,
     "op10_chat": op10_chat,
 }
