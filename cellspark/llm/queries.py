@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, ngram_join
+from . import bpe, chat, ngram_join, suffix_repeats
 from ._shared import table
 
 #: Vocabulary file of operators 7 and 10; every executor has it at this path.
@@ -21,6 +21,12 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(docs, k=3, num=90, den=100).drop("sid")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of 400-byte strings that occur elsewhere too."""
+    out = suffix_repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), min_len=400)
+    return out.drop("text")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -42,6 +48,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op7_bpe": op7_bpe,
     "op10_chat": op10_chat,
 }
