@@ -56,11 +56,13 @@ def _hash_words(data: bytes) -> np.ndarray:
     return mix((s[ends] - s[starts]) * powers(len(b) + 1)[0][starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """Hashes of the lower-cased (A-Z) words of a text, in order."""
+def word_hashes(text: str | None, lower: bool = True) -> np.ndarray:
+    """Hashes of the words of a text, lower-cased (A-Z) or as they are, in order."""
     if not text:
         return np.zeros(0, np.uint64)
-    data = text.encode().translate(_LOWER)
+    data = text.encode()
+    if lower:
+        data = data.translate(_LOWER)
     if len(data) <= _CHUNK:
         return _hash_words(data)
     out, at = [], 0

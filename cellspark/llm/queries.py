@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, ngram_join, suffix_repeats
-from ._shared import table
+from . import bpe, chat, line_quality, ngram_join, suffix_repeats
+from ._shared import held_out, table
 
 #: Vocabulary file of operators 7 and 10; every executor has it at this path.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,6 +36,13 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge every document by its lines; the field learns from rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = line_quality.train(docs.where(~held_out()), table(spark, sf_dir, "labels"))
+    return line_quality.label_lines(docs, model).drop("text")
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format all conversations and one that holds the template's own control
     strings, and read them back."""
@@ -50,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op7_bpe": op7_bpe,
+    "op9_line_quality": op9_line_quality,
     "op10_chat": op10_chat,
 }
 
