@@ -66,9 +66,9 @@ def format_turns(conversations: DataFrame, path: str, loss_role: str = "assistan
         c = coder(path)
         turn, says, end = reserved(path)
         out = []
-        for role, text in zip(roles.to_pylist(), texts.to_pylist(), strict=True):
-            head = c.encode(_ROLE_ESCAPE.sub(r"\\\g<0>", role), added=False)
-            body = c.encode(escape(text), added=False)
+        heads = c.encode_all([_ROLE_ESCAPE.sub(r"\\\g<0>", r) for r in roles.to_pylist()], added=False)
+        bodies = c.encode_all([escape(t) for t in texts.to_pylist()], added=False)
+        for head, body in zip(heads, bodies, strict=True):
             out.append({"ids": [turn, *head, says, *body, end], "head": len(head) + 2, "body": len(body)})
         return pa.array(out, pa.struct([("ids", pa.list_(pa.int32())), ("head", pa.int32()), ("body", pa.int32())]))
 
