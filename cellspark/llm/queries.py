@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, line_quality, ngram_join, suffix_repeats
+from . import bpe, chat, decontaminate, line_quality, ngram_join, suffix_repeats
 from ._shared import held_out, table
 
 #: Vocabulary file of operators 7 and 10; every executor has it at this path.
@@ -18,7 +18,14 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 90 % of their 3-word shingles."""
     docs = table(spark, sf_dir, "documents")
-    return ngram_join.jaccard_components(docs, k=3, num=90, den=100).drop("sid")
+    return ngram_join.jaccard_components(docs, k=3, num=90, den=100).drop("sid", "text_key")
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, up to a few edits, with the items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.with_matches(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.item_id", "m.errors", "m.stop")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +62,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op3_decontaminate": op3_decontaminate,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op7_bpe": op7_bpe,
     "op9_line_quality": op9_line_quality,

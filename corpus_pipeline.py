@@ -1,11 +1,70 @@
-"""The corpus pipeline: filter, de-duplicate, decontaminate and encode documents."""
+"""The corpus pipeline: filter, de-duplicate, decontaminate and encode documents.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor
+kept; its result is written as Parquet and read again as the next one's docs.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cellspark.llm import bpe, decontaminate, line_quality, ngram_join, suffix_repeats
+from cellspark.llm._shared import materialize, table
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose lines are mostly content; the others go (operator 9)."""
+    model = line_quality.train(docs, table(spark, sf_dir, "labels"))
+    return line_quality.label_lines(docs, model).where("kept").select(docs.columns)
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, Jaccard
+    similarity of 0.8 or more (operator 1)."""
+    return ngram_join.one_per_component(docs, k=5, num=8, den=10).select(docs.columns)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of 400 bytes or more that also stand elsewhere;
+    n_chars is that of the new text (operator 4)."""
+    out = suffix_repeats.remove_repeats(docs, min_len=400)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item (operator 3)."""
+    found = decontaminate.with_matches(docs, table(spark, sf_dir, "benchmark"), out_col="_matches")
+    return found.where(F.size("_matches") == 0).select(docs.columns)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, its text as decoded from them (operator 7)."""
+    out = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY, out_col="text")
+    return out.select(*docs.columns, F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard", ngram_jaccard),
+    ("suffix_dedup", suffix_dedup),
+    ("decontamination", decontamination),
+    ("encoding", encoding),
+]
+
+#: SQL cannot express the labelling, suffix-array and tokenizer stages; tests/llm
+#: holds the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = materialize(docs)
     return docs
