@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, line_quality, ngram_join, suffix_repeats
+from . import bpe, chat, decontaminate, language, line_quality, ngram_join, suffix_repeats
 from ._shared import held_out, table
 
 #: Vocabulary file of operators 7 and 10; every executor has it at this path.
@@ -21,6 +21,13 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(docs, k=3, num=90, den=100).drop("sid", "text_key")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predict the language of every document from a model of those not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.where(~held_out()))
+    return language.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, up to a few edits, with the items."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -62,6 +69,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op7_bpe": op7_bpe,
