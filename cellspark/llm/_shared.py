@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.pipeline import materialize
 
-__all__ = ["materialize", "table", "held_out", "WORD"]
+__all__ = ["materialize", "table", "held_out", "WORD", "small_side"]
 
 #: A word of the contracts: a run of anything but ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,3 +21,15 @@ def held_out(id_col: str = "doc_id"):
     """True where crc32 of the id as text leaves 1 when divided by 3 (false
     for a null id)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+#: Bytes up to which ``small_side`` broadcasts.
+BROADCAST_BYTES = 32 << 20
+
+
+def small_side(df: DataFrame, bytes_of=None) -> DataFrame:
+    """``df`` (a written table) with a broadcast hint if its size allows one: the rows
+    are counted, and ``bytes_of`` (a column, 32 by default) is summed over them.  A
+    larger table is joined by a shuffle, with the same result."""
+    size = df.agg(F.sum(bytes_of if bytes_of is not None else F.lit(32))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df

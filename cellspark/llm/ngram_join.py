@@ -1,23 +1,28 @@
 """N-gram Jaccard join by vertical partitioning.
 
 Texts become sets of word shingles; two texts link when the Jaccard similarity
-of their sets is at least num / den.  All shingles have one global order: those
-that are not frequent by their hash, then the frequent ones, rarest first.
+of their sets is at least num / den.  All shingles have one global order, that of
+their hashes, in which fragments are cut; for the prefix filter the frequent
+shingles are put last, rarest first.
 
 1. *Profiles.*  Texts with one shingle set become one node.  The same pass counts
    the frequent shingles over all texts.
 2. *Candidates.*  Two sets that link share a shingle among the first
-   n - ceil(n * num / den) + 1 of each in the global order (prefix filter).  Rows
-   (shingle, node) are range-partitioned by both and streamed in order; the first
+   n - ceil(n * num / den) + 1 of each in the global order (prefix filter), and are
+   of one size class or neighbours (length filter).  Rows (shingle and class, node) are range-partitioned by both and streamed in order; the first
    node of a shingle is its hub, and every other node is paired with the hub
    only, never with each other.
 3. *Overlaps.*  The global order is cut into fragments.  Within a fragment, a
    hub's segment is held while its partners' segments stream by, the partial
    overlaps are counted, and their sum per pair decides the link exactly.
+   A pair whose sketches (a first, narrow fragment) already differ too much is
+   dropped before any whole set is sent.
 4. *Rest.*  Two partners of one hub that ended in different components are still
    undecided (a hub may be far from both).  They are compared in blocks of
    bounded size, without writing the pairs: a block returns only links that join
-   different components.  Partners already joined through their hub are skipped.
+   different components.  Partners already joined through their hub are skipped,
+   and only nodes with a partner that the sketches leave possible bring their
+   segments.
 
 So every link between different texts is either found or already implied, the
 components are those of the full link graph, and no step holds a group whole.
@@ -36,20 +41,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._shared import materialize
+from ._shared import materialize, small_side
 from ._text import mix, set_id, shingles
 
 #: A shingle is frequent when one batch of COUNTED shingles holds it FREQUENT times.  At most
 #: COUNTED / FREQUENT shingles can be that frequent in the whole table, which bounds the broadcast.
 COUNTED, FREQUENT = 1 << 21, 24
-#: Fragments of the global order: the last holds the frequent shingles, the others equal hash ranges.
+#: Fragments of equal hash ranges.
 FRAGMENTS = 6
 #: Partners of a hub per task group, and rows and shingles of a block in step 4.
 PARTNERS, BLOCK_ROWS, BLOCK_SHINGLES = 512, 128, 1 << 16
 
 
-def _profiles(docs: DataFrame, k: int) -> DataFrame:
-    """Rows of two kinds: (id, text_key, n, sid) per text, and (shingle, count)."""
+def _profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Rows of two kinds: (id, text_key, n, sid, sketch) per text, and (shingle,
+    count).  The sketch is the set's first fragment, shingles cut to 32 bits: sets
+    differ at least as much as their sketches.  It is as wide as it takes to tell
+    sets of little overlap apart."""
+    width = np.uint64(min((1 << 64) - 1, (1 << 64) * 2 * (den - num) // (den + num)))
 
     def run(batches):
         pending, held = [], 0
@@ -60,32 +69,34 @@ def _profiles(docs: DataFrame, k: int) -> DataFrame:
             x, c = np.unique(np.concatenate(pending), return_counts=True)
             return x[c >= FREQUENT], c[c >= FREQUENT]
 
-        def rows(row, key, n, sid, shingle, count):
+        def rows(row, key, n, sid, sketch, shingle, count):
             return pa.RecordBatch.from_arrays(
-                [row, key, pa.array(n, pa.int32()), pa.array(sid, pa.int64()), pa.array(shingle, pa.int64()),
-                 pa.array(count, pa.int64())], names=["id", "text_key", "n", "sid", "shingle", "count"])
+                [row, key, pa.array(n, pa.int32()), pa.array(sid, pa.int64()), pa.array(sketch, pa.list_(pa.int32())),
+                 pa.array(shingle, pa.int64()), pa.array(count, pa.int64())],
+                names=["id", "text_key", "n", "sid", "sketch", "shingle", "count"])
 
         def counts():
             x, c = frequent()
             none = [None] * len(x)
-            return rows(pa.array(none, pa.int64()), pa.array(none, pa.int64()), none, none, x.view(np.int64), c)
+            return rows(pa.array(none, pa.int64()), pa.array(none, pa.int64()), none, none, none, x.view(np.int64), c)
 
         for batch in batches:
-            n, sid = [], []
+            n, sid, sketch = [], [], []
             for text in batch.column("text"):
                 s = shingles(text.as_py(), k)
                 n.append(len(s))
                 sid.append(set_id(s))
+                sketch.append(np.unique(s[:np.searchsorted(s, width)].astype(np.uint32)).view(np.int32))
                 pending.append(s)
                 held += len(s)
                 if held >= COUNTED:
                     yield counts()
                     pending, held = [], 0
             none = [None] * len(n)
-            yield rows(batch.column("id"), batch.column("text_key"), n, sid, none, none)
+            yield rows(batch.column("id"), batch.column("text_key"), n, sid, sketch, none, none)
         yield counts()
 
-    return docs.mapInArrow(run, "id long, text_key long, n int, sid long, shingle long, count long")
+    return docs.mapInArrow(run, "id long, text_key long, n int, sid long, sketch array<int>, shingle long, count long")
 
 
 def _ordered(s: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -99,7 +110,11 @@ def _ordered(s: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, k: int, num: int, den: int, order) -> DataFrame:
-    """(shingle, node, n) for each shingle in the prefix of each node."""
+    """(shingle, node, n) for each shingle in the prefix of each node, the shingle
+    hashed together with a size class.  Sizes of one class are within den / num of
+    each other, so sets that link are of one class or of neighbours: each set takes
+    part in its own class and in the next, and the two meet in one of them."""
+    ratio = np.log(den / num) * 1.001 if den > num else 1e-9
 
     def run(batches):
         heavy, rank = order.value
@@ -118,9 +133,11 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int, order) -> DataFrame:
                     seen.clear()
                 seen.add(sid)
                 p = _ordered(s, heavy, rank)[:n - -(-n * num // den) + 1]
-                out.append(p)
-                nodes.append(np.full(len(p), sid, np.int64))
-                sizes.append(np.full(len(p), n, np.int32))
+                size_class = int(np.log(n) / ratio)
+                for c in (size_class, size_class + 1):
+                    out.append(mix(p ^ mix(np.array([c + 1], np.uint64))))
+                nodes.append(np.full(2 * len(p), sid, np.int64))
+                sizes.append(np.full(2 * len(p), n, np.int32))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(nodes)),
                                                   pa.array(np.concatenate(sizes))], names=["shingle", "node", "n"])
@@ -173,38 +190,39 @@ def _hub_pairs(prefixes: DataFrame) -> DataFrame:
     return streamed.where("border IS NULL").drop("border").union(moved).where("a <> b").distinct()
 
 
-def _segments(docs: DataFrame, wanted: DataFrame, k: int, order) -> DataFrame:
-    """(sid, frag, seg) of the wanted nodes (sid, id, text_key): one text each."""
-    found = docs.join(wanted, docs["id"].eqNullSafe(wanted["want_id"]) & (docs["text_key"] == wanted["want_key"]))
+def _segments(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, k: int, repeated: bool) -> DataFrame:
+    """(sid, frag, seg) of the nodes, each from one of its texts.  ``repeated`` tells
+    whether any row of docs occurs twice."""
+    wanted = materialize(profiles.join(nodes, "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("id", "text_key")).alias("w")).select(
+        "sid", F.col("w.id").alias("want_id"), F.col("w.text_key").alias("want_key")))
+    found = docs.join(small_side(wanted), docs["id"].eqNullSafe(wanted["want_id"]) & (docs["text_key"] == wanted["want_key"]))
 
     def run(batches):
-        heavy, _ = order.value
         for batch in batches:
             sids, frags, sizes, parts = [], [], [0], []
             for sid, text in zip(batch.column("sid").to_pylist(), batch.column("text"), strict=True):
                 s = shingles(text.as_py(), k)
                 if set_id(s) != sid:
                     continue
-                f = ((s >> np.uint64(40)) * np.uint64(FRAGMENTS - 1) >> np.uint64(24)).astype(np.int64)
-                if len(heavy):
-                    f[heavy[np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)] == s] = FRAGMENTS - 1
-                for x in np.unique(f):
-                    seg = s[f == x]
-                    sids.append(sid)
-                    frags.append(int(x))
-                    parts.append(seg)
-                    sizes.append(sizes[-1] + len(seg))
+                cuts = np.searchsorted((s >> np.uint64(40)) * np.uint64(FRAGMENTS) >> np.uint64(24), np.arange(FRAGMENTS + 1))
+                for x in range(FRAGMENTS):
+                    if cuts[x] < cuts[x + 1]:
+                        sids.append(sid)
+                        frags.append(x)
+                        parts.append(s[cuts[x]:cuts[x + 1]])
+                        sizes.append(sizes[-1] + len(parts[-1]))
             if sids:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sids, pa.int64()), pa.array(frags, pa.int32()),
                      pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(parts).view(np.int64)))],
                     names=["sid", "frag", "seg"])
 
-    return found.select("sid", "text").mapInArrow(run, "sid long, frag int, seg array<long>").dropDuplicates(["sid", "frag"])
+    rows = found.select("sid", "text").mapInArrow(run, "sid long, frag int, seg array<long>")
+    return materialize(rows.dropDuplicates(["sid", "frag"]) if repeated else rows)
 
 
 def _overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """(a, b, overlap) of pairs: partial overlaps by fragment, summed."""
+    """(a, b, overlap) of pairs that overlap: partial overlaps by fragment, summed."""
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("groups"))
     hubs = (groups.join(segments, F.col("a") == F.col("sid"))
             .select("a", F.explode(F.sequence(F.lit(0), F.col("groups").cast("int") - 1)).alias("part"), "frag",
@@ -233,68 +251,101 @@ def _overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
             .mapInArrow(run, "a long, b long, partial long").groupBy("a", "b").agg(F.sum("partial").alias("overlap")))
 
 
-def _rest(pairs: DataFrame, comps: DataFrame, segments: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between partners of one hub that are in different components."""
+def _possible(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose sizes and sketches do not exclude a link."""
+    close = pairs.where(f"least(na, nb) * {den}L >= greatest(na, nb) * {num}L")
+    a, b = (sketches.select(F.col("sid").alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    return close.join(a, "a").join(b, "b").where(
+        f"(size(sa) + size(sb) - 2 * size(array_intersect(sa, sb))) * {den + num}L <= (na + nb) * {den - num}L").select("a", "na", "b", "nb")
+
+
+def _blocks(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """(a, block, side, b, n, comp): the partners of each hub a whose partners are in
+    different components, placed in blocks so that any two of them in different
+    components meet as sides 0 and 1 of one block (or both in side 0 of it)."""
     named = comps.select(F.col("node").alias("b"), "comp")
     member = pairs.join(named, "b", "left").withColumn("comp", F.coalesce("comp", "b"))
-    open_hubs = member.groupBy("a").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("a")
+    open_hubs = (member.groupBy("a").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("rows"), F.max("nb").alias("most"))
+                 .where("lo <> hi").select("a", F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("rows") * F.col("most") / BLOCK_SHINGLES)).cast("int").alias("parts")))
     own = comps.select(F.col("node").alias("a"), F.col("comp").alias("hub_comp"))
-    member = (member.join(open_hubs, "a", "left_semi").join(own, "a", "left")
-              .withColumn("far", F.col("comp") != F.coalesce("hub_comp", "a"))
-              # sizes of one class are within den / num of each other; links join neighbouring classes at most
-              .withColumn("class", F.floor(F.log(F.col("nb")) / F.log(F.lit(den / num))).cast("int")))
-    unit = member.groupBy("a", "far", "class").agg(F.count("*").alias("rows"), F.max("nb").alias("most"))
-    unit = unit.select("a", "far", "class", F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("rows") * F.col("most") / BLOCK_SHINGLES)).cast("int").alias("parts"))
-    member = member.join(unit, ["a", "far", "class"]).select(
-        "a", "far", "class", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"), "b", F.col("nb").alias("n"), "comp")
-    x = unit.select("a", "far", "class", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    left, right = x.toDF("a", "far1", "class1", "part1"), x.toDF("a", "far2", "class2", "part2")
-    blocks = left.join(right, "a").where(
-        "(far1 OR far2) AND class2 - class1 IN (-1, 0, 1) AND (class1, far1, part1) <= (class2, far2, part2)")
-    blocks = blocks.withColumn("block", F.xxhash64("class1", "far1", "part1", "class2", "far2", "part2"))
-    one = blocks.select("a", F.col("far1").alias("far"), F.col("class1").alias("class"), F.col("part1").alias("part"), "block", F.lit(0).alias("side"))
-    two = blocks.select("a", F.col("far2").alias("far"), F.col("class2").alias("class"), F.col("part2").alias("part"), "block", F.lit(1).alias("side"))
-    placed = one.union(two).join(member, ["a", "far", "class", "part"]).join(segments, F.col("b") == F.col("sid"))
-
-    def run(block: pa.Table) -> pa.Table:
-        sets: tuple[dict, dict] = ({}, {})
-        info = {}
-        for side, b, n, comp, seg in zip(*(block.column(c) for c in ("side", "b", "n", "comp", "seg")), strict=True):
-            b = b.as_py()
-            info[b] = (n.as_py(), comp.as_py())
-            sets[side.as_py()].setdefault(b, []).append(seg.values.to_numpy(zero_copy_only=False))
-        a, b = list(sets[0]), list(sets[1])
-        out: list[tuple[int, int]] = []
-        if a and b:
-            each = [np.concatenate(s[x]) for s, names in ((sets[0], a), (sets[1], b)) for x in names]
-            row = np.repeat(np.arange(len(each)), [len(x) for x in each])
-            column = np.unique(np.concatenate(each), return_inverse=True)[1]
-            overlap = np.zeros((len(a), len(b)), np.float32)
-            order = np.argsort(column, kind="stable")
-            row, column = row[order], column[order]
-            for lo in range(0, int(column[-1]) + 1, 8192):
-                i, j = np.searchsorted(column, [lo, lo + 8192])
-                m = np.zeros((len(each), 8192), np.float32)
-                m[row[i:j], column[i:j] - lo] = 1
-                overlap += m[:len(a)] @ m[len(a):].T
-            na, nb = (np.array([info[x][0] for x in names]) for names in (a, b))
-            ca, cb = (np.array([info[x][1] for x in names]) for names in (a, b))
-            linked = ((num + den) * overlap.astype(np.int64) >= num * (na[:, None] + nb[None, :])) & (ca[:, None] != cb[None, :])
-            top: dict[int, int] = {}
-
-            def root(c):
-                while c in top:
-                    c = top[c]
-                return c
-
-            for i, j in np.argwhere(linked):
-                p, q = root(int(ca[i])), root(int(cb[j]))
-                if p != q:
-                    top[p] = q
-                    out.append((a[i], b[j]))
+    # partners that are joined to the hub are in one component: they are parts 0, 2, 4 ..., the others 1, 3, 5 ...
+    member = (member.join(open_hubs, "a").join(own, "a", "left")
+              .withColumn("far", (F.col("comp") != F.coalesce("hub_comp", "a")).cast("int"))
+              .withColumn("part", F.when(F.col("parts") > 1, 2 * F.pmod(F.xxhash64("b"), "parts") + F.col("far")).otherwise(1).cast("int")))
+    unit = member.select("a", "part").distinct()
+    other = unit.select("a", F.col("part").alias("part1"))
+    # two parts of even number hold one component
+    block = (unit.select("a", F.col("part").alias("part0")).join(other, "a")
+             .where("part0 <= part1 AND (part0 % 2 = 1 OR part1 % 2 = 1)")
+             .withColumn("block", (F.col("part0").cast("long") * (1 << 31)) + F.col("part1")))
+    one = block.select("a", "block", F.lit(0).alias("side"), F.col("part0").alias("part"))
+    two = block.where("part0 <> part1").select("a", "block", F.lit(1).alias("side"), F.col("part1").alias("part"))
+    return one.union(two).join(member, ["a", "part"]).select("a", "block", "side", "b", F.col("nb").alias("n"), "comp")
+
+
+def _read_block(block: pa.Table, num: int, den: int):
+    """Nodes, sizes, components and sides of a block, the matrix of overlaps in the
+    given segments and that of differences in them, and the mask of pairs to decide:
+    of different components, compatible in size, and each pair once."""
+    column = {c: block.column(c).to_numpy(zero_copy_only=False) for c in ("b", "n", "comp", "side")}
+    b, first, row_of = np.unique(column["b"], return_index=True, return_inverse=True)
+    n, comp, side = (column[c][first] for c in ("n", "comp", "side"))
+    each = [x.values.to_numpy(zero_copy_only=False) if x.is_valid else np.zeros(0, np.int64) for x in block.column("seg")]
+    row = np.repeat(row_of, [len(x) for x in each])
+    column_of = np.unique(np.concatenate(each), return_inverse=True)[1]
+    order = np.argsort(column_of, kind="stable")
+    row, column_of = row[order], column_of[order]
+    overlap = np.zeros((len(b), len(b)), np.float32)
+    for lo in range(0, int(column_of[-1]) + 1 if len(column_of) else 0, 8192):
+        i, j = np.searchsorted(column_of, [lo, lo + 8192])
+        m = np.zeros((len(b), 8192), np.float32)
+        m[row[i:j], column_of[i:j] - lo] = 1
+        overlap += m @ m.T
+    overlap = overlap.astype(np.int64)
+    size = np.diag(overlap)
+    both = n[:, None].astype(np.int64) + n[None, :]
+    ask = ((comp[:, None] != comp[None, :]) & (np.minimum(n[:, None], n[None, :]) * den >= np.maximum(n[:, None], n[None, :]) * num))
+    ask &= (side[:, None] < side[None, :]) if side.any() else np.triu(np.ones_like(ask), 1)
+    return b, comp, side, overlap, size[:, None] + size[None, :] - 2 * overlap, both, ask
+
+
+def _rest(pairs: DataFrame, comps: DataFrame, sketches: DataFrame, segments_of, num: int, den: int) -> DataFrame:
+    """Links between partners of one hub that are in different components: first the
+    sketches exclude what they can, and only nodes that still have a possible partner
+    bring their segments."""
+
+    def possible(block: pa.Table) -> pa.Table:
+        b, _, _, _, differ, both, ask = _read_block(block, num, den)
+        ask &= differ * (den + num) <= both * (den - num)
+        keep = pa.array(b[ask.any(axis=0) | ask.any(axis=1)], pa.int64())
+        return pa.table({"a": pa.array([block.column("a")[0].as_py()] * len(keep), pa.int64()),
+                         "block": pa.array([block.column("block")[0].as_py()] * len(keep), pa.int64()), "b": keep})
+
+    def decided(block: pa.Table) -> pa.Table:
+        b, comp, _, overlap, _, both, ask = _read_block(block, num, den)
+        ask &= (num + den) * overlap >= num * both
+        top: dict[int, int] = {}
+
+        def root(c):
+            while c in top:
+                c = top[c]
+            return c
+
+        out = []
+        for i, j in np.argwhere(ask):
+            p, q = root(int(comp[i])), root(int(comp[j]))
+            if p != q:
+                top[p] = q
+                out.append((int(b[i]), int(b[j])))
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
 
-    return placed.groupBy(F.col("a").alias("hub"), "block").applyInArrow(run, "a long, b long")
+    placed = materialize(_blocks(pairs, comps))
+    names = ["a", "block", "side", "b", "n", "comp", "seg"]
+    light = placed.join(sketches.withColumnRenamed("sketch", "seg"), F.col("b") == F.col("sid")).select(names)
+    kept = materialize(light.groupBy("a", "block").applyInArrow(possible, "a long, block long, b long"))
+    segments = segments_of(kept.select(F.col("b").alias("sid")))
+    full = placed.join(kept, ["a", "block", "b"]).join(segments, F.col("b") == F.col("sid")).select(names)
+    return full.groupBy("a", "block").applyInArrow(decided, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
@@ -306,7 +357,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     text = F.col(text_col).cast("string")
     docs = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
-    first = materialize(_profiles(docs, k))
+    first = materialize(_profiles(docs, k, num, den))
     profiles = first.where("sid IS NOT NULL").drop("shingle", "count")
     total = profiles.agg(F.coalesce(F.sum(F.col("n").cast("long")), F.lit(0))).first()[0]
     frequent = (first.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("count"))
@@ -318,17 +369,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rank = np.empty(len(heavy), np.int64)
     rank[np.lexsort((mix(heavy), count))] = np.arange(len(heavy))
     order = spark.sparkContext.broadcast((heavy, rank))
+    repeated = not profiles.groupBy("id", "text_key").count().where("count > 1").isEmpty()
+
+    def segments_of(nodes: DataFrame) -> DataFrame:
+        return _segments(docs, profiles, nodes.distinct(), k, repeated)
 
     pairs = materialize(_hub_pairs(_prefixes(docs.where("text IS NOT NULL").select("text"), k, num, den, order)))
-    close = pairs.where(f"least(na, nb) * {den}L >= greatest(na, nb) * {num}L")
     nodes = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    wanted = profiles.join(nodes, "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("id", "text_key")).alias("w")).select(
-        "sid", F.col("w.id").alias("want_id"), F.col("w.text_key").alias("want_key"))
-    segments = materialize(_segments(docs, wanted, k, order))
-    links = materialize(close.join(_overlaps(close, segments), ["a", "b"])
+    sketches = materialize(profiles.join(nodes, "sid", "left_semi").groupBy("sid").agg(F.first("sketch").alias("sketch")))
+    alive = materialize(_possible(pairs, sketches, num, den))
+    segments = segments_of(alive.select(F.col("a").alias("sid")).union(alive.select(F.col("b").alias("sid"))))
+    links = materialize(alive.join(_overlaps(alive, segments), ["a", "b"])
                         .where(f"overlap * {num + den} >= (na + nb) * {num}L").select("a", "b"))
     comps = components(links)
-    more = materialize(_rest(pairs, comps, segments, num, den))
+    more = materialize(_rest(pairs, comps, sketches, segments_of, num, den))
     if not more.isEmpty():
         comps = components(links.union(more))
     placed = (profiles.join(comps.withColumnRenamed("node", "sid"), "sid", "left")
