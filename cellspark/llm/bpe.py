@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of text encoded at a time, and bytes from which a piece is handled alone.
-BATCH_CHARS, LONG_PIECE = 12 << 20, 256
+BATCH_CHARS, LONG_PIECE = 6 << 20, 256
 #: Slots of the table of known token pairs.
 _SLOTS = 1 << 20
 
@@ -209,7 +209,7 @@ class PrefixCoder:
             n -= len(self.bytes_of[last[n]])
         return out[::-1]
 
-    @lru_cache(maxsize=1 << 18)  # noqa: B019  one coder lives as long as its worker
+    @lru_cache(maxsize=1 << 17)  # noqa: B019  one coder lives as long as its worker
     def compatible(self, a: int, b: int) -> bool:
         """BPE of the joined bytes of tokens a and b is [a, b].
 
