@@ -400,7 +400,8 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = jaccard_components(docs, id_col, text_col, k, num, den)
     keyed = docs.withColumn("_key", F.xxhash64(F.col(text_col).cast("string")))
     first = (found.where("n_shingles > 0").groupBy(F.col("component_id").alias("_c"))
-             .agg(F.min(F.struct(F.col(id_col).alias("_id"), F.col("text_key").alias("_want"))).alias("_first")).select("_first.*"))
+             .agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("_id"), F.col("text_key").alias("_want"))).alias("_first"))
+             .select("_first._id", "_first._want"))
     kept = keyed.join(first, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_want")), "left_semi")
     blank = found.where("n_shingles = 0").select(F.col(id_col).alias("_id"), F.col("text_key").alias("_want")).distinct()
     rest = keyed.join(blank, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_want")), "left_semi")

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, language, line_quality, ngram_join, suffix_repeats
-from ._shared import held_out, table
+from . import bpe, chat, decontaminate, language, licenses, line_quality, ngram_join, quality_pu, suffix_repeats, warc
+from ._shared import held_out, materialize, table
 
 #: Vocabulary file of operators 7 and 10; every executor has it at this path.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,6 +41,19 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document with a model of the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    model = quality_pu.train(docs.where(~held_out()), labels.where(~held_out()))
+    return quality_pu.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of documents that state a licence."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,6 +63,13 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as WARC bundles and read them back."""
+    folder = warc.new_folder(spark)
+    index = materialize(warc.write(warc.plan_records(table(spark, sf_dir, "pages")), folder))
+    return warc.read(index, folder).drop("payload")
+
+
 def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge every document by its lines; the field learns from rows that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,9 +92,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_quality": op5_quality,
+    "op6_licenses": op6_licenses,
     "op7_bpe": op7_bpe,
+    "op8_warc": op8_warc,
     "op9_line_quality": op9_line_quality,
     "op10_chat": op10_chat,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_licenses": licenses.scan_sql(),
+    "op8_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, max(page_id) AS top FROM p GROUP BY html),
+d AS (SELECT p.page_id, encode(p.html) AS raw, sha1(p.html) AS hex, g.top FROM p JOIN g USING (html)),
+b AS (SELECT *, list_transform(range(0, 20), i -> CAST('0x' || substr(hex, CAST(2 * i + 1 AS INTEGER), 2) AS INTEGER)) AS bytes FROM d)
+SELECT page_id, octet_length(raw) AS payload_bytes,
+       list_reduce([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
+           ((bytes[CAST(1 + k * 5 // 8 AS INTEGER)] * 256 + coalesce(bytes[CAST(2 + k * 5 // 8 AS INTEGER)], 0))
+            >> CAST(11 - (k * 5) % 8 AS INTEGER)) & 31) AS INTEGER), 1) FOR k IN range(0, 32)], (x, y) -> x || y) AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM b""",
+}
