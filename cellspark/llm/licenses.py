@@ -63,9 +63,8 @@ def _words(text):
 
 def _bigrams(words):
     """The set of bigrams of a word array, empty below two words."""
-    return F.when(F.size(words) >= 2, F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))),
-        lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1))))).otherwise(F.array().cast("array<string>"))
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b)))
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:

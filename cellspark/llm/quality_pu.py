@@ -36,10 +36,10 @@ from .line_quality import SYMBOLS, base_counts
 
 #: Most rows of each kind that the model is fitted on.
 SAMPLE_POSITIVES, SAMPLE_UNLABELLED = 6000, 12000
-#: Quantile bins of a feature.
-BINS = 12
+#: Most quantile bins of a feature; fewer are used on a small sample, of ROWS_A_BIN rows at least.
+BINS, ROWS_A_BIN = 12, 80
 FEATURES = ("log_words", "symbols", "exclaims", "upper", "digits", "pipes", "distinct", "top_word", "repeated",
-            "same_lines", "word_length", "line_words", "ended", "other")
+            "same_lines", "word_length", "line_words", "ended", "other", "adjacent")
 
 
 def features(text: str | None) -> list[float]:
@@ -59,7 +59,7 @@ def features(text: str | None) -> list[float]:
     ended = sum(1 for x in lines if x.rstrip().endswith((".", "!", "?")))
     return [float(np.log1p(n)), symbols / size, text.count("!") / n, upper / n, digits / size, text.count("|") / n,
             len(times) / n, max(times.values()) / n, repeated / n, dup / len(lines), chars / n, n / len(lines),
-            ended / len(lines), sum(map(text.count, SYMBOLS + "=_~^@{}[]\\/")) / n]
+            ended / len(lines), sum(map(text.count, SYMBOLS + "=_~^@{}[]\\/")) / n, sum(map(str.__eq__, words, words[1:])) / n]
 
 
 # ---- the model -------------------------------------------------------------
@@ -98,7 +98,8 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, rounds: int = 400, rate: f
     if not len(positive) or not len(unlabelled):
         return {"edges": np.zeros((len(FEATURES), 1)), "weights": np.zeros(1 + len(FEATURES)), "prior": 0.5}
     both = np.concatenate([positive, unlabelled])
-    edges = np.quantile(both, np.linspace(0, 1, BINS + 1)[:-1], axis=0).T
+    bins = int(np.clip(len(both) // ROWS_A_BIN, 3, BINS))
+    edges = np.quantile(both, np.linspace(0, 1, bins + 1)[:-1], axis=0).T
     # rare extremes need their own thresholds: what few texts have is what tells bad ones
     far = np.quantile(both, [0.97, 0.99], axis=0).T
     edges = np.concatenate([edges, far], axis=1)

@@ -106,11 +106,11 @@ ORACLE: dict[str, str] = {
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 g AS (SELECT html, max(page_id) AS top FROM p GROUP BY html),
 d AS (SELECT p.page_id, encode(p.html) AS raw, sha1(p.html) AS hex, g.top FROM p JOIN g USING (html)),
-b AS (SELECT *, list_transform(range(0, 20), i -> CAST('0x' || substr(hex, CAST(2 * i + 1 AS INTEGER), 2) AS INTEGER)) AS bytes FROM d)
+b AS (SELECT *, list_transform(range(0, 20), lambda i: CAST('0x' || substr(hex, CAST(2 * i + 1 AS INTEGER), 2) AS INTEGER)) AS bytes FROM d)
 SELECT page_id, octet_length(raw) AS payload_bytes,
        list_reduce([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
            ((bytes[CAST(1 + k * 5 // 8 AS INTEGER)] * 256 + coalesce(bytes[CAST(2 + k * 5 // 8 AS INTEGER)], 0))
-            >> CAST(11 - (k * 5) % 8 AS INTEGER)) & 31) AS INTEGER), 1) FOR k IN range(0, 32)], (x, y) -> x || y) AS payload_digest,
+            >> CAST(11 - (k * 5) % 8 AS INTEGER)) & 31) AS INTEGER), 1) FOR k IN range(0, 32)], lambda x, y: x || y) AS payload_digest,
        CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
 FROM b""",
