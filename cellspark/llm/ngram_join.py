@@ -2,16 +2,17 @@
 
 Texts become sets of word shingles; two texts link when the Jaccard similarity
 of their sets is at least num / den.  All shingles have one global order, that of
-their hashes, in which fragments are cut; for the prefix filter the frequent
-shingles are put last, rarest first.
-
-1. *Profiles.*  Texts with one shingle set become one node.  The same pass counts
-   the frequent shingles over all texts.
-2. *Candidates.*  Two sets that link share a shingle among the first
-   n - ceil(n * num / den) + 1 of each in the global order (prefix filter), and are
-   of one size class or neighbours (length filter).  Rows (shingle and class, node) are range-partitioned by both and streamed in order; the first
-   node of a shingle is its hub, and every other node is paired with the hub
-   only, never with each other.
+their hashes, which is cut into fragments; a set's part in a fragment is a segment.
+
+1. *Profiles.*  Texts with one shingle set become one node.
+2. *Candidates.*  Sets that link differ in at most D shingles, D following from their
+   sizes.  With the order cut into D + 1 + e fragments, at least e + 1 of their
+   segments are equal; segments of very few shingles say little, so each set leaves
+   out its e least ones, and the two still meet in an equal segment.  The number
+   of fragments depends on a size class; a set takes part in its own class and, if it
+   can link with a smaller set there, in the class below.  Rows (segment, node)
+   are range-partitioned by both and streamed in order; the first node of a segment is
+   its hub, and every other node is paired with the hub only, never with each other.
 3. *Overlaps.*  The global order is cut into fragments.  Within a fragment, a
    hub's segment is held while its partners' segments stream by, the partial
    overlaps are counted, and their sum per pair decides the link exactly.
@@ -35,6 +36,9 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from math import ceil, exp, factorial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,42 +48,21 @@ from ._components import components
 from ._shared import materialize, small_side
 from ._text import mix, set_id, shingles
 
-#: A shingle is frequent when one batch of COUNTED shingles holds it FREQUENT times.  At most
-#: COUNTED / FREQUENT shingles can be that frequent in the whole table, which bounds the broadcast.
-COUNTED, FREQUENT = 1 << 21, 24
-#: Fragments of equal hash ranges.
+#: Ratio of the sizes of a class.
+CLASS_RATIO = 1.25
+#: Fragments in which overlaps are counted.
 FRAGMENTS = 6
 #: Partners of a hub per task group, and rows and shingles of a block in step 4.
 PARTNERS, BLOCK_ROWS, BLOCK_SHINGLES = 512, 128, 1 << 16
 
 
 def _profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Rows of two kinds: (id, text_key, n, sid, sketch) per text, and (shingle,
-    count).  The sketch is the set's first fragment, shingles cut to 32 bits: sets
-    differ at least as much as their sketches.  It is as wide as it takes to tell
-    sets of little overlap apart."""
+    """(id, text_key, n, sid, sketch) per text.  The sketch is the set's part in a
+    first fragment, shingles cut to 32 bits: sets differ at least as much as their
+    sketches.  It is as wide as it takes to tell sets of little overlap apart."""
     width = np.uint64(min((1 << 64) - 1, (1 << 64) * 2 * (den - num) // (den + num)))
 
     def run(batches):
-        pending, held = [], 0
-
-        def frequent():
-            if not pending:
-                return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            x, c = np.unique(np.concatenate(pending), return_counts=True)
-            return x[c >= FREQUENT], c[c >= FREQUENT]
-
-        def rows(row, key, n, sid, sketch, shingle, count):
-            return pa.RecordBatch.from_arrays(
-                [row, key, pa.array(n, pa.int32()), pa.array(sid, pa.int64()), pa.array(sketch, pa.list_(pa.int32())),
-                 pa.array(shingle, pa.int64()), pa.array(count, pa.int64())],
-                names=["id", "text_key", "n", "sid", "sketch", "shingle", "count"])
-
-        def counts():
-            x, c = frequent()
-            none = [None] * len(x)
-            return rows(pa.array(none, pa.int64()), pa.array(none, pa.int64()), none, none, none, x.view(np.int64), c)
-
         for batch in batches:
             n, sid, sketch = [], [], []
             for text in batch.column("text"):
@@ -87,44 +70,80 @@ def _profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 n.append(len(s))
                 sid.append(set_id(s))
                 sketch.append(np.unique(s[:np.searchsorted(s, width)].astype(np.uint32)).view(np.int32))
-                pending.append(s)
-                held += len(s)
-                if held >= COUNTED:
-                    yield counts()
-                    pending, held = [], 0
-            none = [None] * len(n)
-            yield rows(batch.column("id"), batch.column("text_key"), n, sid, sketch, none, none)
-        yield counts()
-
-    return docs.mapInArrow(run, "id long, text_key long, n int, sid long, sketch array<int>, shingle long, count long")
-
-
-def _ordered(s: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """A set in the global order."""
-    if not len(heavy):
-        return s
-    at = np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)
-    is_heavy = heavy[at] == s
-    h = s[is_heavy]
-    return np.concatenate([s[~is_heavy], h[np.argsort(rank[at[is_heavy]], kind="stable")]])
-
-
-def _prefixes(docs: DataFrame, k: int, num: int, den: int, order) -> DataFrame:
-    """(shingle, node, n) for each shingle in the prefix of each node, the shingle
-    hashed together with a size class.  Sizes of one class are within den / num of
-    each other, so sets that link are of one class or of neighbours: each set takes
-    part in its own class and in the next, and the two meet in one of them."""
-    ratio = np.log(den / num) * 1.001 if den > num else 1e-9
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("text_key"), pa.array(n, pa.int32()), pa.array(sid, pa.int64()), pa.array(sketch, pa.list_(pa.int32()))],
+                names=["id", "text_key", "n", "sid", "sketch"])
+
+    return docs.mapInArrow(run, "id long, text_key long, n int, sid long, sketch array<int>")
+
+
+class SizeClasses:
+    """Size classes and their fragments for a similarity of num / den."""
+
+    def __init__(self, num: int, den: int) -> None:
+        self.num, self.den = num, den
+        self.first = [1, 2]  # smallest size of each class
+        self.plans: dict[int, tuple[int, int, int]] = {}
+
+    def of(self, n: int) -> list[int]:
+        """The classes that a set of n shingles takes part in: a pair belongs to the
+        class of its smaller set."""
+        while self.first[-1] <= n:
+            self.first.append(max(self.first[-1] + 1, int(self.first[-1] * CLASS_RATIO)))
+        own = bisect_right(self.first, n) - 1
+        least = -(-n * self.num // self.den)  # the smallest set that n can link with
+        return list(range(bisect_right(self.first, least) - 1, own + 1))
+
+    def plan(self, c: int) -> tuple[int, int, int]:
+        """(fragments, e, size up to which a segment is small) of a class.  e is about
+        the number of small segments that a set of the class's least size has."""
+        if c not in self.plans:
+            while len(self.first) < c + 2:
+                self.of(self.first[-1])
+            small = self.first[c + 1] - 1
+            most = (small + small * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
+            m, e, bound = most + 1, 0, 1
+            for _ in range(8):
+                mean = self.first[c] / m
+                bound = 1 if mean < 4 else 2
+                share = exp(-mean) * sum(mean ** i / factorial(i) for i in range(bound + 1))
+                e = min(most + 1, ceil(1.2 * share * m))
+                m = most + 1 + e
+            self.plans[c] = (0, 0, 0) if most == 0 else (m, e, bound)
+        return self.plans[c]
+
+
+def segment_keys(s: np.ndarray, classes: SizeClasses) -> np.ndarray:
+    """Keys of a set's segments in each of its classes, without those left out."""
+    out = []
+    total = np.zeros(len(s) + 1, np.uint64)
+    np.cumsum(mix(s), out=total[1:])
+    for c in classes.of(len(s)):
+        m, e, bound = classes.plan(c)
+        if not m:  # sets of the class that link are equal
+            continue
+        limits = np.array([(i << 64) // m for i in range(1, m)], np.uint64)
+        cut = np.concatenate([[0], np.searchsorted(s, limits), [len(s)]])
+        size = np.diff(cut)
+        key = mix((total[cut[1:]] - total[cut[:-1]]) + mix((np.uint64(c) << np.uint64(40)) + np.arange(m, dtype=np.uint64) * np.uint64(64)
+                                                            + np.minimum(size, 63).astype(np.uint64)))
+        least = np.flatnonzero(size <= bound)
+        least = least[np.lexsort((key[least], size[least]))][:e]
+        out.append(np.delete(key, least))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def _segment_rows(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(segment, node, n) for the segments of each node."""
 
     def run(batches):
-        heavy, rank = order.value
+        classes = SizeClasses(num, den)
         seen: set[int] = set()
         for batch in batches:
             out, nodes, sizes = [], [], []
             for text in batch.column("text"):
                 s = shingles(text.as_py(), k)
-                n = len(s)
-                if not n:
+                if not len(s):
                     continue
                 sid = set_id(s)
                 if sid in seen:  # a copy in this task has given the same rows
@@ -132,22 +151,19 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int, order) -> DataFrame:
                 if len(seen) >= 1 << 18:
                     seen.clear()
                 seen.add(sid)
-                p = _ordered(s, heavy, rank)[:n - -(-n * num // den) + 1]
-                size_class = int(np.log(n) / ratio)
-                for c in (size_class, size_class + 1):
-                    out.append(mix(p ^ mix(np.array([c + 1], np.uint64))))
-                nodes.append(np.full(2 * len(p), sid, np.int64))
-                sizes.append(np.full(2 * len(p), n, np.int32))
+                out.append(segment_keys(s, classes))
+                nodes.append(np.full(len(out[-1]), sid, np.int64))
+                sizes.append(np.full(len(out[-1]), len(s), np.int32))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(nodes)),
-                                                  pa.array(np.concatenate(sizes))], names=["shingle", "node", "n"])
+                                                  pa.array(np.concatenate(sizes))], names=["segment", "node", "n"])
 
-    return docs.mapInArrow(run, "shingle long, node long, n int")
+    return docs.mapInArrow(run, "segment long, node long, n int")
 
 
-def _hub_pairs(prefixes: DataFrame) -> DataFrame:
-    """Pairs (a, na, b, nb) of each shingle's first node and its others.  A task
-    sees part of a frequent shingle's nodes: for its first and last shingle it
+def _hub_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (a, na, b, nb) of each segment's first node and its others.  A task
+    sees part of a frequent segment's nodes: for its first and last segment it
     also reports the local hub, and the smallest local hub takes the others."""
 
     def run(batches):
@@ -156,7 +172,7 @@ def _hub_pairs(prefixes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig, node, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("shingle", "node", "n"))
+            sig, node, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("segment", "node", "n"))
             empty = False
             new = np.ones(len(sig), bool)
             new[1:] = sig[1:] != sig[:-1]
@@ -182,7 +198,7 @@ def _hub_pairs(prefixes: DataFrame) -> DataFrame:
                                               pa.array([size], pa.int32()), pa.array([last], pa.int64())],
                                              names=["a", "na", "b", "nb", "border"])
 
-    streamed = materialize(prefixes.repartitionByRange("shingle", "node").sortWithinPartitions("shingle", "node")
+    streamed = materialize(rows.repartitionByRange("segment", "node").sortWithinPartitions("segment", "node")
                            .mapInArrow(run, "a long, na int, b long, nb int, border long"))
     border = streamed.where("border IS NOT NULL")
     hubs = border.groupBy("border").agg(F.min(F.struct("a", "na")).alias("hub"))  # two rows a partition at most
@@ -354,27 +370,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     identity of its set: rows with one sid have equal sets), text_key (xxhash64 of
     the text) and component_id, the smallest id that is reachable by links of
     Jaccard similarity >= num / den."""
-    spark = docs.sparkSession
     text = F.col(text_col).cast("string")
     docs = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
-    first = materialize(_profiles(docs, k, num, den))
-    profiles = first.where("sid IS NOT NULL").drop("shingle", "count")
-    total = profiles.agg(F.coalesce(F.sum(F.col("n").cast("long")), F.lit(0))).first()[0]
-    frequent = (first.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("count"))
-                .where(F.col("count") >= max(FREQUENT, total * FREQUENT // COUNTED)))
-    listed = frequent.toPandas()  # at most COUNTED / FREQUENT rows, by the bound on their counts
-    heavy, count = listed["shingle"].to_numpy(np.int64).view(np.uint64), listed["count"].to_numpy(np.int64)
-    by = np.argsort(heavy)
-    heavy, count = heavy[by], count[by]
-    rank = np.empty(len(heavy), np.int64)
-    rank[np.lexsort((mix(heavy), count))] = np.arange(len(heavy))
-    order = spark.sparkContext.broadcast((heavy, rank))
+    profiles = materialize(_profiles(docs, k, num, den))
     repeated = not profiles.groupBy("id", "text_key").count().where("count > 1").isEmpty()
 
     def segments_of(nodes: DataFrame) -> DataFrame:
         return _segments(docs, profiles, nodes.distinct(), k, repeated)
 
-    pairs = materialize(_hub_pairs(_prefixes(docs.where("text IS NOT NULL").select("text"), k, num, den, order)))
+    pairs = materialize(_hub_pairs(_segment_rows(docs.where("text IS NOT NULL").select("text"), k, num, den)))
     nodes = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
     sketches = materialize(profiles.join(nodes, "sid", "left_semi").groupBy("sid").agg(F.first("sketch").alias("sketch")))
     alive = materialize(_possible(pairs, sketches, num, den))
