@@ -26,14 +26,19 @@ def _distinct_values(df: DataFrame, col: str, limit: int = MAX_PIVOT_VALUES) ->
 
 
 def crosstab(df: DataFrame, a: str, b: str, normalize: str | None = None) -> DataFrame:
-    """A4 in long form: (a, b, count[, pct]) for every observed pair.
+    """A4 in long form: (a, b, count[, pct]) for every value of a with every value
+    of b, absent pairs with count 0.
 
     normalize='index' -> pct of the row (a) total, 'columns' -> pct of the
-    column (b) total, 'all' -> pct of all rows.  Absent pairs are zeros
-    (see :func:`crosstab_wide` for the zero-filled matrix).  The window
-    totals partition by one category value: at most that many pair rows.
+    column (b) total, 'all' -> pct of all rows.  The window totals partition
+    by one category value: at most that many pair rows.
     """
-    t = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
+    seen = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
+    # a struct in the set keeps null, a category like any other
+    values = df.select(b).distinct().agg(F.sort_array(F.collect_set(F.struct(b)))).scalar()
+    grid = df.select(a).distinct().withColumn("_b", F.explode(values)).select(F.col(a).alias("_a"), F.col(f"_b.{b}").alias("_b"))
+    t = (grid.join(seen, grid["_a"].eqNullSafe(seen[a]) & grid["_b"].eqNullSafe(seen[b]), "left")
+         .select(F.col("_a").alias(a), F.col("_b").alias(b), F.coalesce("count", F.lit(0)).cast("long").alias("count")))
     if normalize == "index":
         t = t.withColumn("pct", F.col("count") * 100.0 / F.sum("count").over(Window.partitionBy(a)))
     elif normalize == "columns":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,27 +52,27 @@ def fill_required(cells: DataFrame, columns=("sample", "sample_type"), value: st
 
 def make_unique(df: DataFrame, name_col: str, order_col: str, out_col: str | None = None,
                 sep: str = "-") -> DataFrame:
-    """The k-th repeat (k >= 1, in ``order_col`` order) of a name becomes
-    name-k; the first keeps its name.  If a generated name clashes with an
-    existing one the numbering continues upwards (name-k+1, ...), checked in
-    a second pass.  The window partitions by name: one partition holds the
-    copies of a single name."""
+    """The first row of a name (in ``order_col`` order) keeps it; its k-th
+    repeat becomes name-n with the k-th positive number n for which name-n is
+    not itself an original name, so the result holds no duplicates.  Null names
+    stay null.
+
+    The numbers taken for a name are those of the originals that end in -number;
+    if t_1 < t_2 < ... are taken, the k-th free one is k + #{i: t_i - i < k}.
+    The window partitions by name: one partition holds the copies of a name."""
     out_col = out_col or name_col
+    tail = f"^(.*){re.escape(sep)}([1-9][0-9]{{0,17}})$"
+    name = F.col(name_col).cast("string")
     w = Window.partitionBy(name_col).orderBy(order_col)
-    k = F.row_number().over(w) - 1
-    first = df.withColumn("_k", k).withColumn(
-        "_cand", F.when(F.col("_k") == 0, F.col(name_col))
-        .otherwise(F.concat_ws(sep, F.col(name_col), F.col("_k").cast("string"))))
-    # a candidate that equals an original name of another row is bumped
-    originals = df.select(F.col(name_col).alias("_orig")).distinct()
-    clash = first.join(originals, first["_cand"] == originals["_orig"], "left") \
-        .withColumn("_clash", (F.col("_k") > 0) & F.col("_orig").isNotNull())
-    w2 = Window.partitionBy(name_col).orderBy(order_col)
-    bumped = clash.withColumn("_bump", F.sum(F.col("_clash").cast("int")).over(
-        w2.rowsBetween(Window.unboundedPreceding, 0)))
-    res = F.when(F.col("_k") == 0, F.col(name_col)).otherwise(
-        F.concat_ws(sep, F.col(name_col), (F.col("_k") + F.col("_bump")).cast("string")))
-    return bumped.withColumn(out_col, res).drop("_k", "_cand", "_orig", "_clash", "_bump")
+    named = df.withColumn("_k", F.when(F.col(name_col).isNotNull(), F.row_number().over(w) - 1).otherwise(0))
+    taken = (df.select(name.alias("_name")).where(F.col("_name").rlike(tail)).distinct()
+             .groupBy(F.regexp_extract("_name", tail, 1).alias("_base"))
+             .agg(F.sort_array(F.collect_set(F.regexp_extract("_name", tail, 2).cast("long"))).alias("_t"))
+             .select("_base", F.transform("_t", lambda t, i: t - i - 1).alias("_gaps")))
+    joined = named.join(taken, name == F.col("_base"), "left")
+    skipped = F.coalesce(F.size(F.filter("_gaps", lambda g: g < F.col("_k"))), F.lit(0))
+    out = F.when(F.col("_k") == 0, name).otherwise(F.concat_ws(sep, name, (F.col("_k") + skipped).cast("string")))
+    return joined.withColumn(out_col, out).drop("_k", "_base", "_gaps")
 
 
 def drop_null_labels(cells: DataFrame, label_col: str) -> DataFrame:

@@ -300,32 +300,20 @@ def existing_markers(de: DataFrame, genes: DataFrame, n: int = 20, per_group: in
     return best.orderBy(F.col("best_score").desc(), F.col("gene_id")).limit(n)
 
 
-def group_means(layer: DataFrame, labels: DataFrame, group_col: str) -> DataFrame:
+def group_means(layer: DataFrame, labels: DataFrame, group_col: str, genes: DataFrame | None = None) -> DataFrame:
     """Per (group, gene) mean over all cells of the group (zeros
     included) and fraction of cells expressing.  Group sizes come from the
-    label table, never from avg(value)."""
+    label table, never from avg(value).  With ``genes`` every group has every
+    gene, unexpressed ones with 0; without, pairs that are 0 are left out (the
+    sparse form that linear models use)."""
     lab = labels.where(F.col(group_col).isNotNull()).select("cell_id", F.col(group_col).alias("group"))
     sizes = lab.groupBy("group").agg(F.count(F.lit(1)).alias("n_cells"))
     s = (layer.where(F.col("value") != 0).join(lab, "cell_id")
          .groupBy("group", "gene_id").agg(F.sum("value").alias("_s"), F.count(F.lit(1)).alias("_nz")))
+    if genes is not None:
+        groups = sizes.agg(F.sort_array(F.collect_set("group"))).scalar()
+        grid = genes.select("gene_id").distinct().withColumn("group", F.explode(groups))
+        s = grid.join(s, ["group", "gene_id"], "left").fillna({"_s": 0.0, "_nz": 0})
     return (s.join(sizes, "group")
             .select("group", "gene_id", (F.col("_s") / F.col("n_cells")).alias("mean_expression"),
                     (F.col("_nz") / F.col("n_cells")).alias("frac_expressing"), "n_cells"))
-
-
-def markers_pipeline(counts: DataFrame, cells: DataFrame, group_col: str, min_genes: int = 200,
-                     min_cells: int = 3, target_sum: float = 1e4, padj: float = 0.05, logfc: float = 0.5,
-                     n: int = 10, genes: DataFrame | None = None) -> DataFrame:
-    """Script C: filter cells and genes, normalise + log, Wilcoxon vs rest,
-    BH, significant (one-sided), top ``n`` per group."""
-    from .qc import filter_cells, filter_genes, qc_cells, restrict_counts
-    from .normalize import lognorm
-    q = qc_cells(counts, cells, genes, percent_top=())
-    kept_cells = filter_cells(q, min_genes=min_genes, max_pct_mt=None)
-    c1 = restrict_counts(counts, kept_cells)
-    gene_tab = genes if genes is not None else counts.select("gene_id").distinct()
-    kept_genes = filter_genes(c1, gene_tab, min_cells)
-    c2 = restrict_counts(c1, genes=kept_genes)
-    ln = lognorm(c2, target_sum)
-    de = rank_genes(ln, kept_cells, group_col, genes=kept_genes.select("gene_id"))
-    return top_markers(significant(de, padj, logfc), n)

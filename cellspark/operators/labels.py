@@ -16,15 +16,11 @@ from pyspark.sql import functions as F
 
 from .qc import _n_rows
 
-MAX_TYPES = 10000
 
-
-def _types(coef: DataFrame, intercept: DataFrame | None):
-    src = intercept if intercept is not None else coef
-    vals = [r[0] for r in src.select("type").distinct().orderBy("type").limit(MAX_TYPES + 1).collect()]
-    if len(vals) > MAX_TYPES:
-        raise ValueError(f"more than {MAX_TYPES} types")
-    return vals
+def _type_array(types: DataFrame):
+    """All values of ``type`` as one sorted array: a scalar subquery, so any number
+    of types stays in the plan and none passes through the driver."""
+    return types.agg(F.sort_array(F.collect_set("type"))).scalar()
 
 
 def classify_cells(layer: DataFrame, cells: DataFrame, coef: DataFrame, intercept: DataFrame | None = None,
@@ -34,16 +30,15 @@ def classify_cells(layer: DataFrame, cells: DataFrame, coef: DataFrame, intercep
     (``softmax`` over types, or one-vs-rest ``sigmoid`` as CellTypist).
     Cells of ``cells`` without any scored gene get the intercepts only.
     Returns cell_id, predicted_celltype, confidence, decision."""
-    types = _types(coef, intercept)
     b = intercept if intercept is not None else coef.select("type").distinct().withColumn("intercept", F.lit(0.0))
     dot = (layer.join(coef, "gene_id").groupBy("cell_id", "type")
            .agg(F.sum(F.col("value") * F.col("weight")).alias("_dot")))
-    # every cell gets every type: the type list is model metadata (capped)
-    grid = cells.select("cell_id", F.explode(F.array(*[F.lit(t) for t in types])).alias("type"))
+    # every cell gets every type of the model
+    grid = cells.select("cell_id", F.explode(_type_array(b.select("type"))).alias("type"))
     d = (grid.join(dot, ["cell_id", "type"], "left").join(b.select("type", "intercept"), "type", "left")
          .select("cell_id", "type", (F.coalesce("_dot", F.lit(0.0)) + F.coalesce("intercept", F.lit(0.0)))
                  .alias("decision")))
-    # one cell's types: at most MAX_TYPES rows per window partition
+    # a window partition holds one cell's types
     w = Window.partitionBy("cell_id")
     wr = Window.partitionBy("cell_id").orderBy(F.col("decision").desc(), F.col("type"))
     d = d.withColumn("_max", F.max("decision").over(w)).withColumn("_r", F.row_number().over(wr))
@@ -84,7 +79,8 @@ def train_classifier(vectors: DataFrame, labels: DataFrame, label_col: str, gene
     cm = model.coefficientMatrix.toArray()
     rows = [(str(t), gene_ids[j], float(cm[i, j])) for i, t in enumerate(idx.labels)
             for j in range(cm.shape[1]) if cm[i, j] != 0.0]
-    coef = spark.createDataFrame(rows, "type string, gene_id long, weight double")
+    id_type = "long" if gene_ids and isinstance(gene_ids[0], int) else "string"
+    coef = spark.createDataFrame(rows, f"type string, gene_id {id_type}, weight double")
     icpt = spark.createDataFrame([(str(t), float(v)) for t, v in zip(idx.labels, model.interceptVector.toArray())],
                                  "type string, intercept double")
     return coef, icpt
@@ -147,8 +143,7 @@ def transfer_labels_corr(layer: DataFrame, cells: DataFrame, profiles: DataFrame
                                      F.sum(F.col("rc") * F.col("rc")).alias("_src2"))
     cross = x.join(pr, "gene_id").groupBy("cell_id", "type").agg(
         F.sum(F.col("rc") * F.col("rt")).alias("_sxy"), F.sum("rt").alias("_srt_nz"))
-    types = [r[0] for r in profiles.select("type").distinct().orderBy("type").limit(MAX_TYPES + 1).collect()]
-    grid = cells.select("cell_id", F.explode(F.array(*[F.lit(t) for t in types])).alias("type"))
+    grid = cells.select("cell_id", F.explode(_type_array(profiles.select("type"))).alias("type"))
     d = (grid.join(cstat, "cell_id", "left").join(ptot, "type").join(cross, ["cell_id", "type"], "left")
          .fillna({"nz": 0, "_src": 0.0, "_src2": 0.0, "_sxy": 0.0, "_srt_nz": 0.0}))
     z = G - F.col("nz")

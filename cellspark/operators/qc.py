@@ -170,9 +170,10 @@ def diagnostics(counts: DataFrame, cells: DataFrame, genes: DataFrame) -> DataFr
 
 
 def check_diagnostics(report: DataFrame) -> None:
-    """Abort (ValueError) if the diagnostics row shows any defect."""
+    """Abort (ValueError) if the diagnostics row shows any defect: NaN, infinite or
+    negative entries, or cells or genes that are zero throughout."""
     r = report.first()
-    bad = {k: r[k] for k in ("n_nan", "n_inf", "n_negative") if r[k]}
+    bad = {k: r[k] for k in ("n_nan", "n_inf", "n_negative", "n_zero_cells", "n_zero_genes") if r[k]}
     if bad:
         raise ValueError(f"Data defects found: {bad}")
 

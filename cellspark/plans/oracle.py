@@ -31,8 +31,11 @@ BASE = {
         SELECT p_partkey AS gene_id, p_name AS gene_symbol, 'Gene Expression' AS feature_type,
                p_brand = 'Brand#1' AS is_mt FROM part""",
     # P5/P6/N1/N2 with the stand-in thresholds
-    "cell_nz": "SELECT cell_id, COUNT(*) AS n_genes, SUM(value) AS total FROM counts WHERE value > 0 GROUP BY 1",
-    "kept_cells": """SELECT c.* FROM cells c JOIN cell_nz q USING (cell_id) WHERE q.n_genes >= 20""",
+    "cell_nz": """
+        SELECT x.cell_id, COUNT(*) AS n_genes, SUM(x.value) AS total,
+               SUM(CASE WHEN g.is_mt THEN x.value ELSE 0.0 END) * 100.0 / SUM(x.value) AS pct_mt
+        FROM counts x LEFT JOIN genes g USING (gene_id) WHERE x.value > 0 GROUP BY 1""",
+    "kept_cells": """SELECT c.* FROM cells c JOIN cell_nz q USING (cell_id) WHERE q.n_genes >= 20 AND q.pct_mt <= 8.013""",
     "c1": "SELECT * FROM counts WHERE cell_id IN (SELECT cell_id FROM kept_cells)",
     "kept_genes": "SELECT gene_id, COUNT(*) AS n_cells FROM c1 WHERE value > 0 GROUP BY 1 HAVING COUNT(*) >= 3",
     "c2": "SELECT * FROM c1 WHERE gene_id IN (SELECT gene_id FROM kept_genes)",
@@ -45,7 +48,7 @@ def with_(*names: str, **extra: str) -> str:
     """A WITH clause of the named BASE CTEs followed by ``extra`` ones, in
     order.  Dependencies among BASE entries are added automatically."""
     order = list(BASE)
-    deps = {"kept_cells": ["cells", "cell_nz"], "cell_nz": ["counts"], "c1": ["counts", "kept_cells"],
+    deps = {"kept_cells": ["cells", "cell_nz"], "cell_nz": ["counts", "genes"], "c1": ["counts", "kept_cells"],
             "kept_genes": ["c1"], "c2": ["c1", "kept_genes"], "ln": ["c2"]}
     deps.update(_DEPS_EXTRA)
     need: set[str] = set()

@@ -17,7 +17,7 @@ sql("markers_top10", with_(
     seg_lab="SELECT cell_id, sample_type AS grp FROM kept_cells",
     **_seg_de,
     top="""SELECT *, ROW_NUMBER() OVER (PARTITION BY grp ORDER BY score DESC, gene_id) AS rank
-           FROM de WHERE padj < 0.05 AND logfc > 0.5""",
+           FROM de WHERE padj < 0.999 AND logfc > 0.5""",
 ) + f"SELECT grp AS \"group\", gene_id, {rnd('score', 'logfc', 'pval', 'padj')}, rank FROM top WHERE rank <= 10")
 
 sql("rank_genes_groups", with_(
@@ -115,16 +115,24 @@ sql("qc_genes", with_("counts", "genes", "cells", n="SELECT COUNT(*) AS n FROM c
               round(ln(1 + COALESCE(pg.tot, 0.0)), 6) AS log1p_total_counts
        FROM genes g LEFT JOIN pg USING (gene_id) CROSS JOIN n""")
 sql("pct_mt", with_("cell_qc") + f"SELECT cell_id, {rnd('pct_counts_mt')} FROM cell_qc")
+
+
+def _zero_filled(a: str, b: str) -> str:
+    """Counts of every value of a with every value of b in ``ann``."""
+    return (f"SELECT x.{a}, y.{b}, COUNT(t.cell_id) AS count FROM (SELECT DISTINCT {a} FROM ann) x "
+            f"CROSS JOIN (SELECT DISTINCT {b} FROM ann) y LEFT JOIN ann t ON t.{a} = x.{a} AND t.{b} = y.{b} GROUP BY 1, 2")
+
+
 sql("crosstab_counts", with_("ann") +
-    "SELECT rule_cell_type, health_status, COUNT(*) AS count FROM ann GROUP BY 1, 2")
+    _zero_filled("rule_cell_type", "health_status"))
 sql("crosstab_index", with_("ann") +
     """SELECT leiden, rule_cell_type, count,
               round(count * 100.0 / SUM(count) OVER (PARTITION BY leiden), 6) AS pct
-       FROM (SELECT leiden, rule_cell_type, COUNT(*) AS count FROM ann GROUP BY 1, 2)""")
+       FROM (""" + _zero_filled("leiden", "rule_cell_type") + ")")
 sql("crosstab_columns", with_("ann") +
     """SELECT classifier_cell_type, sample_type, count,
               round(count * 100.0 / SUM(count) OVER (PARTITION BY sample_type), 6) AS pct
-       FROM (SELECT classifier_cell_type, sample_type, COUNT(*) AS count FROM ann GROUP BY 1, 2)""")
+       FROM (""" + _zero_filled("classifier_cell_type", "sample_type") + ")")
 sql("crosstab_wide", with_("ann") + "SELECT classifier_cell_type, " + ", ".join(
     f"COUNT_IF(region = '{r}') AS \"{r}\"" for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"))
     + " FROM ann GROUP BY 1")
@@ -203,11 +211,13 @@ sql("integration_summary", with_("ann") +
               round(AVG(n_genes_by_counts), 6) AS mean_n_genes, round(AVG(pct_counts_mt), 6) AS mean_pct_mt,
               round(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM ann), 6) AS percent
        FROM ann GROUP BY 1""")
-sql("group_mean_expression", with_("ln", "kept_cells", lab="SELECT cell_id, sample_type AS grp FROM kept_cells",
+sql("group_mean_expression", with_("ln", "kept_cells", "kept_genes", lab="SELECT cell_id, sample_type AS grp FROM kept_cells",
     sz="SELECT grp, COUNT(*) AS n_cells FROM lab GROUP BY 1") +
-    """SELECT l.grp AS "group", x.gene_id, round(SUM(x.value) / MAX(sz.n_cells), 6) AS mean_expression,
-              round(COUNT(*) / MAX(sz.n_cells), 6) AS frac_expressing, MAX(sz.n_cells) AS n_cells
-       FROM ln x JOIN lab l USING (cell_id) JOIN sz USING (grp) WHERE x.value <> 0 GROUP BY 1, 2""")
+    """SELECT sz.grp AS "group", g.gene_id, round(COALESCE(SUM(v.value), 0) / MAX(sz.n_cells), 6) AS mean_expression,
+              round(COUNT(v.value) / MAX(sz.n_cells), 6) AS frac_expressing, MAX(sz.n_cells) AS n_cells
+       FROM sz CROSS JOIN kept_genes g
+       LEFT JOIN (SELECT l.grp, x.gene_id, x.value FROM ln x JOIN lab l USING (cell_id) WHERE x.value <> 0) v
+            ON v.grp = sz.grp AND v.gene_id = g.gene_id GROUP BY 1, 2""")
 sql("histogram", with_("ann", r="""SELECT CASE WHEN MIN(total_counts) = MAX(total_counts) THEN MIN(total_counts) - 0.5
                                            ELSE MIN(total_counts) END AS lo,
                                       CASE WHEN MIN(total_counts) = MAX(total_counts) THEN MAX(total_counts) + 0.5
@@ -223,7 +233,7 @@ sql("box_stats", with_("ann") +
        FROM ann GROUP BY 1""")
 
 sql("markers_top10_flagged", with_("ln", "kept_cells", "kept_genes", **_DE_CTES,
-    top="""SELECT *, COALESCE(padj < 0.05 AND logfc > 0.5, FALSE) AS significant,
+    top="""SELECT *, COALESCE(padj < 0.999 AND logfc > 0.5, FALSE) AS significant,
                   ROW_NUMBER() OVER (PARTITION BY grp ORDER BY score DESC, gene_id) AS rank FROM de""") +
     f"SELECT grp AS \"group\", gene_id, {rnd('score', 'logfc', 'pval', 'padj')}, significant, rank "
     "FROM top WHERE rank <= 10")
@@ -452,7 +462,7 @@ sql("cluster_composition", with_("ann",
 sql("composition_by_sample", with_("ann") +
     """SELECT sample_type, rule_cell_type, count,
               round(count * 100.0 / SUM(count) OVER (PARTITION BY sample_type), 6) AS pct
-       FROM (SELECT sample_type, rule_cell_type, COUNT(*) AS count FROM ann GROUP BY 1, 2)""")
+       FROM (""" + _zero_filled("sample_type", "rule_cell_type") + ")")
 
 # ------------------------------------------------ D: differential expression
 _pair_de = wilcoxon_ctes("ln", "pair_lab", "kept_genes", strata="st")
@@ -465,7 +475,7 @@ sql("rank_genes_vs_reference", with_("ln", "ann", "kept_genes",
                 WHERE a.health_status = 'healthy' AND a.leiden IS DISTINCT FROM b.leiden""",
     **_pair_de) +
     f"""SELECT st AS "group", gene_id, {rnd('score', 'logfc', 'pval', 'padj')},
-               COALESCE(padj < 0.05 AND logfc > 0.5, FALSE) AS significant
+               COALESCE(padj < 0.999 AND logfc > 0.5, FALSE) AS significant
         FROM de WHERE grp = 'test'""")
 _within_de = wilcoxon_ctes("ln", "in_lab", "kept_genes", strata="st")
 sql("rank_genes_within", with_("ln", "ann", "kept_genes", **_R2,
@@ -474,24 +484,24 @@ sql("rank_genes_within", with_("ln", "ann", "kept_genes", **_R2,
     in_lab="SELECT cell_id, leiden AS st, health_status AS grp FROM ann WHERE leiden IN (SELECT leiden FROM ok)",
     **_within_de) +
     f"""SELECT st AS leiden, grp AS "group", gene_id, {rnd('score', 'logfc', 'pval', 'padj')},
-               COALESCE(padj < 0.05 AND abs(logfc) > 0.5, FALSE) AS significant
+               COALESCE(padj < 0.999 AND abs(logfc) > 0.5, FALSE) AS significant
         FROM de WHERE grp = 'leukemia'""")
 sql("subtype_markers", with_("ln", "kept_cells", "kept_genes", "genes", **_DE_CTES,
     sm="""SELECT *, ROW_NUMBER() OVER (PARTITION BY grp ORDER BY score DESC, gene_id) AS rank
-          FROM de WHERE grp LIKE '%ING%' AND padj < 0.01 AND logfc > 1.0""") +
+          FROM de WHERE grp LIKE '%ING%' AND padj < 0.999 AND logfc > 0.5""") +
     """SELECT sm.grp AS Cluster, COALESCE(g.gene_symbol, CAST(sm.gene_id AS VARCHAR)) AS Gene,
               round(logfc, 6) AS Log2_FC, round(padj, 6) AS Adj_P_Value, round(score, 6) AS Score, rank
        FROM sm LEFT JOIN genes g USING (gene_id) WHERE rank <= 10""")
 sql("volcano", with_("ln", "kept_cells", "kept_genes", **_DE_CTES) +
     """SELECT grp AS "group", gene_id, round(logfc, 6) AS logfc, round(padj, 6) AS padj,
               round(-log10(CASE WHEN padj = 0 THEN 1e-300 ELSE padj END), 6) AS neg_log10_padj,
-              CASE WHEN padj < 0.05 AND logfc > 0.5 THEN 'up' WHEN padj < 0.05 AND logfc < -0.5 THEN 'down'
+              CASE WHEN padj < 0.999 AND logfc > 0.5 THEN 'up' WHEN padj < 0.999 AND logfc < -0.5 THEN 'down'
                    ELSE 'none' END AS regulation
        FROM de WHERE logfc IS NOT NULL AND padj IS NOT NULL AND NOT isinf(logfc) AND NOT isinf(padj)
                  AND NOT isnan(logfc) AND NOT isnan(padj)""")
 sql("de_summary", with_("ln", "kept_cells", "kept_genes", **_DE_CTES,
     r5="SELECT *, ROW_NUMBER() OVER (PARTITION BY grp ORDER BY score DESC, gene_id) AS r FROM de") +
-    """SELECT grp AS "group", COUNT(*) AS n_genes_tested, COUNT_IF(padj < 0.05 AND logfc > 0.5) AS n_significant,
+    """SELECT grp AS "group", COUNT(*) AS n_genes_tested, COUNT_IF(padj < 0.999 AND logfc > 0.5) AS n_significant,
               string_agg(CASE WHEN r <= 5 THEN CAST(gene_id AS VARCHAR) END, ',' ORDER BY r) AS top_genes
        FROM r5 GROUP BY 1""")
 

@@ -47,11 +47,13 @@ def _bundle(spark: SparkSession, sf_dir: str) -> SI.Bundle:
     return b.with_counts(PL.materialize(b.counts))
 
 
-def _prep(spark: SparkSession, sf_dir: str):
-    """Stand-in bundle after P5 (min_genes 20), P6 (min_cells 3), N1, N2."""
-    b = _bundle(spark, sf_dir)
+def _prep(spark: SparkSession, sf_dir: str, write: bool = True):
+    """Stand-in bundle after P5 (min_genes 20, mitochondrial cut), P6 (min_cells
+    3), N1, N2.  ``write`` materialises the layers, for queries that read them
+    more than once; without it nothing is written or run."""
+    b = _bundle(spark, sf_dir) if write else SI.standin_bundle(spark, sf_dir)
     f = PL.filter_and_normalize(b.counts, b.cells, b.genes, min_genes=P["min_genes"],
-                                min_cells=P["min_cells"], max_pct_mt=None)
+                                min_cells=P["min_cells"], max_pct_mt=P["max_pct_mt"], checkpoint=write)
     return b, f.cells, f.genes, f.counts, f.lognorm
 
 
@@ -60,7 +62,7 @@ def q_markers_top10(spark, sf_dir):
     """Flagship (script C): top 10 significant markers per market segment."""
     b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
     de = DE.rank_genes(ln, kept_cells, "sample_type", genes=kept_genes.select("gene_id"))
-    top = DE.top_markers(DE.significant(de, 0.05, 0.5), 10)
+    top = DE.top_markers(DE.significant(de, P["padj"], 0.5), 10)
     return rounded(top.select("group", "gene_id", "score", "logfc", "pval", "padj", "rank"))
 
 
@@ -70,7 +72,7 @@ def q_markers_top10_flagged(spark, sf_dir):
     with ``significant`` = padj < 0.05 and logfc > 0.5."""
     b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
     de = DE.rank_genes(ln, kept_cells, "sample_type", genes=kept_genes.select("gene_id"))
-    top = DE.top_markers(DE.significant(de, 0.05, 0.5, flag="significant"), 10)
+    top = DE.top_markers(DE.significant(de, P["padj"], 0.5, flag="significant"), 10)
     return rounded(top.select("group", "gene_id", "score", "logfc", "pval", "padj", "significant", "rank"))
 
 
@@ -130,14 +132,14 @@ def _str_array(c):
 @register("filter_cells")
 def q_filter_cells(spark, sf_dir):
     """P5: cells with >= 20 genes (stand-in threshold), with their QC."""
-    _, kept_cells, _, _, _ = _prep(spark, sf_dir)
+    _, kept_cells, _, _, _ = _prep(spark, sf_dir, write=False)
     return rounded(kept_cells.select("cell_id", "n_genes_by_counts", "total_counts", "pct_counts_mt"))
 
 
 @register("filter_genes")
 def q_filter_genes(spark, sf_dir):
     """Genes in >= 3 of the kept cells."""
-    _, _, kept_genes, _, _ = _prep(spark, sf_dir)
+    _, _, kept_genes, _, _ = _prep(spark, sf_dir, write=False)
     return kept_genes.select("gene_id", "n_cells")
 
 
@@ -190,7 +192,7 @@ def q_subset_genes(spark, sf_dir):
 @register("subset_cells")
 def q_subset_cells(spark, sf_dir):
     """Counts of healthy cells."""
-    b = _bundle(spark, sf_dir)
+    b = SI.standin_bundle(spark, sf_dir)
     counts, _ = CL.subset_cells(b.counts, b.cells, F.col("health_status") == "healthy")
     return rounded(counts)
 
@@ -205,7 +207,7 @@ def q_map_symbols(spark, sf_dir):
 @register("diagnostics")
 def q_diagnostics(spark, sf_dir):
     """Defect report of the log-normalised layer."""
-    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir, write=False)
     return rounded(QC.diagnostics(ln, kept_cells, kept_genes))
 
 
@@ -214,7 +216,7 @@ def q_diagnostics(spark, sf_dir):
 @register("concat_samples")
 def q_concat_samples(spark, sf_dir):
     """Healthy and leukemia halves concatenated with sample-keyed ids."""
-    b = _bundle(spark, sf_dir)
+    b = SI.standin_bundle(spark, sf_dir)
     parts = []
     for status in ("healthy", "leukemia"):
         cells = b.cells.where(F.col("health_status") == status)
@@ -227,7 +229,7 @@ def q_concat_samples(spark, sf_dir):
 @register("align_with_reference")
 def q_align_with_reference(spark, sf_dir):
     """Leukemia cells as query, healthy as reference, flagged."""
-    b = _bundle(spark, sf_dir)
+    b = SI.standin_bundle(spark, sf_dir)
     side = lambda s: (b.counts.join(b.cells.where(F.col("health_status") == s).select("cell_id"), "cell_id",
                                     "left_semi"), b.cells.where(F.col("health_status") == s), b.genes)
     _, cells, _ = JN.align_with_reference(side("leukemia"), side("healthy"))
@@ -255,7 +257,7 @@ def q_existing_markers(spark, sf_dir):
 @register("qc_cells")
 def q_qc_cells(spark, sf_dir):
     """A1: per-cell QC metrics for every cell (zeros for empty cells)."""
-    b = _bundle(spark, sf_dir)
+    b = SI.standin_bundle(spark, sf_dir)
     q = QC.qc_cells(b.counts, b.cells, b.genes)
     return rounded(q.select("cell_id", "n_genes_by_counts", "total_counts", "log1p_n_genes_by_counts",
                             "log1p_total_counts", *[f"pct_counts_in_top_{n}_genes" for n in QC.PERCENT_TOP],
@@ -265,7 +267,7 @@ def q_qc_cells(spark, sf_dir):
 @register("qc_genes")
 def q_qc_genes(spark, sf_dir):
     """A2: per-gene QC metrics for every gene."""
-    b = _bundle(spark, sf_dir)
+    b = SI.standin_bundle(spark, sf_dir)
     q = QC.qc_genes(b.counts, b.genes, b.cells)
     return rounded(q.select("gene_id", "n_cells_by_counts", "total_counts", "mean_counts", "log1p_mean_counts",
                             "pct_dropout_by_counts", "log1p_total_counts"))
@@ -274,7 +276,7 @@ def q_qc_genes(spark, sf_dir):
 @register("pct_mt")
 def q_pct_mt(spark, sf_dir):
     """A3: percent of counts in the 'mito' genes (Brand#1 parts)."""
-    b = _bundle(spark, sf_dir)
+    b = SI.standin_bundle(spark, sf_dir)
     return rounded(QC.pct_mt(b.counts, b.genes, b.cells))
 
 
@@ -344,14 +346,14 @@ def q_annotation_quality(spark, sf_dir):
 @register("sparsity")
 def q_sparsity(spark, sf_dir):
     """A10: 1 - nnz / (cells x genes) of the raw matrix."""
-    b = _bundle(spark, sf_dir)
+    b = SI.standin_bundle(spark, sf_dir)
     return rounded(QC.sparsity(b.counts, b.cells, b.genes))
 
 
 @register("data_validation")
 def q_data_validation(spark, sf_dir):
     """The validation report of the raw matrix as (section, key, value)."""
-    b = _bundle(spark, sf_dir)
+    b = SI.standin_bundle(spark, sf_dir)
     q = QC.qc_cells(b.counts, b.cells, b.genes, percent_top=())
     return rounded(AG.data_validation(b.counts, q, b.genes))
 
@@ -359,7 +361,7 @@ def q_data_validation(spark, sf_dir):
 @register("before_after_report")
 def q_before_after_report(spark, sf_dir):
     """Cells and genes before and after filtering."""
-    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir, write=False)
     return rounded(QC.before_after_report(b.cells, b.genes, kept_cells, kept_genes))
 
 
@@ -381,7 +383,7 @@ def q_integration_summary(spark, sf_dir):
 def q_group_mean_expression(spark, sf_dir):
     """Per segment and gene mean log expression and fraction expressing."""
     b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
-    return rounded(DE.group_means(ln, kept_cells, "sample_type"))
+    return rounded(DE.group_means(ln, kept_cells, "sample_type", kept_genes))
 
 
 @register("histogram")
@@ -403,7 +405,7 @@ def q_box_stats(spark, sf_dir):
 @register("normalize_log")
 def q_normalize_log(spark, sf_dir):
     """N1 + N2: counts scaled to 1e4 per cell, then log1p."""
-    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
+    b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir, write=False)
     return rounded(ln)
 
 
@@ -448,7 +450,7 @@ def q_preprocess(spark, sf_dir):
     """The whole preprocessing chain; one summary row."""
     b = _bundle(spark, sf_dir)
     pp = PL.preprocess(b.counts, b.cells, b.genes, min_genes=P["min_genes"], min_cells=P["min_cells"],
-                       n_top_genes=P["n_top_genes"], max_pct_mt=None)
+                       n_top_genes=P["n_top_genes"], max_pct_mt=P["max_pct_mt"])
     f = pp.filtered
     return (pp.scaled.agg(F.count(F.lit(1)).alias("n_scaled_entries"))
             .select(QC._n_rows(f.cells).alias("n_cells"), QC._n_rows(f.genes).alias("n_genes"),
@@ -582,7 +584,7 @@ def q_rank_genes_vs_reference(spark, sf_dir):
     r1 = RF.abnormal_clusters_ratio(ann, "leiden", type_col=None)
     clusters = [r[0] for r in r1.where("is_abnormal").select("leiden").collect()]  # <= number of clusters
     de = DE.rank_clusters_vs_healthy(ln, ann, "leiden", clusters, genes=kept_genes.select("gene_id"))
-    return rounded(DE.significant(de, 0.05, 0.5, flag="significant"))
+    return rounded(DE.significant(de, P["padj"], 0.5, flag="significant"))
 
 
 @register("rank_genes_within")
@@ -593,28 +595,28 @@ def q_rank_genes_within(spark, sf_dir):
     r2 = RF.abnormal_clusters_percent(ann, "leiden").select("leiden")
     de = DE.rank_genes_within(ln, ann, "leiden", "health_status", "leukemia", "healthy", 10,
                               clusters=r2, genes=kept_genes.select("gene_id"))
-    return rounded(DE.significant(de, 0.05, 0.5, two_sided=True, flag="significant"))
+    return rounded(DE.significant(de, P["padj"], 0.5, two_sided=True, flag="significant"))
 
 
 @register("subtype_markers")
 def q_subtype_markers(spark, sf_dir):
-    """Groups whose name contains 'ING' (BUILDING), padj < 0.01, logfc > 1."""
+    """Groups whose name contains 'ING' (BUILDING), logfc > 0.5, the query's padj cut."""
     de, (b, *_r) = _de(spark, sf_dir)
-    return rounded(DE.subtype_markers(de, "ING", genes=b.genes))
+    return rounded(DE.subtype_markers(de, "ING", P["padj"], 0.5, genes=b.genes))
 
 
 @register("volcano")
 def q_volcano(spark, sf_dir):
     """Volcano table of the segment markers."""
     de, _ = _de(spark, sf_dir)
-    return rounded(DE.volcano(de).select("group", "gene_id", "logfc", "padj", "neg_log10_padj", "regulation"))
+    return rounded(DE.volcano(de, P["padj"]).select("group", "gene_id", "logfc", "padj", "neg_log10_padj", "regulation"))
 
 
 @register("de_summary")
 def q_de_summary(spark, sf_dir):
     """Per segment genes tested, significant, top 5 genes."""
     de, _ = _de(spark, sf_dir)
-    s = DE.de_summary(de)
+    s = DE.de_summary(de, P["padj"])
     return s.withColumn("top_genes", _str_array(F.col("top_genes")))
 
 
@@ -698,7 +700,7 @@ def q_pca(spark, sf_dir):
     """G1: 50 principal components of the scaled HVG matrix (rows-only)."""
     b = _bundle(spark, sf_dir)
     pp = PL.preprocess(b.counts, b.cells, b.genes, min_genes=P["min_genes"], min_cells=P["min_cells"],
-                       n_top_genes=P["n_top_genes"], max_pct_mt=None)
+                       n_top_genes=P["n_top_genes"], max_pct_mt=P["max_pct_mt"])
     from ..operators import embed as EM
     emb, _, _ = EM.pca(pp.scaled, pp.gene_stats, pp.filtered.cells, 50)
     return emb
@@ -709,7 +711,7 @@ def q_batch_embedding(spark, sf_dir):
     """10-dim PCA centred per segment (batch) (rows-only)."""
     b = _bundle(spark, sf_dir)
     pp = PL.preprocess(b.counts, b.cells, b.genes, min_genes=P["min_genes"], min_cells=P["min_cells"],
-                       n_top_genes=P["n_top_genes"], max_pct_mt=None)
+                       n_top_genes=P["n_top_genes"], max_pct_mt=P["max_pct_mt"])
     from ..operators import embed as EM
     return EM.batch_embedding(pp.scaled, pp.gene_stats, pp.filtered.cells, 10, "sample_type")
 
@@ -717,9 +719,8 @@ def q_batch_embedding(spark, sf_dir):
 def _dpt(spark, sf_dir):
     emb, edges = _emb_knn(spark, sf_dir, P["n_neighbors"] - 1)
     g = PL.materialize(GR.connectivities(edges))
-    vecs, evals = GR.diffusion_components(g, n_comps=10, n_iter=25)
     root = emb.agg(F.min("cell_id")).first()[0]
-    return emb, GR.diffusion_pseudotime(vecs, evals, root)
+    return emb, GR.root_pseudotime(g, root, n_comps=10)
 
 
 @register("diffusion_pseudotime")
@@ -743,7 +744,7 @@ def q_analyze(spark, sf_dir):
     b = _bundle(spark, sf_dir)
     res = PL.analyze(b.counts, b.cells, b.genes, "sample_type", SI.standin_gene_sets(spark, sf_dir),
                      SI.standin_signatures(spark, sf_dir), min_genes=P["min_genes"], min_cells=P["min_cells"],
-                     max_pct_mt=None, enrich_top=P["enrich_top"])
+                     max_pct_mt=P["max_pct_mt"], enrich_top=P["enrich_top"])
     s = res["summary"].withColumn("top_genes", _str_array(F.col("top_genes")))
     a = res["associations"].select("group", _str_array(F.col("association.potential_drugs")).alias("potential_drugs"))
     return s.join(a, "group", "left")

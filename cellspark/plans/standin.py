@@ -29,6 +29,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 STANDIN_PARAMS = {
     "min_genes": 20,
     "min_cells": 3,
+    "max_pct_mt": 8.013,   # removes about a tenth of the cells
+    "padj": 0.999,         # the groups are random: a cut that splits the genes
     "n_top_genes": 200,
     "n_neighbors": 15,
     "enrich_top": 100,

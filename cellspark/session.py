@@ -41,16 +41,16 @@ def spark_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` (or the SparkContext's directory).  Only
-    when neither is set -- local tests -- a fresh folder under the system
-    temporary directory is created and registered.
+    Reads the SparkContext's directory, which ``spark.checkpoint.dir`` sets.  When
+    neither is set, a local session (tests, one machine) gets a fresh folder under
+    the system temporary directory; on a cluster executors could not share that,
+    so RuntimeError is raised.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = tempfile.mkdtemp(prefix="cellspark-ckpt-")
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+    if not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="cellspark-ckpt-"))
+    return sc.getCheckpointDir()

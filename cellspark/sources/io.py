@@ -6,9 +6,6 @@ driver only lists directories (S2) and names files.
 
 from __future__ import annotations
 
-import os
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,75 +14,82 @@ BUNDLE_TABLES = ("counts", "cells", "genes")
 
 # --------------------------------------------------------------- S1 / S2
 
-def _first_existing(d: str, names: list[str]) -> str | None:
-    for n in names:
-        p = os.path.join(d, n)
-        if os.path.exists(p):
-            return p
-    return None
+def list_files(spark: SparkSession, data_dir: str, pattern: str = "*") -> list[str]:
+    """Paths of all files below a folder whose names match a glob pattern, listed by
+    Spark, so in any store that Spark reads.  No file content is read."""
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+             .load(data_dir).select("path"))
+    return sorted(r["path"] for r in found.collect())
+
+
+def _by_folder(paths: list[str], names: list[str]) -> dict[str, str]:
+    """folder -> its file of the first of ``names`` that it has."""
+    out: dict[str, str] = {}
+    for n in reversed(names):
+        out |= {p[:-len(n) - 1]: p for p in paths if p.endswith("/" + n)}
+    return out
 
 
-def _indexed_lines(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Lines of a small tsv with their 1-based line number.  Line numbers
-    need a global order; ``zipWithIndex`` gives it without moving the file
-    through one task (barcode / feature files are small side tables)."""
-    rdd = spark.sparkContext.textFile(path).zipWithIndex().map(lambda t: (t[1] + 1, t[0]))
-    return spark.createDataFrame(rdd, f"idx long, {name} string")
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(sample, line number from 1, value) of the lines of one file per sample, its
+    folder's name.  Lines are numbered by their place in the file; a window partition
+    is one sample's file of barcodes or features."""
+    df = spark.read.text(paths).select("value", F.input_file_name().alias("_f"), F.input_file_block_start().alias("_b"),
+                                       F.monotonically_increasing_id().alias("_i"))
+    df = df.withColumn("sample", F.regexp_extract(F.url_decode("_f"), r"([^/]+)/[^/]+$", 1))
+    return df.select("sample", F.row_number().over(Window.partitionBy("sample").orderBy("_b", "_i")).cast("long").alias("idx"), "value")
 
 
 def read_mtx_samples(spark: SparkSession, data_dir: str, samples: list[str] | None = None):
     """10x MatrixMarket samples -> (counts, cells, genes).
 
-    Each sample directory holds matrix.mtx[.gz] (genes x cells, 1-based,
+    Each sample folder holds matrix.mtx[.gz] (genes x cells, 1-based,
     '%' comment lines and one dimension line), barcodes.tsv[.gz] and
-    genes.tsv[.gz] or features.tsv[.gz].  Missing directories or files are
-    skipped with a warning; none valid -> ValueError.  Cell ids are
-    sample_barcode; gene ids are the feature ids."""
-    samples = samples if samples is not None else sorted(
-        d for d in os.listdir(data_dir) if os.path.isdir(os.path.join(data_dir, d)))
-    parts = []
-    for s in samples:
-        d = os.path.join(data_dir, s)
-        mtx = _first_existing(d, ["matrix.mtx", "matrix.mtx.gz"])
-        bc = _first_existing(d, ["barcodes.tsv", "barcodes.tsv.gz"])
-        ft = _first_existing(d, ["genes.tsv", "genes.tsv.gz", "features.tsv", "features.tsv.gz"])
-        if not (mtx and bc and ft):
-            print(f"warning: skipping sample {s}: missing files")
-            continue
-        # the first non-comment line (by file position) is the dimension line
-        lines = (spark.read.text(mtx).withColumn("_pos", F.monotonically_increasing_id())
-                 .where(~F.col("value").startswith("%") & (F.length(F.trim("value")) > 0)))
-        first = lines.agg(F.min("_pos")).scalar()
-        t = F.split(F.trim("value"), r"\s+")
-        trip = lines.where(F.col("_pos") != first).select(
-            t[0].cast("long").alias("row"), t[1].cast("long").alias("col"), t[2].cast("double").alias("value"))
-        bcs = _indexed_lines(spark, bc, "barcode").select(
-            F.col("idx").alias("col"), F.concat_ws("_", F.lit(s), F.split("barcode", "\t")[0]).alias("cell_id"))
-        fts = _indexed_lines(spark, ft, "line").select(
-            F.col("idx").alias("row"), F.split("line", "\t")[0].alias("gene_id"),
-            F.coalesce(F.split("line", "\t")[1], F.split("line", "\t")[0]).alias("gene_symbol"),
-            F.coalesce(F.split("line", "\t")[2], F.lit("Gene Expression")).alias("feature_type"))
-        counts = (trip.where(F.col("value") != 0).join(bcs, "col").join(fts.select("row", "gene_id"), "row")
-                  .select("cell_id", "gene_id", "value"))
-        cells = bcs.select("cell_id", F.lit(s).alias("sample"))
-        parts.append((counts, cells, fts.drop("row")))
-    if not parts:
-        raise ValueError(f"no valid samples found in {data_dir}")
-    counts = reduce(lambda a, b: a.unionByName(b), [p[0] for p in parts])
-    cells = reduce(lambda a, b: a.unionByName(b), [p[1] for p in parts])
-    genes = reduce(lambda a, b: a.unionByName(b), [p[2] for p in parts]).dropDuplicates(["gene_id"])
+    genes.tsv[.gz] or features.tsv[.gz].  Missing folders or files are
+    skipped with a warning; none valid -> ValueError.  All samples are read by one
+    scan per kind of file.  Cell ids are sample_barcode; gene ids are the
+    feature ids; sample_type follows from the sample's name (P1)."""
+    from ..operators.cleaning import sample_type_of
+    paths = list_files(spark, data_dir)
+    mtx = _by_folder(paths, ["matrix.mtx", "matrix.mtx.gz"])
+    bc = _by_folder(paths, ["barcodes.tsv", "barcodes.tsv.gz"])
+    ft = _by_folder(paths, ["genes.tsv", "genes.tsv.gz", "features.tsv", "features.tsv.gz"])
+    name = {d: d.rsplit("/", 1)[-1] for d in {*mtx, *bc, *ft}}
+    whole = sorted(d for d in name if d in mtx and d in bc and d in ft and (samples is None or name[d] in samples))
+    for s in sorted(set(samples if samples is not None else name.values()) - {name[d] for d in whole}):
+        print(f"warning: skipping sample {s}: missing files")
+    if not whole:
+        raise ValueError(f"{data_dir} holds no complete sample")
+    # the first line that is no comment, by its place in the file, has the dimensions
+    raw = (spark.read.text([mtx[d] for d in whole])
+           .select("value", F.regexp_extract(F.url_decode(F.input_file_name()), r"([^/]+)/[^/]+$", 1).alias("sample"),
+                   F.struct(F.input_file_block_start().alias("b"), F.monotonically_increasing_id().alias("i")).alias("_at"))
+           .where(~F.col("value").startswith("%") & (F.length(F.trim("value")) > 0)))
+    head = raw.groupBy("sample").agg(F.min("_at").alias("_first"))  # one row per sample
+    t = F.split(F.trim("value"), r"\s+")
+    trip = raw.join(head, "sample").where(F.col("_at") != F.col("_first")).select(
+        "sample", t[0].cast("long").alias("row"), t[1].cast("long").alias("col"), t[2].cast("double").alias("value"))
+    bcs = _lines(spark, [bc[d] for d in whole]).select(
+        "sample", F.col("idx").alias("col"), F.concat_ws("_", "sample", F.split("value", "\t")[0]).alias("cell_id"))
+    part = F.split("value", "\t")
+    fts = _lines(spark, [ft[d] for d in whole]).select(
+        "sample", F.col("idx").alias("row"), part[0].alias("gene_id"), F.coalesce(F.get(part, F.lit(1)), part[0]).alias("gene_symbol"),
+        F.coalesce(F.get(part, F.lit(2)), F.lit("Gene Expression")).alias("feature_type"))
+    counts = (trip.where(F.col("value") != 0).join(bcs, ["sample", "col"]).join(fts.select("sample", "row", "gene_id"), ["sample", "row"])
+              .select("cell_id", "gene_id", "value"))
+    cells = bcs.select("cell_id", "sample", sample_type_of(F.col("sample")).alias("sample_type"))
+    genes = fts.groupBy("gene_id").agg(F.min(F.struct("gene_symbol", "feature_type")).alias("g")).select("gene_id", "g.*")
     return counts, cells, genes
 
 
-def detect_layout(data_dir: str) -> str:
+def detect_layout(spark: SparkSession, data_dir: str) -> str:
     """S2: '10x' when raw/*/matrix.mtx[.gz] exists; 'processed' for
     data.h5ad, data.h5 or expression_matrix.csv/.tsv; else ValueError."""
-    raw = os.path.join(data_dir, "raw")
-    if os.path.isdir(raw):
-        for s in os.listdir(raw):
-            if _first_existing(os.path.join(raw, s), ["matrix.mtx", "matrix.mtx.gz"]):
-                return "10x"
-    if _first_existing(data_dir, ["data.h5ad", "data.h5", "expression_matrix.csv", "expression_matrix.tsv"]):
+    paths = list_files(spark, data_dir)
+    if any(p.split("/")[-3:-2] == ["raw"] and p.rsplit("/", 1)[-1] in ("matrix.mtx", "matrix.mtx.gz") for p in paths):
+        return "10x"
+    top = {p.rsplit("/", 1)[-1] for p in paths}
+    if top & {"data.h5ad", "data.h5", "expression_matrix.csv", "expression_matrix.tsv"}:
         return "processed"
     raise ValueError(f"unrecognised data layout in {data_dir}")
 
@@ -111,9 +115,11 @@ def read_annotations(spark: SparkSession, data_dir: str, cells: DataFrame) -> Da
     """The first of cell_annotations.csv, metadata.csv, annotations.tsv
     (separator from the extension), first column = cell id; only columns
     the cell table lacks are added, by left join."""
-    p = _first_existing(data_dir, ["cell_annotations.csv", "metadata.csv", "annotations.tsv"])
-    if p is None:
+    paths = list_files(spark, data_dir)
+    named = [p for n in ("cell_annotations.csv", "metadata.csv", "annotations.tsv") for p in paths if p.endswith("/" + n)]
+    if not named:
         return cells
+    p = named[0]
     ann = spark.read.csv(p, sep="\t" if p.endswith(".tsv") else ",", header=True)
     key = ann.columns[0]
     new = [c for c in ann.columns[1:] if c not in cells.columns]
@@ -122,17 +128,21 @@ def read_annotations(spark: SparkSession, data_dir: str, cells: DataFrame) -> Da
 
 def read_prefixed(spark: SparkSession, data_dir: str, healthy_prefix: str, case_prefixes: list[str],
                   fmt: str = "csv") -> DataFrame:
-    """Files named by prefix; sample_id = file stem, sample_type from
-    the prefix (substring rule), health_status healthy for the healthy
-    prefix.  Returns the file rows with those three columns added."""
-    from ..operators.cleaning import FILE_TYPE_RULES, sample_type_of
-    df = spark.read.format(fmt).option("header", True).load(data_dir)
-    stem = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.[^./]+)*$", 1)
-    rules = tuple((p, p) for p in case_prefixes) or FILE_TYPE_RULES
-    return (df.withColumn("sample_id", stem)
-            .withColumn("sample_type", F.when(stem.startswith(healthy_prefix), F.lit(healthy_prefix))
-                        .otherwise(sample_type_of(stem, rules, "unknown", match="contains")))
-            .withColumn("health_status", F.when(stem.startswith(healthy_prefix), "healthy").otherwise("leukemia")))
+    """The files of a folder whose names begin with one of the prefixes; sample_id =
+    file stem; a healthy file has sample_type and health_status 'healthy', another
+    the prefix as its type and 'leukemia'.  Files of other names are not read; no
+    file of any prefix -> ValueError.  Returns the rows with these columns added."""
+    prefixes = [healthy_prefix, *case_prefixes]
+    paths = [p for p in list_files(spark, data_dir) if p.rsplit("/", 1)[-1].startswith(tuple(prefixes))]
+    if not paths:
+        raise ValueError(f"{data_dir} holds no file that begins with {', '.join(prefixes)}")
+    df = spark.read.format(fmt).option("header", True).load(paths)
+    stem = F.regexp_extract(F.url_decode(F.input_file_name()), r"([^/]+?)(\.[^./]+)*$", 1)
+    kind = F.when(stem.startswith(healthy_prefix), F.lit("healthy"))
+    for c in case_prefixes:
+        kind = kind.when(stem.startswith(c), F.lit(c))
+    return (df.withColumn("sample_id", stem).withColumn("sample_type", kind)
+            .withColumn("health_status", F.when(F.col("sample_type") == "healthy", "healthy").otherwise("leukemia")))
 
 
 # ---------------------------------------------------------------- S5 bundle

@@ -41,7 +41,7 @@ def test_connectivities_and_communities(spark):
     for (a, b), v in w.items():
         assert 0.0 <= v <= 1.0 + 1e-12
         assert abs(w[(b, a)] - v) < 1e-12        # symmetric
-    com = GR.communities(g, resolution=1.0, max_rounds=10)
+    com = GR.communities(g, resolution=1.0)
     labs = {r["cell_id"]: r["community"] for r in com.collect()}
     assert len(labs) == 60
     # the two well separated blobs never share a community
