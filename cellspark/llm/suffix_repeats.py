@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize
+from ._shared import materialize, small_side
 from ._text import mix, powers, prefix_sums
 
 #: Window starts handled at a time, windows of a piece at each level, different pieces per suffix array.
@@ -285,9 +285,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs = k.select(F.col("_id").alias("id"), F.col("_key").alias("key"), F.col(text_col).cast("string").alias("text"))
     docs = docs.where(F.octet_length("text") >= min_len)
     runs = materialize(_run_rows(docs, min_len, anchor))
-    groups = (runs.groupBy("minimizer").agg(F.count("*").alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"))
-              .where("n > 1").select("minimizer", (F.col("lo") == F.col("hi")).alias("same")))
-    shared = materialize(runs.join(groups, "minimizer"))
+    # groups are a table of their own, so that the join's sides are plain shuffles and the rows of a
+    # frequent minimizer can be split
+    groups = materialize(runs.groupBy("minimizer").agg(F.count("*").alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"))
+                         .where("n > 1").select("minimizer", (F.col("lo") == F.col("hi")).alias("same")))
+    shared = materialize(runs.join(small_side(groups), "minimizer"))
     out = shared.where("same").select("id", "key", F.col("first").alias("start"), (F.col("last") + min_len).alias("stop"))
 
     # an equal row's runs are equal, so distinct runs describe all of them; rows count in copies below
@@ -297,8 +299,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                        .join(per_text, F.col("hid").eqNullSafe(F.col("id")) & (F.col("hkey") == F.col("key")))
                        .select("id", "key", "text", "runs"))
     pieces = materialize(_pieces(held, min_len))
-    counts = pieces.groupBy("core", "content").agg(F.count("*").alias("copies"), F.min(F.struct("id", "key", "o", "first", "last")).alias("r"))
-    kinds = counts.groupBy("core").agg(F.count("*").alias("kinds"), F.min("copies").alias("fewest")).where("kinds > 1 AND fewest = 1")
+    counts = materialize(pieces.groupBy("core", "content").agg(F.count("*").alias("copies"), F.min(F.struct("id", "key", "o", "first", "last")).alias("r")))
+    kinds = materialize(counts.groupBy("core").agg(F.count("*").alias("kinds"), F.min("copies").alias("fewest")).where("kinds > 1 AND fewest = 1"))
     out = out.union(pieces.join(counts.where("copies > 1").select("core", "content"), ["core", "content"], "left_semi")
                     .select("id", "key", F.col("first").alias("start"), (F.col("last") + min_len).alias("stop")))
     reps = counts.join(kinds, "core").select("r.*", "core", "content", "copies")
