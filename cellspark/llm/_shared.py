@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.pipeline import materialize
 
-__all__ = ["materialize", "table", "held_out", "WORD", "small_side"]
+__all__ = ["materialize", "table", "held_out", "WORD", "small_side", "sampled"]
 
 #: A word of the contracts: a run of anything but ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,3 +33,14 @@ def small_side(df: DataFrame, bytes_of=None) -> DataFrame:
     larger table is joined by a shuffle, with the same result."""
     size = df.agg(F.sum(bytes_of if bytes_of is not None else F.lit(32))).first()[0] or 0
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
+def sampled(docs: DataFrame, ids: DataFrame, id_col: str, bound: int) -> DataFrame:
+    """The rows of ``docs`` whose ids are among about ``bound`` of the ``ids``, chosen by
+    their hash: the ids are counted, and the hash range that holds so many of them is
+    kept.  Only these few ids are sent to the rows, so no text is shuffled."""
+    ids = ids.select(id_col).where(F.col(id_col).isNotNull()).distinct()
+    n = ids.count()
+    share = (1 << 20) if n <= bound else (bound << 20) // n
+    few = ids.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < share)
+    return docs.join(F.broadcast(few), id_col, "left_semi")  # about ``bound`` ids

@@ -26,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import sampled
 from ._text import mix, word_hashes
 
-#: At most so many labelled texts, of at most so many characters each, are used to fit the field.
+#: About so many labelled texts, of at most so many characters each, are used to fit the field.
 SAMPLE_TEXTS, SAMPLE_CHARS = 4000, 20_000
 #: Bits of a line's features.
 N_FEATURES = 11
@@ -215,8 +216,8 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> dict:
-    """Fit the field on at most ``texts`` labelled texts, half of each label at
-    most, chosen by the hash of their id (a bounded, documented sample; only line
+    """Fit the field on about ``texts`` labelled texts at most, half of each label,
+    chosen by the hash of their id (a bounded, documented sample; only line
     feature codes come to the driver)."""
 
     @F.arrow_udf("array<int>")
@@ -224,11 +225,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return pa.array([line_codes(t.as_py() or "")[0] for t in column], pa.list_(pa.int32()))
 
     known = labels.where(F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias("label"))
-    known = docs.select(id_col, F.col(text_col).cast("string").alias("text")).where(F.length("text").between(1, chars)).join(known, id_col)
+    docs = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
     rows = []
     for label in (0, 1):
-        part = known.where(F.col("label") == label).orderBy(F.xxhash64(id_col), id_col, "text").limit(texts // 2)
-        rows += [(label, r[0]) for r in part.select(coded("text")).collect()]
+        part = sampled(docs, known.where(F.col("label") == label), id_col, texts // 2).where(F.length("text").between(1, chars))
+        found = part.select(F.xxhash64(id_col, "text").alias("h"), coded("text").alias("codes")).collect()
+        rows += [(label, r["codes"]) for r in sorted(found, key=lambda r: (r["h"], r["codes"]))]
     keep = [(y, [c for c in codes if c]) for y, codes in rows]
     keep = [(y, codes) for y, codes in keep if codes]
     return fit([codes for _, codes in keep], [y for y, _ in keep])

@@ -32,9 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import sampled
 from .line_quality import SYMBOLS, base_counts
 
-#: Most rows of each kind that the model is fitted on.
+#: Rows of each kind that the model is fitted on, about, at most.
 SAMPLE_POSITIVES, SAMPLE_UNLABELLED = 6000, 12000
 #: Most quantile bins of a feature; fewer are used on a small sample, of ROWS_A_BIN rows at least.
 BINS, ROWS_A_BIN = 12, 80
@@ -132,19 +133,15 @@ def scores(model: dict, rows: np.ndarray) -> np.ndarray:
 
 # ---- Spark -----------------------------------------------------------------
 
-def _sample(rows: DataFrame, id_col: str, bound: int) -> np.ndarray:
-    """Feature rows of at most ``bound`` rows, by the hash of the id."""
-    n = rows.count()
-    if n > bound:
-        rows = rows.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < (bound << 20) // n)
+def _sample(docs: DataFrame, ids: DataFrame, id_col: str, bound: int) -> np.ndarray:
+    """Feature rows of the texts of about ``bound`` of the ids at most."""
 
     @F.arrow_udf("array<double>")
     def shape(texts: pa.Array) -> pa.Array:
         return pa.array([features(t.as_py()) for t in texts], pa.list_(pa.float64()))
 
-    got = rows.select(id_col, shape("text").alias("x")).limit(2 * bound).toArrow()
-    got = got.sort_by(id_col).column("x").to_pylist()
-    return np.array(got, float).reshape(-1, len(FEATURES))
+    got = sampled(docs, ids, id_col, bound).select(F.xxhash64(id_col, "text").alias("h"), shape("text").alias("x")).toArrow()
+    return np.array(got.sort_by("h").column("x").to_pylist(), float).reshape(-1, len(FEATURES))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
@@ -152,12 +149,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on rows of ``docs``: those with label 1 are the positives, those without any
     label are the unlabelled texts (all rows if every text is labelled)."""
     label = labels.where(F.col(label_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).alias("label"))
-    known = docs.select(id_col, F.col(text_col).cast("string").alias("text")).join(label, id_col, "left")
-    good = known.where("label = 1").select(id_col, "text")
-    free = known.where("label IS NULL").select(id_col, "text")
+    docs = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
+    free = docs.select(id_col).join(label, id_col, "left_anti")
     if free.isEmpty():
-        free = known.select(id_col, "text")
-    return fit(_sample(good, id_col, positives), _sample(free, id_col, unlabelled))
+        free = docs.select(id_col)
+    return fit(_sample(docs, label.where("label = 1"), id_col, positives), _sample(docs, free, id_col, unlabelled))
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
