@@ -80,13 +80,13 @@ def test_read_mtx_and_bundle_roundtrip(spark):
 def test_detect_layout_and_dense(spark):
     d = tempfile.mkdtemp(prefix="cellspark-layout-")
     try:
-        IO.detect_layout(d)
+        IO.detect_layout(spark, d)
         raise AssertionError("expected ValueError")
     except ValueError:
         pass
     p = os.path.join(d, "expression_matrix.csv")
     with open(p, "w") as f:
         f.write("cell,g1,g2\nc1,0,2\nc2,1,0\n")
-    assert IO.detect_layout(d) == "processed"
+    assert IO.detect_layout(spark, d) == "processed"
     long = sorted((r["cell_id"], r["gene_id"], r["value"]) for r in IO.read_dense_matrix(spark, p).collect())
     assert long == [("c1", "g2", 2.0), ("c2", "g1", 1.0)]
