@@ -53,7 +53,7 @@ CLASS_RATIO = 1.25
 #: Fragments in which overlaps are counted.
 FRAGMENTS = 6
 #: Partners of a hub per task group, and rows and shingles of a block in step 4.
-PARTNERS, BLOCK_ROWS, BLOCK_SHINGLES = 512, 128, 1 << 16
+PARTNERS, BLOCK_ROWS, BLOCK_SHINGLES = 512, 512, 1 << 18
 
 
 def _profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -206,7 +206,7 @@ def _hub_pairs(rows: DataFrame) -> DataFrame:
     return streamed.where("border IS NULL").drop("border").union(moved).where("a <> b").distinct()
 
 
-def _segments(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, k: int, repeated: bool) -> DataFrame:
+def _segments(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, k: int, repeated: bool, fragments: int) -> DataFrame:
     """(sid, frag, seg) of the nodes, each from one of its texts.  ``repeated`` tells
     whether any row of docs occurs twice."""
     wanted = materialize(profiles.join(nodes, "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("id", "text_key")).alias("w")).select(
@@ -220,8 +220,8 @@ def _segments(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, k: int, re
                 s = shingles(text.as_py(), k)
                 if set_id(s) != sid:
                     continue
-                cuts = np.searchsorted((s >> np.uint64(40)) * np.uint64(FRAGMENTS) >> np.uint64(24), np.arange(FRAGMENTS + 1))
-                for x in range(FRAGMENTS):
+                cuts = np.searchsorted((s >> np.uint64(40)) * np.uint64(fragments) >> np.uint64(24), np.arange(fragments + 1))
+                for x in range(fragments):
                     if cuts[x] < cuts[x + 1]:
                         sids.append(sid)
                         frags.append(x)
@@ -359,7 +359,7 @@ def _rest(pairs: DataFrame, comps: DataFrame, sketches: DataFrame, segments_of,
     names = ["a", "block", "side", "b", "n", "comp", "seg"]
     light = placed.join(sketches.withColumnRenamed("sketch", "seg"), F.col("b") == F.col("sid")).select(names)
     kept = materialize(light.groupBy("a", "block").applyInArrow(possible, "a long, block long, b long"))
-    segments = segments_of(kept.select(F.col("b").alias("sid")))
+    segments = segments_of(kept.select(F.col("b").alias("sid")), 1)  # a block compares whole sets
     full = placed.join(kept, ["a", "block", "b"]).join(segments, F.col("b") == F.col("sid")).select(names)
     return full.groupBy("a", "block").applyInArrow(decided, "a long, b long")
 
@@ -375,14 +375,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     profiles = materialize(_profiles(docs, k, num, den))
     repeated = not profiles.groupBy("id", "text_key").count().where("count > 1").isEmpty()
 
-    def segments_of(nodes: DataFrame) -> DataFrame:
-        return _segments(docs, profiles, nodes.distinct(), k, repeated)
+    def segments_of(nodes: DataFrame, fragments: int) -> DataFrame:
+        return _segments(docs, profiles, nodes.distinct(), k, repeated, fragments)
 
     pairs = materialize(_hub_pairs(_segment_rows(docs.where("text IS NOT NULL").select("text"), k, num, den)))
     nodes = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
     sketches = materialize(profiles.join(nodes, "sid", "left_semi").groupBy("sid").agg(F.first("sketch").alias("sketch")))
     alive = materialize(_possible(pairs, sketches, num, den))
-    segments = segments_of(alive.select(F.col("a").alias("sid")).union(alive.select(F.col("b").alias("sid"))))
+    segments = segments_of(alive.select(F.col("a").alias("sid")).union(alive.select(F.col("b").alias("sid"))), FRAGMENTS)
     links = materialize(alive.join(_overlaps(alive, segments), ["a", "b"])
                         .where(f"overlap * {num + den} >= (na + nb) * {num}L").select("a", "b"))
     comps = components(links)
