@@ -98,27 +98,64 @@ def preprocess(counts: DataFrame, cells: DataFrame, genes: DataFrame, min_genes:
     return Preprocessed(f, hvg, scaled, stats)
 
 
-def analyze(counts: DataFrame, cells: DataFrame, genes: DataFrame, group_col: str,
-            gene_sets: DataFrame | None = None, signatures: DataFrame | None = None,
-            min_genes: int = 200, min_cells: int = 3, target_sum: float = 1e4,
-            max_pct_mt: float | None = 20.0, enrich_top: int = 100, drug_top: int = 50) -> dict:
-    """The whole chain as lazy DataFrames in a dict -- QC report,
-    filtered cells, Wilcoxon markers per ``group_col``, their summary and,
-    when the tables are given, enrichment, drug ranking and associations.
-    Labels are never overwritten (the reference re-clustered here, D-6)."""
+def analyze(counts: DataFrame, cells: DataFrame, genes: DataFrame, reference: tuple | None = None,
+            gene_sets: DataFrame | None = None, signatures: DataFrame | None = None, model: tuple | None = None,
+            root=None, min_genes: int = 200, min_cells: int = 3, target_sum: float = 1e4, n_top_genes: int = 2000,
+            max_pct_mt: float | None = 20.0, n_pcs: int = 50, n_neighbors: int = 15, resolution: float = 0.5,
+            knn_method: str = "exact", abnormal_ratio: float = 0.8, enrich_top: int = 100, drug_top: int = 50) -> dict:
+    """The whole chain, as DataFrames in a dict.
+
+    With ``reference`` (counts, cells, genes of healthy samples) both are aligned
+    first (J2).  Then: filter, normalise, log, variable genes, scale (N6); abort on
+    defects (P12); principal components (G1), neighbours (G3), weights (G4) and
+    communities (G5); labels from ``model`` (coefficients, intercepts; L1) or by rule
+    (L6); clusters that are mostly leukemia (R1); their genes against the healthy
+    cells outside them (D2), or, without such clusters, every community against the rest
+    (D1); enrichment, drugs and associations (E1-E3) when the tables are given; and
+    pseudotime from ``root`` when one is given (G7, G8).
+
+    The iterative steps run while the chain is built, each from written tables; the
+    results are lazy.  Given labels are never overwritten (the reference
+    re-clustered here, D-6): the cluster column is ``community``."""
     from ..operators import de as DE
+    from ..operators import embed as EM
     from ..operators import enrich as EN
-    f = filter_and_normalize(counts, cells, genes, min_genes, min_cells, max_pct_mt=max_pct_mt,
-                             target_sum=target_sum)
-    de = materialize(DE.rank_genes(f.lognorm, f.cells, group_col, genes=f.genes.select("gene_id")))
-    out = {"cells": f.cells, "genes": f.genes, "lognorm": f.lognorm, "de": de,
-           "markers": DE.top_markers(DE.significant(de, flag="significant"), 10),
-           "summary": DE.de_summary(de),
-           "report": QC.before_after_report(cells, genes, f.cells, f.genes)}
+    from ..operators import graph as GR
+    from ..operators import joins as JN
+    from ..operators import labels as LB
+    from ..operators import reference as RF
+    if reference is not None:
+        counts, cells, genes = JN.align_with_reference((counts, cells, genes), reference)
+    pp = preprocess(counts, cells, genes, min_genes, min_cells, n_top_genes, target_sum=target_sum, max_pct_mt=max_pct_mt)
+    f = pp.filtered
+    QC.check_diagnostics(QC.diagnostics(f.lognorm, f.cells, f.genes))
+    emb, _, _ = EM.pca(pp.scaled, pp.gene_stats, f.cells, n_pcs)
+    emb = materialize(emb)
+    edges = materialize(GR.knn(emb, k=n_neighbors - 1, method=knn_method))  # a cell counts among its own neighbours
+    graph = materialize(GR.connectivities(edges))
+    annotated = f.cells.join(GR.communities(graph, resolution), "cell_id", "left")
+    if model is not None:
+        found = LB.classify_cells(f.lognorm, f.cells, *model).withColumnRenamed("predicted_celltype", "cell_type")
+        annotated = annotated.join(found.select("cell_id", "cell_type", "confidence"), "cell_id", "left")
+    else:
+        annotated = annotated.withColumn("cell_type", LB.rule_labels("community", "health_status"))
+    annotated = materialize(annotated)
+    clusters = materialize(RF.abnormal_clusters_ratio(annotated, "community", threshold=abnormal_ratio, type_col="cell_type"))
+    abnormal = [r[0] for r in clusters.where("is_abnormal").select("community").collect()]  # one row per community
+    tested = f.genes.select("gene_id")
+    if abnormal and not annotated.where("health_status = 'healthy'").isEmpty():
+        de = DE.rank_clusters_vs_healthy(f.lognorm, annotated, "community", abnormal, genes=tested)
+    else:
+        de = DE.rank_genes(f.lognorm, annotated, "community", genes=tested)
+    de = materialize(de)
+    out = {"cells": annotated, "genes": f.genes, "lognorm": f.lognorm, "hvg": pp.hvg, "embedding": emb, "graph": graph,
+           "clusters": clusters, "de": de, "markers": DE.top_markers(DE.significant(de, flag="significant"), 10),
+           "summary": DE.de_summary(de), "report": QC.before_after_report(cells, genes, f.cells, f.genes)}
     if gene_sets is not None:
         out["enrichment"] = EN.enrich(de, gene_sets, enrich_top)
     if signatures is not None:
-        drugs = EN.rank_drugs(de, signatures, drug_top)
-        out["drugs"] = drugs
-        out["associations"] = EN.drug_associations(de, drugs)
+        out["drugs"] = EN.rank_drugs(de, signatures, drug_top)
+        out["associations"] = EN.drug_associations(de, out["drugs"])
+    if root is not None:
+        out["pseudotime"] = GR.root_pseudotime(graph, root)
     return out

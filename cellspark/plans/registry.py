@@ -739,12 +739,18 @@ def q_pseudotime_by_group(spark, sf_dir):
 
 @register("analyze")
 def q_analyze(spark, sf_dir):
-    """The end-to-end chain by segment; per-segment marker summary joined
-    with its drug association (rows-only check)."""
-    b = _bundle(spark, sf_dir)
-    res = PL.analyze(b.counts, b.cells, b.genes, "sample_type", SI.standin_gene_sets(spark, sf_dir),
-                     SI.standin_signatures(spark, sf_dir), min_genes=P["min_genes"], min_cells=P["min_cells"],
-                     max_pct_mt=P["max_pct_mt"], enrich_top=P["enrich_top"])
+    """The chain from counts to drugs, the BUILDING cells as the healthy
+    reference; one row per tested cluster with its composition, marker summary
+    and drug association (rows-only: communities have no SQL)."""
+    b = SI.standin_bundle(spark, sf_dir)
+    counts = PL.materialize(b.counts)
+    part = {h: b.cells.where(F.col("health_status") == h) for h in ("healthy", "leukemia")}
+    side = {h: (counts.join(c.select("cell_id"), "cell_id", "left_semi"), c, b.genes) for h, c in part.items()}
+    res = PL.analyze(*side["leukemia"], reference=side["healthy"], gene_sets=SI.standin_gene_sets(spark, sf_dir),
+                     signatures=SI.standin_signatures(spark, sf_dir), min_genes=P["min_genes"], min_cells=P["min_cells"],
+                     n_top_genes=P["n_top_genes"], max_pct_mt=P["max_pct_mt"], n_pcs=10, enrich_top=P["enrich_top"],
+                     abnormal_ratio=0.75)
     s = res["summary"].withColumn("top_genes", _str_array(F.col("top_genes")))
     a = res["associations"].select("group", _str_array(F.col("association.potential_drugs")).alias("potential_drugs"))
-    return s.join(a, "group", "left")
+    c = res["clusters"].select(F.col("community").alias("group"), "total_cells", "leukemia_cells", "is_abnormal")
+    return s.join(c, "group").join(a, "group", "left")
