@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.pipeline import materialize
 
-__all__ = ["materialize", "table", "held_out", "WORD", "small_side", "sampled"]
-
-#: A word of the contracts: a run of anything but ASCII blanks.
-WORD = r"[^\x20\x09-\x0D]+"
+__all__ = ["materialize", "table", "held_out", "small_side", "sampled"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
