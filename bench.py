@@ -11,7 +11,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -33,8 +32,6 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     from cellspark.session import spark_session
     spark = spark_session(f"local[{cpus}]", shuffle_partitions=int(cpus))
-    if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cellspark-bench-"))
     from cellspark.plans.registry import QUERIES
     names = sys.argv[1:] or HEADLINE
     times = {}

@@ -19,7 +19,6 @@ own ``pivot`` does, with a hard cap.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F

@@ -8,7 +8,6 @@ with the nonzeros, never with cells x genes.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window

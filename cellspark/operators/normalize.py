@@ -7,7 +7,6 @@ closed form instead of densifying the matrix.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
