@@ -189,7 +189,7 @@ def write(records: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", f
 
 
 def read(index: DataFrame, folder: str) -> DataFrame:
-    """The indexed records read back from their bundles: page_id, payload (null for a
+    """The records of a written index read back from their bundles: page_id, payload (null for a
     revisit), payload_bytes, payload_digest, record_type, refers_to.  Index rows of a
     bundle are sorted, so each frame is decompressed once."""
 
@@ -220,7 +220,9 @@ def read(index: DataFrame, folder: str) -> DataFrame:
         if bundle is not None:
             bundle.file.close()
 
-    return (index.repartition("bundle").sortWithinPartitions("bundle", "frame", "start")
+    # index rows are small and bundles large: one partition per bundle, which Spark does not merge
+    bundles = max(1, index.select("bundle").distinct().count())
+    return (index.repartition(bundles, "bundle").sortWithinPartitions("bundle", "frame", "start")
             .mapInArrow(run, "page_id long, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"))
 
 
