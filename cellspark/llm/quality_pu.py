@@ -38,7 +38,7 @@ from .line_quality import SYMBOLS, base_counts
 #: Rows of each kind that the model is fitted on, about, at most.
 SAMPLE_POSITIVES, SAMPLE_UNLABELLED = 6000, 12000
 #: Most quantile bins of a feature; fewer are used on a small sample, of ROWS_A_BIN rows at least.
-BINS, ROWS_A_BIN = 12, 80
+BINS, ROWS_A_BIN = 12, 60
 FEATURES = ("log_words", "symbols", "exclaims", "upper", "digits", "pipes", "distinct", "top_word", "repeated",
             "same_lines", "word_length", "line_words", "ended", "other", "adjacent")
 
@@ -99,7 +99,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, rounds: int = 400, rate: f
     if not len(positive) or not len(unlabelled):
         return {"edges": np.zeros((len(FEATURES), 1)), "weights": np.zeros(1 + len(FEATURES)), "prior": 0.5}
     both = np.concatenate([positive, unlabelled])
-    bins = int(np.clip(len(both) // ROWS_A_BIN, 3, BINS))
+    bins = int(np.clip(len(both) // ROWS_A_BIN, 5, BINS))
     edges = np.quantile(both, np.linspace(0, 1, bins + 1)[:-1], axis=0).T
     # rare extremes need their own thresholds: what few texts have is what tells bad ones
     far = np.quantile(both, [0.97, 0.99], axis=0).T
