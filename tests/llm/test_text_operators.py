@@ -204,3 +204,64 @@ def test_licenses_equal_brute_force(spark):
                     want[d, line, k] = round(2 * len(a & b) / (len(a) + len(b)), 6)
     assert got == want
     assert licenses.scan(df.limit(0)).collect() == []
+
+
+def test_language_equals_brute_force_and_keeps_rare_languages(spark, monkeypatch):
+    import math
+    from collections import Counter
+
+    rng = random.Random(9)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(2, 9)))
+    vocabulary = {"aa": [word("abcdefgh") for _ in range(80)], "bb": [word("efghijkl") for _ in range(80)], "cc": [word("abcijklé") for _ in range(20)]}
+    rows = []
+    for i in range(120):
+        lang = rng.choice(["aa", "aa", "aa", "bb", "bb", "cc"])
+        w = [rng.choice(vocabulary[lang]) for _ in range(rng.randint(1, 30))] + [word("abcdefghijklémnopq") for _ in range(rng.randint(0, 4))]
+        rows.append((i, " ".join(w), lang if i % 3 else None))
+    rows += [(120, rows[0][1], None), (None, "ǅ zzz", None), (121, None, "aa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts = {n: Counter() for n in range(5)}
+    for _, t, lang in rows:
+        for w in (t or "").split() if lang else ():
+            counts[0][w, lang] += 1
+            for n in range(1, 5):
+                counts[n].update((g, lang) for g in language.grams(w, n))
+    totals = Counter()
+    for n, c in counts.items():
+        for (_, lang), k in c.items():
+            totals[n, lang] += k
+    langs = sorted(vocabulary)
+
+    def vector(n, f):
+        return [min(7.0, -math.log10(counts[n][f, x] / totals[n, x])) if counts[n][f, x] else 7.0 for x in langs]
+
+    def scored(w):
+        if any(counts[0][w, x] for x in langs):
+            return vector(0, w)
+        for n in range(4, 0, -1):
+            found = [vector(n, g) for g in language.grams(w, n) if any(counts[n][g, x] for x in langs)]
+            if found:
+                return [sum(v) / len(found) for v in zip(*found, strict=True)]
+        return [7.0] * len(langs)
+
+    for frequent in (150_000, 20, 0):
+        monkeypatch.setattr(language, "FREQUENT", frequent)
+        for r in language.identify(docs, language.train(docs)).collect():
+            w = (r.text or "").lower().split()
+            if not w:
+                assert (r.lang_pred, r.score) == ("und", 0.0)
+                continue
+            mean = [sum(v) / len(w) for v in zip(*map(scored, w), strict=True)]
+            assert r.score == pytest.approx(1 / sum(10 ** (min(mean) - m) for m in mean), abs=1e-5)
+            assert mean[langs.index(r.lang_pred)] == pytest.approx(min(mean), abs=1e-5)
+
+
+def test_language_rare_beside_a_large_one(spark):
+    """More words of a large language than one task could hold: a rare language's words still count."""
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(7))
+    large = [" ".join(word() for _ in range(1000)) for _ in range(170)]
+    rare = " ".join(word() for _ in range(40))
+    rows = [(t, "aa") for t in large * 2] + [(rare, "bb")]
+    model = language.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert language.identify(spark.createDataFrame([(rare,)], "text string"), model).first().lang_pred == "bb"
