@@ -368,8 +368,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        num: int = 9, den: int = 10) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles (size of its set), sid (the
     identity of its set: rows with one sid have equal sets), text_key (xxhash64 of
-    the text) and component_id, the smallest id that is reachable by links of
-    Jaccard similarity >= num / den."""
+    the text), node (the sid that names the component, null without words) and
+    component_id, the smallest id that is reachable by links of Jaccard similarity
+    >= num / den."""
     text = F.col(text_col).cast("string")
     docs = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     profiles = materialize(_profiles(docs, k, num, den))
@@ -393,17 +394,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "sid"))))
     lowest = placed.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("low"))
     return (placed.join(lowest, "comp", "left")
-            .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "sid", "text_key",
+            .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "sid", "text_key", F.col("comp").alias("node"),
                     F.coalesce("low", "id").alias("component_id")))
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """The rows of ``docs`` with one document of each component: that of the smallest
     id (of several texts with that id, the one of the smallest text hash; of equal
-    rows one).  Texts without words are components of their own and stay."""
+    rows one).  Unlike texts are components of their own whatever their ids, null or
+    repeated; texts without words too, and stay."""
     found = jaccard_components(docs, id_col, text_col, k, num, den)
     keyed = docs.withColumn("_key", F.xxhash64(F.col(text_col).cast("string")))
-    first = (found.where("n_shingles > 0").groupBy(F.col("component_id").alias("_c"))
+    first = (found.where("n_shingles > 0").groupBy(F.col("node").alias("_c"))
              .agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("_id"), F.col("text_key").alias("_want"))).alias("_first"))
              .select("_first._id", "_first._want"))
     kept = keyed.join(first, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_want")), "left_semi")

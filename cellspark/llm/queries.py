@@ -18,7 +18,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 90 % of their 3-word shingles."""
     docs = table(spark, sf_dir, "documents")
-    return ngram_join.jaccard_components(docs, k=3, num=90, den=100).drop("sid", "text_key")
+    return ngram_join.jaccard_components(docs, k=3, num=90, den=100).drop("sid", "text_key", "node")
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,3 +65,11 @@ def test_edge_cases(spark):
     empty = df.limit(0)
     assert ngram_join.jaccard_components(empty).collect() == []
     assert ngram_join.one_per_component(empty).collect() == []
+
+
+def test_unlike_texts_of_null_and_repeated_ids_stay(spark):
+    text = lambda x: " ".join(f"{x}{i}" for i in range(30))
+    rows = [(None, text("a")), (None, text("b")), (None, text("c")), (None, text("c")), (5, text("d")), (5, text("e")), (6, text("e") + " tail"), (7, text("b"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in ngram_join.one_per_component(df).collect()), key=str)
+    assert kept == sorted([(None, text("a")), (7, text("b")), (None, text("c")), (5, text("d")), (5, text("e"))], key=str)
