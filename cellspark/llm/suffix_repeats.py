@@ -21,6 +21,11 @@ another.  To find such strings without comparing everything with everything:
    pieces (the edge of a passage that very many texts share) is cut into smaller
    pieces first, down to single windows, so no group is unbounded.
 
+``remove_repeats`` also takes passages of ``min_words`` words that stand elsewhere, by
+the same steps: every word becomes a code of CODE bytes, whose first byte is of another
+half of the alphabet than the others, so that equal words in a row are equal bytes,
+whatever blanks and line ends stand between them.
+
 Defined results: a null text is empty; texts shorter than min_len keep all bytes;
 rows with equal id and text are separate places, so each repeats the other; null
 ids are kept; an empty table gives no rows; other columns are ignored by
@@ -38,10 +43,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import materialize, small_side
-from ._text import mix, powers, prefix_sums
+from ._text import _BLANK, mix, powers, prefix_sums, word_hashes
 
 #: Window starts handled at a time, windows of a piece at each level, different pieces per suffix array.
 _CHUNK, LEVELS, GROUP = 1 << 18, (64, 8, 1), 512
+#: Bytes of a word's code.
+CODE = 8
 
 
 # ---- enhanced suffix array -------------------------------------------------
@@ -282,7 +289,36 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, key, start, stop): byte spans of repeats, not merged; key is the
     xxhash64 of the text."""
     k = _keyed(docs, id_col, text_col)
-    docs = k.select(F.col("_id").alias("id"), F.col("_key").alias("key"), F.col(text_col).cast("string").alias("text"))
+    return _spans(k.select(F.col("_id").alias("id"), F.col("_key").alias("key"), F.col(text_col).cast("string").alias("text")), min_len, anchor)
+
+
+def _codes(text: str) -> str:
+    """The codes of a text's words, one after the other."""
+    h = word_hashes(text, lower=False)
+    five = (h[:, None] >> np.arange(0, 5 * CODE, 5, dtype=np.uint64)[None, :]).astype(np.uint8) & 31
+    five += np.array([64] + [32] * (CODE - 1), np.uint8)
+    return five.tobytes().decode("ascii")
+
+
+def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 51) -> DataFrame:
+    """(id, key, start, stop): word spans (from 0, separated by blanks) of passages of
+    at least min_words words that stand elsewhere, not merged."""
+
+    @F.arrow_udf("string")
+    def codes(texts: pa.Array) -> pa.Array:
+        return pa.array([_codes(t.as_py()) for t in texts], pa.string())
+
+    k = _keyed(docs, id_col, text_col)
+    text = F.col(text_col).cast("string")
+    rows = k.where(F.octet_length(text) >= 2 * min_words - 1)  # as many words, and blanks between them
+    coded = materialize(rows.select(F.col("_id").alias("id"), F.col("_key").alias("key"), codes(text).alias("text")))
+    spans = _spans(coded, min_words * CODE, min_words * CODE // 4)
+    whole = spans.select("id", "key", F.ceil(F.col("start") / CODE).cast("int").alias("start"), F.floor(F.col("stop") / CODE).cast("int").alias("stop"))
+    return whole.where(F.col("stop") - F.col("start") >= min_words)
+
+
+def _spans(docs: DataFrame, min_len: int, anchor: int) -> DataFrame:
+    """The repeats of (id, key, text) rows; rows of equal id and key have equal texts."""
     docs = docs.where(F.octet_length("text") >= min_len)
     runs = materialize(_run_rows(docs, min_len, anchor))
     # groups are a table of their own, so that the join's sides are plain shuffles and the rows of a
@@ -321,13 +357,24 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   min_len: int = 400, anchor: int = 100) -> DataFrame:
+                   min_len: int = 400, anchor: int = 100, min_words: int | None = None) -> DataFrame:
     """``docs`` with its text replaced by the kept bytes, and n_bytes, n_removed,
-    n_spans (maximal removed runs) and kept_sha256 (of the kept bytes)."""
-    spans = repeated_spans(docs, id_col, text_col, min_len, anchor)
-    per_text = materialize(spans.groupBy("id", "key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("_spans"))
+    n_spans (maximal removed runs) and kept_sha256 (of the kept bytes).  With
+    ``min_words``, passages of so many words that stand elsewhere go too."""
+    spans = repeated_spans(docs, id_col, text_col, min_len, anchor).withColumn("words", F.lit(False))
+    if min_words:
+        spans = spans.unionByName(repeated_words(docs, id_col, text_col, min_words).withColumn("words", F.lit(True)))
+    per_text = materialize(spans.groupBy("id", "key").agg(F.array_sort(F.collect_set(F.struct("start", "stop", "words"))).alias("_spans"))
                            .withColumnsRenamed({"id": "_sid", "key": "_skey"}))
 
+    def byte_spans(data: bytes, found) -> list[tuple[int, int]]:
+        if not any(s["words"] for s in found):
+            return [(s["start"], s["stop"]) for s in found]
+        blank = np.ones(len(data) + 2, bool)
+        blank[1:-1] = _BLANK[np.frombuffer(data, np.uint8)]
+        edges = np.flatnonzero(blank[1:] != blank[:-1])  # begin and end of each word
+        return sorted((int(edges[2 * s["start"]]), int(edges[2 * s["stop"] - 1])) if s["words"] else (s["start"], s["stop"]) for s in found)
+
     @F.arrow_udf("struct<text:string,n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept_sha256:string>")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
@@ -335,11 +382,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             text = text.as_py()
             data, kept, at, n = (text or "").encode(), [], 0, 0
             end = -1  # of the open removed run
-            for s in found.as_py() or ():
-                if s["start"] > end:
-                    kept.append(data[at:s["start"]])
+            for start, stop in byte_spans(data, found.as_py() or ()):
+                if start > end:
+                    kept.append(data[at:start])
                     n += 1
-                end = max(end, s["stop"])
+                end = max(end, stop)
                 at = end
             if n:
                 kept.append(data[at:])

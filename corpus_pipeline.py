@@ -29,9 +29,9 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of 400 bytes or more that also stand elsewhere;
-    n_chars is that of the new text (operator 4)."""
-    out = suffix_repeats.remove_repeats(docs, min_len=400)
+    """Texts without the passages of 400 bytes or more, or of over 50 words, that also
+    stand elsewhere; n_chars is that of the new text (operator 4)."""
+    out = suffix_repeats.remove_repeats(docs, min_len=400, min_words=51)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

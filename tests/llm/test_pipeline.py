@@ -82,3 +82,32 @@ def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).collect() == []
+
+
+def test_suffix_dedup_counts_words(spark):
+    """Passages of 51 words go however few bytes they have; passages of 50 words stay."""
+    rng = random.Random(12)
+    prose = lambda n, k: [f"{rng.choice('bcdfg')}{rng.randrange(10 ** k)}" for _ in range(n)]
+    passages = [prose(51, 1), prose(50, 2), prose(60, 4), prose(51, 5)]
+    docs = []
+    for i in range(40):
+        p = passages[i % 4]
+        w = prose(rng.randint(0, 70), 6) + p + prose(rng.randint(0, 70), 6)
+        docs.append((None if i in (36, 37) else i, rng.choice([" ", "\n", "  "]).join(w)))
+    docs += [(40, None), (41, ""), (42, " ".join(passages[0][:50]))]
+    count = {}
+    for _, t in docs:
+        w = (t or "").split()
+        for x in range(len(w) - 50):
+            count[tuple(w[x:x + 51])] = count.get(tuple(w[x:x + 51]), 0) + 1
+    want = []
+    for i, t in docs:
+        w = (t or "").split()
+        gone = {y for x in range(len(w) - 50) if count[tuple(w[x:x + 51])] > 1 for y in range(x, x + 51)}
+        want.append((i, [x for y, x in enumerate(w) if y not in gone]))
+    df = spark.createDataFrame([(*d, None) for d in docs], "doc_id long, text string, n_chars long")
+    got = [(r.doc_id, (r.text or "").split()) for r in corpus_pipeline.suffix_dedup(spark, df, "").collect()]
+    short = [(i, w) for i, w in want if i is None or i % 4 < 2 or i > 39]  # repeats of 400 bytes have partial words at their ends
+    assert sorted((g for g in got if g[0] is None or g[0] % 4 < 2 or g[0] > 39), key=str) == sorted(short, key=str)
+    long = {i: w for i, w in want if i is not None and i % 4 > 1 and i <= 39}
+    assert all(len(w) <= len(long[i]) and not set(passages[i % 4]) & set(w) for i, w in got if i in long)
