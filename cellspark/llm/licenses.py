@@ -6,7 +6,9 @@ word bigrams, dice = 2 |A n B| / (|A| + |B|).  A line can only reach ``min_dice`
 templates whose number of bigrams is within min_dice / (2 - min_dice) of its own, and
 only with those it shares a bigram with: lines outside the sizes of all templates
 are dropped before their bigrams are formed, and bigrams meet templates in a hash
-join with the (fixed, small) template table.
+join with the (fixed, small) template table.  A notice that is wrapped over several
+lines, or stands inside a much longer line, is not found: the SQL of the query fixes
+single lines and these templates.
 
 Defined results: a null or empty text has no lines to match; a line of one word has
 no bigram and matches nothing; a bigram that repeats in a line counts once; rows with
