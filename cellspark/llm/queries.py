@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, language, licenses, line_quality, ngram_join, quality_pu, suffix_repeats, warc
+from . import bpe, chat, decontaminate, language, licenses, line_quality, minhash, ngram_join, quality_pu, suffix_repeats, warc
 from ._shared import held_out, materialize, table
 
 #: Vocabulary file of operators 7 and 10; every executor has it at this path.
@@ -87,6 +87,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_turns(chat.format_turns(rows, VOCABULARY), VOCABULARY))
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 80 % of their 4-word shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=4, num=80, den=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_language": op2_language,
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_line_quality": op9_line_quality,
     "op10_chat": op10_chat,
+    "op13_minhash": op13_minhash,
 }
 
 ORACLE: dict[str, str] = {
@@ -114,4 +120,19 @@ SELECT page_id, octet_length(raw) AS payload_bytes,
        CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
 FROM b""",
+    "op13_minhash": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN []
+        WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[CAST(i AS INTEGER):CAST(i + 3 AS INTEGER)], ' ') FOR i IN range(1, len(w) - 2)] END)) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS (SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id
+         JOIN n nx ON nx.doc_id = x.doc_id JOIN n ny ON ny.doc_id = y.doc_id
+         GROUP BY x.doc_id, y.doc_id, nx.n, ny.n HAVING 100 * count(*) >= 80 * (nx.n + ny.n - count(*))),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.low, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(r.low, d.doc_id) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) r USING (doc_id)""",
 }
