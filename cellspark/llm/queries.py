@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, language, licenses, line_quality, minhash, ngram_join, quality_pu, suffix_repeats, warc
+from . import bpe, chat, decontaminate, language, licenses, line_quality, minhash, ngram_join, prefix_trie, quality_pu, suffix_repeats, warc
 from ._shared import held_out, materialize, table
 
 #: Vocabulary file of operators 7 and 10; every executor has it at this path.
@@ -87,6 +87,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_turns(chat.format_turns(rows, VOCABULARY), VOCABULARY))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each rebuilt on the first turns of another."""
+    return prefix_trie.trie(*prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 80 % of their 4-word shingles."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=4, num=80, den=100)
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_line_quality": op9_line_quality,
     "op10_chat": op10_chat,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_minhash": op13_minhash,
 }
 
@@ -120,6 +126,28 @@ SELECT page_id, octet_length(raw) AS payload_bytes,
        CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
 FROM b""",
+    "op12_prefix_trie": """
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+         {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS turn FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(turn ORDER BY pos) AS turns FROM t GROUP BY conv_id),
+h AS (SELECT *, conv_id - conv_id % 5 AS base, CAST(xor(4294967295, list_reduce(
+        flatten([[CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(CAST(conv_id AS VARCHAR), '')]),
+        lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) WHEN crc % 2 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END,
+        CAST(4294967295 AS BIGINT))) % 9 AS BIGINT) AS h FROM own),
+c AS (SELECT x.conv_id, list_concat(coalesce(b.turns[1:x.h], []), x.turns[x.h + 1:]) AS turns
+      FROM h x LEFT JOIN own b ON b.conv_id = x.base),
+p AS (SELECT conv_id, d AS depth, turns[1:d] AS path, len(turns) = d AS ended FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM c)),
+n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+             string_agg(CASE WHEN ended THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ids,
+             (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE octet_length(encode(path[depth].text)) END AS saved
+      FROM p GROUP BY path, depth),
+s AS (SELECT a.path, sum(b.saved) AS saved_tokens, count(*) FILTER (NOT EXISTS (SELECT 1 FROM n k WHERE k.depth = b.depth + 1 AND k.path[1:b.depth] = b.path)) AS n_leaves,
+             count(*) FILTER (b.depth = a.depth + 1) AS n_children
+      FROM n a JOIN n b ON b.depth >= a.depth AND b.path[1:a.depth] = a.path GROUP BY a.path)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, s.n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(n.ids, '')) AS ends_sha256
+FROM n JOIN s ON s.path = n.path LEFT JOIN n q ON q.depth = n.depth - 1 AND q.path = n.path[1:n.depth - 1]""",
     "op13_minhash": """
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
