@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, language, licenses, line_quality, minhash, ngram_join, prefix_trie, quality_pu, suffix_repeats, warc
+from . import bpe, chat, collocations, decontaminate, language, licenses, line_quality, minhash, ngram_join, prefix_trie, quality_pu, suffix_repeats, warc
 from ._shared import held_out, materialize, table
 
 #: Vocabulary file of operators 7 and 10; every executor has it at this path.
@@ -87,6 +87,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_turns(chat.format_turns(rows, VOCABULARY), VOCABULARY))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), max_words=5, min_count=100, inside_share=100, top=2000)
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prefix trie of all conversations, each rebuilt on the first turns of another."""
     return prefix_trie.trie(*prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_line_quality": op9_line_quality,
     "op10_chat": op10_chat,
+    "op11_collocations": op11_collocations,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_minhash": op13_minhash,
 }
@@ -126,6 +132,26 @@ SELECT page_id, octet_length(raw) AS payload_bytes,
        CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
 FROM b""",
+    "op11_collocations": """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, m, array_to_string(w[CAST(i AS INTEGER):CAST(i + m - 1 AS INTEGER)], ' ') AS phrase
+      FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS m))),
+n AS (SELECT lang, count(*) AS n FROM g WHERE m = 1 GROUP BY lang),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY lang, m, phrase HAVING count(*) >= 100),
+c AS (SELECT lang, m, phrase, f AS a, unnest(range(1, m)) AS k, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+s AS (SELECT c.lang, c.m, c.phrase, c.a, c.k, x.f AS l, y.f AS r, n.n,
+             (CAST(1000 AS HUGEINT) * c.a * n.n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+      FROM c JOIN n USING (lang)
+      JOIN f x ON x.lang = c.lang AND x.m = c.k AND x.phrase = array_to_string(c.w[1:CAST(c.k AS INTEGER)], ' ')
+      JOIN f y ON y.lang = c.lang AND y.m = c.m - c.k AND y.phrase = array_to_string(c.w[CAST(c.k + 1 AS INTEGER):], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT * FROM b WHERE NOT EXISTS (
+  SELECT 1 FROM f o WHERE o.lang = b.lang AND o.m > b.m AND 100 * o.f >= 100 * b.a AND contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000""",
     "op12_prefix_trie": """
 WITH t AS (
   SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
