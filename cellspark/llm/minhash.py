@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ._components import components
 from ._shared import materialize
 from ._text import mix, set_id, shingles
-from .ngram_join import FRAGMENTS, _hub_pairs, _overlaps, _possible, _rest, _segments
+from .ngram_join import FRAGMENTS, _hub_pairs, _overlaps, _rest, _segments
 
 #: Coordinates of a sketch, and coordinates of a band.
 T, ROWS = 120, 3
@@ -73,8 +73,8 @@ def bands(sketch: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 def _profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(id, text_key, n, sid, sketch, bands) per text.  ``sketch`` is the set's part in
-    a first fragment of the hash order, on which verification drops pairs early;
-    ``bands`` is null for a set that its task has met before."""
+    a first fragment of the hash order, on which step 3 drops pairs of a hub's partners
+    early; ``bands`` is null for a set that its task has met before."""
     width = np.uint64(min((1 << 64) - 1, (1 << 64) * 2 * (den - num) // (den + num)))
 
     def run(batches):
@@ -129,13 +129,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     rows = profiles.where("bands IS NOT NULL").select(F.explode("bands").alias("segment"), F.col("sid").alias("node"), "n")
     pairs = materialize(_hub_pairs(rows))
-    nodes = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    parts = materialize(profiles.join(nodes, "sid", "left_semi").groupBy("sid").agg(F.first("sketch").alias("sketch")))
-    alive = materialize(_possible(pairs, parts, num, den))
+    alive = pairs.where(f"least(na, nb) * {den}L >= greatest(na, nb) * {num}L")
     whole = segments_of(alive.select(F.col("a").alias("sid")).union(alive.select(F.col("b").alias("sid"))), FRAGMENTS)
     links = materialize(alive.join(_overlaps(alive, whole), ["a", "b"])
                         .where(f"overlap * {num + den} >= (na + nb) * {num}L").select("a", "b"))
     comps = components(links)
+    parts = profiles.where("bands IS NOT NULL").groupBy("sid").agg(F.first("sketch").alias("sketch"))
     more = materialize(_rest(pairs, comps, parts, segments_of, num, den))
     if not more.isEmpty():
         comps = components(links.union(more))
