@@ -10,7 +10,9 @@
 3. *Tiles.*  Neighbouring ids are pairs; the plane of pairs is cut into tiles of
    TILE x TILE ids.  As ids are frequency ranks, most pairs fall into few tiles near
    the origin, which are counted by ``bincount`` into a dense table; the pairs of all
-   other tiles are sorted and run-length counted.  Spark sums the counts of all tasks.
+   other tiles are sorted and run-length counted.  Stripes of tiles are the shuffle's rows,
+   so counts travel as a few bytes per cell; a stripe's counts are summed in a dense
+   table again, and what one task sends of a stripe is bounded, however hot it is.
 4. *Recursion.*  Frequent pairs are ranked by frequency again, and the blocks are
    rewritten with these ids: place i holds the id of the phrase that starts there.
    Two neighbouring phrases of n words overlap in n - 1, so the pair of their ids is
@@ -43,6 +45,8 @@ from ._shared import materialize
 
 #: Word occurrences of a block, ids of a tile's side, and bytes tokenised at a time.
 BLOCK, TILE, _CHUNK = 1 << 18, 512, 1 << 20
+#: Cells of a stripe: some rows of a tile, which are shuffled together.
+STRIPE = 1 << 14
 #: Entries, and bytes of words, up to which a table of ids is sent to the tasks.
 HEAD, HEAD_BYTES = 1 << 17, 16 << 20
 BREAK = -1
@@ -142,43 +146,74 @@ def compact(codes: np.ndarray, owned: int) -> tuple[np.ndarray, int]:
     return codes[at], int(np.searchsorted(at, owned))
 
 
-def tile_counts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(a, b, count) of the different pairs: dense tables for tiles that many of the pairs
-    fall into, sorted coordinates for the others."""
-    side = int(max(a.max(initial=0), b.max(initial=0))) // TILE + 1
+def tile_counts(a: np.ndarray, b: np.ndarray, side: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Cells and their counts, in parts of ascending cells.  A cell is a pair's place when the
+    plane of pairs, ``side`` tiles wide, is laid out tile by tile and row by row.  Tiles that
+    many of the pairs fall into are counted in a dense table each, all others by sorting."""
     tile = (a // TILE) * side + b // TILE
-    order = np.argsort(tile, kind="stable")
-    a, b, tile = a[order], b[order], tile[order]
-    edges = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1], [True]])) if len(tile) else np.zeros(1, np.int64)
-    out = [np.zeros((3, 0), np.int64)]
-    sparse = np.ones(len(a), bool)
-    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-        if (hi - lo) * 8 < TILE * TILE:
-            continue
+    cell = tile * (TILE * TILE) + (a % TILE) * TILE + b % TILE
+    cell.sort()
+    if not len(cell):
+        return []
+    tile = cell // (TILE * TILE)
+    edges = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1], [True]]))
+    dense = np.flatnonzero(np.diff(edges) * 8 >= TILE * TILE)
+    out = []
+    sparse = np.ones(len(cell), bool)
+    for t in dense:
+        lo, hi = edges[t], edges[t + 1]
         sparse[lo:hi] = False
-        row, column = a[lo] // TILE * TILE, b[lo] // TILE * TILE
-        table = np.bincount((a[lo:hi] - row) * TILE + (b[lo:hi] - column), minlength=TILE * TILE)
-        cell = np.flatnonzero(table)
-        out.append(np.stack([row + cell // TILE, column + cell % TILE, table[cell]]))
-    a, b = a[sparse], b[sparse]
-    if len(a):
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-        out.append(np.stack([a[start], b[start], np.diff(np.append(start, len(a)))]))
-    return tuple(np.concatenate(out, axis=1))
-
-
-def _count_pairs(blocks: DataFrame, min_count: int) -> DataFrame:
-    """(a, b, f): pairs of neighbouring ids with at least ``min_count`` occurrences."""
-    held_pairs = 4 * BLOCK
-
-    def run(batches):
+        table = np.bincount(cell[lo:hi] - tile[lo] * (TILE * TILE), minlength=TILE * TILE)
+        found = np.flatnonzero(table)
+        out.append((tile[lo] * (TILE * TILE) + found, table[found]))
+    cell = cell[sparse]
+    if len(cell):
+        start = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        out.append((cell[start], np.diff(np.append(start, len(cell)))))
+    return out
+
+
+def _stripes(cell: np.ndarray, count: np.ndarray) -> list[tuple[int, bytes, bytes]]:
+    """(stripe, places of its cells, their counts) of ascending cells: the rows that are
+    shuffled.  Without counts, each place is written as often as it occurs."""
+    stripe = cell // STRIPE
+    edges = np.flatnonzero(np.concatenate([[True], stripe[1:] != stripe[:-1], [True]]))
+    place, count = (cell % STRIPE).astype(np.uint16), count.astype(np.uint32)
+    out = []
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        if int(count[lo:hi].sum()) <= 2 * (hi - lo):
+            out.append((int(stripe[lo]), np.repeat(place[lo:hi], count[lo:hi]).tobytes(), b""))
+        else:
+            out.append((int(stripe[lo]), place[lo:hi].tobytes(), count[lo:hi].tobytes()))
+    return out
+
+
+def _summed(cells: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different cells, ascending, and the sums of their counts."""
+    cell, count = np.concatenate(cells), np.concatenate(counts)
+    if len(cell) and cell.max() - cell.min() < STRIPE * 4:  # few stripes: a dense table
+        base = cell.min()
+        table = np.bincount(cell - base, weights=count).astype(np.int64)  # exact below 2 ** 53
+        found = np.flatnonzero(table)
+        return found + base, table[found]
+    order = np.argsort(cell, kind="stable")
+    cell, count = cell[order], count[order]
+    start = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+    return cell[start], np.add.reduceat(count, start) if len(start) else count
+
+
+def _count_pairs(blocks: DataFrame, n_ids: int, min_count: int) -> DataFrame:
+    """(a, b, f): pairs of neighbouring ids below ``n_ids`` with at least ``min_count``
+    occurrences.  A task sends, for every stripe of a tile, one row with all it has counted."""
+    held_pairs, side = 2 * BLOCK, n_ids // TILE + 1
+
+    def count(batches):
         held, n = [], 0
 
         def flush():
-            a, b, f = tile_counts(*np.concatenate(held, axis=1))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(f)], names=["a", "b", "f"])
+            rows = [r for part in tile_counts(*np.concatenate(held, axis=1), side) for r in _stripes(*part)]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
+                                               pa.array([r[2] for r in rows], pa.binary())], names=["stripe", "places", "counts"])
 
         for batch in batches:
             for owned, codes in zip(batch.column("owned").to_pylist(), batch.column("codes"), strict=True):
@@ -193,8 +228,34 @@ def _count_pairs(blocks: DataFrame, min_count: int) -> DataFrame:
         if n:
             yield flush()
 
-    pairs = blocks.mapInArrow(run, "a long, b long, f long")
-    return materialize(pairs.groupBy("a", "b").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count))
+    def total(batches):
+        """Stripes come in order: all but the last are complete."""
+        cells, counts, n = [], [], 0
+
+        def result(cell, count):
+            keep = count >= min_count
+            cell, count = cell[keep], count[keep]
+            tile, place = cell // (TILE * TILE), cell % (TILE * TILE)
+            return pa.RecordBatch.from_arrays([pa.array(tile // side * TILE + place // TILE), pa.array(tile % side * TILE + place % TILE),
+                                               pa.array(count.astype(np.int64))], names=["a", "b", "f"])
+
+        for batch in batches:
+            for stripe, places, number in zip(*(batch.column(c).to_pylist() for c in ("stripe", "places", "counts")), strict=True):
+                place = np.frombuffer(places, np.uint16).astype(np.int64)
+                cells.append(place + stripe * STRIPE)
+                counts.append(np.frombuffer(number, np.uint32).astype(np.int64) if number else np.ones(len(place), np.int64))
+                n += len(place)
+                if n >= held_pairs:
+                    cell, count = _summed(cells, counts)
+                    last = cell >= stripe * STRIPE
+                    yield result(cell[~last], count[~last])
+                    cells, counts, n = [cell[last]], [count[last]], int(last.sum())  # a stripe's cells at most
+        if cells:
+            yield result(*_summed(cells, counts))
+
+    n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stripes = blocks.mapInArrow(count, "stripe long, places binary, counts binary").repartition(n, "stripe").sortWithinPartitions("stripe")
+    return materialize(stripes.mapInArrow(total, "a long, b long, f long"))
 
 
 def _ranked(found: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
@@ -321,7 +382,7 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max
         if size == max_words:
             levels.append((size, level.withColumn("inside", F.lit(0).cast("long"))))
             break
-        pairs, n = _ranked(_count_pairs(ids, min_count), ["a", "b"])
+        pairs, n = _ranked(_count_pairs(ids, n, min_count), ["a", "b"])
         # of the phrases one word longer that hold a phrase as their first or last words, the most frequent
         longer = pairs.select(F.col("a").alias("id"), "f").union(pairs.select(F.col("b").alias("id"), "f")).groupBy("id").agg(F.max("f").alias("inside"))
         levels.append((size, level.join(longer, "id", "left").withColumn("inside", F.coalesce("inside", F.lit(0).cast("long")))))
