@@ -7,10 +7,20 @@ from pyspark.sql import functions as F
 
 from ..plans.pipeline import materialize
 
-__all__ = ["materialize", "table", "held_out", "small_side", "sampled"]
+__all__ = ["materialize", "table", "bound_batches", "held_out", "small_side", "sampled"]
+
+#: Bytes of an Arrow batch that is sent to a Python worker.
+ARROW_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Have the session cut Arrow batches at ARROW_BYTES.  By default only 10,000 rows or 64 MB
+    end a batch, and a worker holds a batch several times over while it works on texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -56,6 +56,46 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class _EdgeTable:
+    """Whole numbers to whole numbers above 0, in two arrays: a key is in one of two
+    slots, so looking up an array of keys takes two steps."""
+
+    def __init__(self, items: dict[int, int]) -> None:
+        self.bits = max(4, (4 * len(items)).bit_length())
+        self.key = np.full(1 << self.bits, -1, np.int32)
+        self.value = np.zeros(1 << self.bits, np.int32)
+        keys = np.array(list(items), np.int64)
+        one, two = (dict(zip(keys.tolist(), s.tolist(), strict=True)) for s in self._slots(keys))
+        held: dict[int, int] = {}  # slot to key
+        for k in items:
+            slot = one[k]
+            while slot in held:  # the key there moves to its other slot
+                held[slot], k = k, held[slot]
+                slot = two[k] if slot == one[k] else one[k]
+            held[slot] = k
+        for slot, k in held.items():
+            self.key[slot], self.value[slot] = k, items[k]
+
+    def _slots(self, key):
+        mask = (1 << self.bits) - 1
+        return (key * 0x9E3779B1 >> 15) & mask, (key * 0x85EBCA77 >> 17) & mask
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values, 0 for unknown keys."""
+        one, two = self._slots(keys)
+        out = self.value[one]
+        rest = np.flatnonzero(self.key[one] != keys)
+        slot = two[rest]
+        out[rest] = np.where(self.key[slot] == keys[rest], self.value[slot], 0)
+        return out
+
+    def get_one(self, key: int) -> int:
+        for slot in self._slots(key):
+            if self.key[slot] == key:
+                return int(self.value[slot])
+        return 0
+
+
 class PrefixCoder:
     """Encoder and decoder of one vocabulary file."""
 
@@ -107,22 +147,54 @@ class PrefixCoder:
                     depth.append(depth[at] + 1)
                 at = to
             token[at] = i
-        go = np.zeros((len(children), 256), np.int32)
         shorter = [0] * len(children)  # state of the longest proper suffix
         ends = [0] * len(children)     # state of the longest token that is a suffix
         queue = [0]
         for at in queue:
             if at:
-                go[at] = go[shorter[at]]
                 ends[at] = at if token[at] >= 0 else ends[shorter[at]]
             for b, to in children[at].items():
-                shorter[to] = int(go[at, b]) if at else 0
-                go[at, b] = to
+                back = shorter[at]
+                while at and back and b not in children[back]:
+                    back = shorter[back]
+                shorter[to] = children[back].get(b, 0) if at else 0
                 queue.append(to)
-        self.go, self.token, self.depth = go.ravel(), np.array(token, np.int64), np.array(depth, np.int64)
+        # whole rows of next states for the states of up to two bytes, edges for all others
+        near = [at for at in queue if depth[at] <= 2]
+        self.row = np.full(len(children), -1, np.int32)
+        self.row[near] = np.arange(len(near))
+        rows = np.zeros((len(near), 256), np.int32)
+        for r, at in enumerate(near):
+            if at:
+                rows[r] = rows[self.row[shorter[at]]]
+            rows[r, list(children[at])] = list(children[at].values())
+        self.near = rows.ravel()
+        self.edges = _EdgeTable({at << 8 | b: to for at, kids in enumerate(children) if depth[at] > 2 for b, to in kids.items()})
+        self.shorter = np.array(shorter, np.int32)
+        self.token, self.depth = np.array(token, np.int32), np.array(depth, np.int32)
         self.ends = np.array(ends, np.int32)
         self.next_end = self.ends[np.array(shorter)]
 
+    def _step(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The automaton's next states: by an edge of the state or of its longest
+        suffix that has one for the byte."""
+        row = self.row[state]
+        out = self.near[np.maximum(row, 0) << 8 | byte]
+        todo = np.flatnonzero(row < 0)
+        at, byte = state[todo], byte[todo]
+        while len(todo):
+            to = self.edges.get(at.astype(np.int64) << 8 | byte)
+            at = self.shorter[at]
+            row = self.row[at]
+            found = to > 0
+            stop = ~found & (row >= 0)
+            to[stop] = self.near[row[stop] << 8 | byte[stop]]
+            found |= stop
+            out[todo[found]] = to[found]
+            more = ~found
+            todo, at, byte = todo[more], at[more], byte[more]
+        return out
+
     def _pairs_ok(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """compatible() of arrays of tokens."""
         key = a << 20 | b
@@ -160,16 +232,16 @@ class PrefixCoder:
             flat = np.frombuffer(b"".join([data[r] for r in rows.tolist()]), np.uint8)
             start = np.cumsum(n) - n
             last = np.zeros((width + 1, len(rows)), np.int64)
-            state = np.zeros(len(rows), np.int64)
+            state = np.zeros(len(rows), np.int32)
             alive = len(rows)
             for t in range(width):
                 while n[alive - 1] <= t:
                     alive -= 1
-                state = self.go[state[:alive] << 8 | flat[start[:alive] + t]].astype(np.int64)
+                state = self._step(state[:alive], flat[start[:alive] + t])
                 end = self.ends[state]
                 todo = np.arange(alive)
                 while len(todo):
-                    tok, back = self.token[end], t + 1 - self.depth[end]
+                    tok, back = self.token[end].astype(np.int64), t + 1 - self.depth[end]
                     ok = back == 0
                     some = np.flatnonzero(~ok)
                     if len(some):
@@ -192,10 +264,14 @@ class PrefixCoder:
 
     def _long(self, data: bytes) -> list[int]:
         """Ids of one long piece."""
-        go, ends, next_end, token, depth = self.go, self.ends, self.next_end, self.token, self.depth
+        ends, next_end, token, depth = self.ends, self.next_end, self.token, self.depth
+        edge, shorter, row, near = self.edges.get_one, self.shorter, self.row, self.near
         last, state = [-1], 0
         for t, b in enumerate(data):
-            state = int(go[state << 8 | b])
+            to = 0
+            while row[state] < 0 and not (to := edge(state << 8 | b)):
+                state = int(shorter[state])
+            state = to or int(near[int(row[state]) << 8 | b])
             end = int(ends[state])
             while True:
                 tok, back = int(token[end]), t + 1 - int(depth[end])
