@@ -84,6 +84,21 @@ def test_stages_on_an_empty_table(spark):
         assert stage(spark, docs, folder).collect() == []
 
 
+def test_columns_with_the_operators_names_pass_through(spark):
+    """Columns that are named like what the operators add keep their values, in every stage."""
+    folder = tempfile.mkdtemp(prefix="cellspark-pipeline-")
+    _tables(spark, folder)
+    odd = {"kept": "'as it was'", "n_words": "-1", "n_bytes": "'b'", "Text_Key": "7", "_key": "8", "sid": "'s'", "_matches": "array(1)", "decoded": "'d'"}
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id IS NOT NULL").selectExpr("*", *[f"{v} AS {c}" for c, v in odd.items()])
+    want = docs.selectExpr(*[f"{v} AS {c}" for c, v in odd.items()]).first()
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        assert out.columns[:len(docs.columns)] == docs.columns
+        assert [f.dataType for f in out.schema.fields][5:5 + len(odd)] == [f.dataType for f in docs.schema.fields][5:]
+        rows = out.select(*odd).distinct().collect()
+        assert rows == [want], name
+
+
 def test_suffix_dedup_counts_words(spark):
     """Passages of 51 words go however few bytes they have; passages of 50 words stay."""
     rng = random.Random(12)
