@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .qc import _n_rows
+from .quantiles import quantiles
 
 MAX_PIVOT_VALUES = 1000
 
@@ -80,20 +81,32 @@ def describe_metrics(df: DataFrame, cols: list[str], exact_median: bool = True,
                      by: list[str] | None = None) -> DataFrame:
     """A7 in long form: (metric, count, mean, std (ddof 1), min, max, median).
 
-    ``exact_median`` uses ``median`` (memory per group grows with the number
-    of distinct values: fine for integer metrics); otherwise
-    ``percentile_approx``."""
+    ``exact_median`` selects the median exactly (:func:`quantiles.quantiles`, no group in
+    one task); otherwise ``percentile_approx``."""
     by = by or []
     parts = []
     for c in cols:
-        med = F.median(c) if exact_median else F.percentile_approx(c, 0.5, 10000).cast("double")
-        parts.append(df.groupBy(*by).agg(
+        approx = [] if exact_median else [F.percentile_approx(c, 0.5, 10000).cast("double").alias("median")]
+        found = df.groupBy(*by).agg(
             F.lit(c).alias("metric"), F.count(c).alias("count"), F.avg(c).alias("mean"),
             F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"), med.cast("double").alias("median")))
+            F.max(c).cast("double").alias("max"), *approx)
+        if exact_median:
+            found = _with_quantiles(found, df, c, by, {"median": 0.5})
+        parts.append(found)
     return reduce(lambda x, y: x.unionByName(y), parts)
 
 
+def _with_quantiles(found: DataFrame, df: DataFrame, value: str, by: list[str], named: dict[str, float]) -> DataFrame:
+    """``found`` (a row per group) with the named quantiles of ``value``."""
+    q = quantiles(df, value, list(named.values()), by)
+    q = q.select(*[F.col(c).alias(f"_q_{c}") for c in by], *[F.col("q")[i].alias(n) for i, n in enumerate(named)], F.lit(1).alias("_q_one"))
+    cond = F.lit(1) == F.col("_q_one")  # a row per group on both sides, one row each without groups
+    for c in by:
+        cond &= F.col(c).eqNullSafe(F.col(f"_q_{c}"))
+    return found.join(q, cond, "left").drop("_q_one", *[f"_q_{c}" for c in by])
+
+
 def confidence_summary(df: DataFrame, type_col: str = "predicted_celltype",
                        conf_col: str = "confidence", digits: int = 3) -> DataFrame:
     """Per type count, mean and std (ddof 1) of confidence, rounded."""
@@ -148,8 +161,8 @@ def data_validation(counts: DataFrame, cells_qc: DataFrame, genes: DataFrame,
         )).alias("kv")).select("section", "kv.key", "kv.value")
     stats = []
     for c, name in (("total_counts", "counts_per_cell"), ("n_genes_by_counts", "genes_per_cell")):
-        s = cells_qc.agg(F.avg(c).alias("mean"), F.median(c).alias("median"),
-                         F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
+        s = cells_qc.agg(F.avg(c).alias("mean"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
+        s = _with_quantiles(s, cells_qc, c, [], {"median": 0.5})
         stats.append(s.select(F.lit(name).alias("section"), F.explode(F.array(
             *[F.struct(F.lit(k).alias("key"), F.col(k).cast("double").alias("value"))
               for k in ("mean", "median", "min", "max")])).alias("kv")).select("section", "kv.key", "kv.value"))
@@ -206,12 +219,12 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
 
 def box_stats(df: DataFrame, value: str, group: str, exact: bool = True) -> DataFrame:
-    """Per group n, min, q1, median, q3, max (linear interpolation)."""
+    """Per group n, min, q1, median, q3, max (linear interpolation); exact ones by
+    distributed selection, otherwise ``percentile_approx``."""
+    stats = [F.count(value).alias("n"), F.min(value).cast("double").alias("min"), F.max(value).cast("double").alias("max")]
     if exact:
-        q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        found = _with_quantiles(df.groupBy(group).agg(*stats), df, value, [group], {"q1": 0.25, "median": 0.5, "q3": 0.75})
     else:
         q = F.percentile_approx(value, [0.25, 0.5, 0.75], 10000)
-    return (df.groupBy(group).agg(F.count(value).alias("n"), F.min(value).cast("double").alias("min"),
-                                  q.alias("_q"), F.max(value).cast("double").alias("max"))
-            .select(group, "n", "min", F.col("_q")[0].cast("double").alias("q1"),
-                    F.col("_q")[1].cast("double").alias("median"), F.col("_q")[2].cast("double").alias("q3"), "max"))
+        found = df.groupBy(group).agg(*stats, *[q[i].cast("double").alias(c) for i, c in enumerate(("q1", "median", "q3"))])
+    return found.select(group, "n", "min", "q1", "median", "q3", "max")

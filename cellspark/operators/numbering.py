@@ -30,18 +30,19 @@ def _changes(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
 
 
 def running(df: DataFrame, keys: list[str], order: list, xors: dict[str, str] | None = None, out_col: str = "number",
-            partitions: int | None = None) -> DataFrame:
+            partitions: int | None = None, sums: dict[str, str] | None = None) -> DataFrame:
     """``df`` with ``out_col``: the place (from 1) of each row among the rows of its
     ``keys``, in the order of ``order`` (columns or sort expressions); without keys, among
-    all rows.  For every entry of ``xors`` (new column: column of longs) also the
-    exclusive or of that column up to and including the row.
+    all rows.  For every entry of ``xors`` and ``sums`` (new column: column of longs, not
+    null) also the exclusive or or the sum of that column up to and including the row.
 
     Rows that ``keys`` and ``order`` do not tell apart get different numbers in no
     particular order, but each number once.  Null keys are one key.  The result is a
     written table."""
     from ..plans.pipeline import materialize
     spark = df.sparkSession
-    xors = xors or {}
+    sums = sums or {}
+    xors = {**(xors or {}), **sums}  # all running values; new columns of ``sums`` are added up
     clash = {out_col, "_part", "_border", "_row", *xors} & set(df.columns)
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist already")
@@ -67,10 +68,12 @@ def running(df: DataFrame, keys: list[str], order: list, xors: dict[str, str] |
             place = np.where(at < 0, number + np.arange(n) + 1, np.arange(n) - at + 1)
             out = [*batch.columns, pa.array(place)]
             for x, c in xors.items():
-                sums = np.bitwise_xor.accumulate(batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64))
-                start = np.where(at <= 0, np.where(at < 0, held[x], 0), sums[np.maximum(at, 1) - 1])
-                out.append(pa.array(sums ^ start))
-                held[x] = (sums ^ start)[-1]
+                fold, undo = (np.add, np.subtract) if x in sums else (np.bitwise_xor, np.bitwise_xor)
+                total = fold.accumulate(batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64))
+                value = undo(total, np.where(at <= 0, 0, total[np.maximum(at, 1) - 1]))
+                value = np.where(at < 0, fold(value, held[x]), value)
+                out.append(pa.array(value))
+                held[x] = value[-1]
             out += [pa.array((at < 0) & border), pa.array(seen + np.arange(n))]
             last, number, seen = batch.slice(n - 1, 1).select(keys).to_pylist()[0], int(place[-1]), seen + n
             border = border and not new.any()
@@ -88,7 +91,8 @@ def running(df: DataFrame, keys: list[str], order: list, xors: dict[str, str] |
             offsets.append((e["_part"], carry_number, *(carry_xors[x] for x in xors)))
         add = goes_on and last == first
         carry_number = e["last"][out_col] + (carry_number if add else 0)
-        carry_xors = {x: e["last"][x] ^ (carry_xors[x] if add else 0) for x in xors}
+        before = carry_xors if add else dict.fromkeys(xors, 0)
+        carry_xors = {x: e["last"][x] + before[x] if x in sums else e["last"][x] ^ before[x] for x in xors}
         carry_key = last
     if not offsets:
         return rows.drop("_part", "_border", "_row")
@@ -97,7 +101,9 @@ def running(df: DataFrame, keys: list[str], order: list, xors: dict[str, str] |
     moved = rows.join(F.broadcast(spark.createDataFrame(offsets, schema)), "_part", "left")  # a row per partition at most
     shifted = F.col("_border") & F.col("_offset").isNotNull()
     columns = {out_col: F.when(shifted, F.col(out_col) + F.col("_offset")).otherwise(F.col(out_col))}
-    columns |= {x: F.when(shifted, F.col(x).bitwiseXOR(F.col(f"_x{i}"))).otherwise(F.col(x)) for i, x in enumerate(xors)}
+    for i, x in enumerate(xors):
+        moved_value = F.col(x) + F.col(f"_x{i}") if x in sums else F.col(x).bitwiseXOR(F.col(f"_x{i}"))
+        columns[x] = F.when(shifted, moved_value).otherwise(F.col(x))
     return moved.withColumns(columns).select(*df.columns, out_col, *xors)
 
 

@@ -15,11 +15,12 @@ def test_running_values_over_hot_and_null_keys(spark, partitions):
     rows = [(k, i, rng.randrange(-1 << 62, 1 << 62)) for i, k in enumerate(keys)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "k string, o long, x long").repartition(5)
-    got = {(r.k, r.o): (r.n, r.acc) for r in running(df, ["k"], [F.col("o").desc()], xors={"acc": "x"}, out_col="n", partitions=partitions).collect()}
+    got = {(r.k, r.o): (r.n, r.acc, r.total) for r in running(df.withColumn("y", F.col("o") % 7), ["k"], [F.col("o").desc()], xors={"acc": "x"},
+                                                                   sums={"total": "y"}, out_col="n", partitions=partitions).collect()}
     want, state = {}, {}
     for k, o, x in sorted(rows, key=lambda r: -r[1]):
-        n, acc = state.get(k, (0, 0))
-        state[k] = want[k, o] = (n + 1, acc ^ x)
+        n, acc, total = state.get(k, (0, 0, 0))
+        state[k] = want[k, o] = (n + 1, acc ^ x, total + o % 7)
     assert got == want
 
 
