@@ -13,8 +13,11 @@ cumulative counts that give ranks are then computed per (gene, value-range
 bucket) window plus a per-bucket offset, so a gene expressed in every cell
 is split across many tasks instead of one sorted partition -- the result is
 exact because equal values always fall in the same bucket.  Output rows are
-(stratum, group, gene); the group list is metadata collected like Spark's
-own ``pivot`` does, with a hard cap.
+(stratum, group, gene); groups are a table that is joined, never a list in the plan.
+
+Comparisons with one reference side (D2) share one ledger: the reference cells'
+counts run along each gene's values once, and what a group's own reference cells
+add is subtracted from the same rows, so no reference cell is copied per group.
 """
 
 from __future__ import annotations
@@ -24,8 +27,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import bh_adjust, norm_sf_two_sided
+from ..plans.pipeline import materialize
+from .numbering import number_rows
+from .qc import _n_rows
 
-MAX_GROUPS = 10000
 DE_COLUMNS = ["group", "gene_id", "score", "logfc", "pval", "padj"]
 
 
@@ -67,12 +72,14 @@ def rank_sums(layer: DataFrame, labels: DataFrame, group_col: str = "group",
                  F.first("nnz_gene").alias("nnz_gene")))
 
 
-def _group_sizes(labels: DataFrame, group_col: str, strata: list[str]):
-    sizes = labels.groupBy(*strata, F.col(group_col).alias("group")).agg(F.count(F.lit(1)).alias("n1"))
-    rows = sizes.limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} (stratum, group) pairs")
-    return rows
+def _grid(universe: DataFrame, pairs: DataFrame, names: list[str]) -> DataFrame:
+    """Every gene with every row of ``pairs`` (the output's rows), by an equi-join on the
+    numbers of the pairs.  No pairs: ValueError."""
+    pairs = materialize(number_rows(pairs, [F.col(c) for c in names], "_no"))
+    n = pairs.count()
+    if not n:
+        raise ValueError("no group with a non-empty comparison side")
+    return universe.select("gene_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("_no")).join(pairs, "_no").drop("_no")
 
 
 def rank_genes(layer: DataFrame, labels: DataFrame, group_col: str, genes: DataFrame | None = None,
@@ -98,38 +105,25 @@ def rank_genes(layer: DataFrame, labels: DataFrame, group_col: str, genes: DataF
     strata = strata or []
     labels = labels.where(F.col(group_col).isNotNull())
     layer = layer.join(labels.select("cell_id"), "cell_id", "left_semi")
-    sizes = _group_sizes(labels, group_col, strata)
-    tot = {}
-    for r in sizes:
-        s = tuple(r[c] for c in strata)
-        tot[s] = tot.get(s, 0) + r["n1"]
-    pairs = []
-    for r in sizes:
-        if groups is not None and r["group"] not in groups:
-            continue
-        s = tuple(r[c] for c in strata)
-        n1, n2 = r["n1"], tot[s] - r["n1"]
-        if n2 == 0:
-            continue
-        pairs.append(F.struct(*[F.lit(v).alias(c) for c, v in zip(strata, s)],
-                              F.lit(r["group"]).alias("group"), F.lit(int(n1)).cast("long").alias("n1"),
-                              F.lit(int(n2)).cast("long").alias("n2")))
-    if not pairs:
-        raise ValueError("no group with a non-empty comparison side")
+    sizes = labels.groupBy(*strata, F.col(group_col).alias("group")).agg(F.count(F.lit(1)).alias("n1"))
+    if strata:
+        pairs = sizes.join(labels.groupBy(*strata).agg(F.count(F.lit(1)).alias("n2")), strata)
+    else:
+        pairs = sizes.withColumn("n2", _n_rows(labels))
+    pairs = pairs.withColumn("n2", F.col("n2") - F.col("n1")).where("n2 > 0")
+    if groups is not None:
+        pairs = pairs.where(F.col("group").isin(*groups))
     sums = rank_sums(layer, labels, group_col, strata, bucket_width)
     key = [*strata, "gene_id"]
-    # one row per (stratum, gene): its group statistics as a map (at most
-    # MAX_GROUPS entries) and gene totals, so ``sums`` is consumed once
+    # one row per (stratum, gene): its group statistics as a map (an entry per
+    # group) and gene totals, so ``sums`` is consumed once
     per_gene = sums.groupBy(*key).agg(
         F.first("nnz_gene").alias("nnz_gene"), F.sum("vsum").alias("vsum_gene"),
         F.map_from_entries(F.collect_list(F.struct(
             "group", F.struct("r_nz_local", "nnz", "vsum")))).alias("_m"))
     universe = (genes.select("gene_id") if genes is not None
                 else layer.select("gene_id").distinct())
-    # (gene) x (tested stratum/group pairs) is the output grid itself; the
-    # pair list is metadata collected under MAX_GROUPS, like pivot values
-    grid = (universe.select("gene_id", F.explode(F.array(*pairs)).alias("_p"))
-            .select("gene_id", *[F.col(f"_p.{c}").alias(c) for c in strata], "_p.group", "_p.n1", "_p.n2"))
+    grid = _grid(universe, pairs, [*strata, "group"])
     st = F.element_at(F.col("_m"), F.col("group"))
     df = (grid.join(per_gene, key, "left")
               .select(*key, "group", "n1", "n2",
@@ -154,58 +148,81 @@ def rank_genes(layer: DataFrame, labels: DataFrame, group_col: str, genes: DataF
     return bh_adjust(out, "pval", [*strata, "group"], "padj", order_cols=["gene_id"])
 
 
-def rank_genes_paired(layer: DataFrame, pair_labels: DataFrame, genes: DataFrame | None = None,
-                      bucket_width: float = 0.05) -> DataFrame:
-    """Several two-sided comparisons in one job.
-
-    ``pair_labels`` (cell_id, comparison, is_test): each comparison ranks the
-    cells of its two sides alone, so comparisons are strata of the rank
-    windows.  Returns comparison as ``group`` plus the DE columns.
-    """
-    lab = pair_labels.select("cell_id", "comparison",
-                             F.when(F.col("is_test"), F.col("comparison").cast("string"))
-                             .otherwise(F.lit("__reference__")).alias("_side"))
-    out = rank_genes(layer, lab, "_side", genes=genes, strata=["comparison"], bucket_width=bucket_width)
-    return (out.where(F.col("group") == F.col("comparison").cast("string")).drop("comparison"))
+def rank_against(layer: DataFrame, sides: DataFrame, genes: DataFrame | None = None, bucket_width: float = 0.05) -> DataFrame:
+    """Each tested group against the reference cells outside it, for all groups at once.
+
+    ``sides`` (cell_id, group, is_test, is_ref): a cell of a tested group is on its group's
+    side only, whether it is a reference cell or not; the other side are the reference
+    cells that are not in the group.  With U the number of pairs (group cell, reference
+    cell) in which the reference cell is lower, ties halved, the rank sum of a group
+    is n1 (n1 + 1) / 2 + U.  U over all reference cells comes from running counts per
+    gene, U over the group's own from running counts per gene and group, and their
+    difference is taken row by row of one table (gene, value, group).
+    Returns group and the DE columns."""
+    sides = sides.where("is_test OR is_ref")
+    x = layer.join(sides, "cell_id").where(F.col("value") != 0)
+    entries = materialize(x.groupBy("gene_id", "value", "group").agg(F.count_if("is_test").alias("t"), F.count_if("is_ref").alias("h"))
+                          .withColumn("_b", _bucket("value", bucket_width)))
+
+    def offsets(key):
+        """Reference counts in the lower value ranges of a key: a few rows per key."""
+        w = Window.partitionBy(*key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        return (entries.groupBy(*key, "_b").agg(F.sum("h").alias("_h")).select(*key, "_b", F.coalesce(F.sum("_h").over(w), F.lit(0)).alias("_off")))
+
+    every = Window.partitionBy("gene_id", "_b").orderBy("value").rangeBetween(Window.unboundedPreceding, 0)
+    equal = Window.partitionBy("gene_id", "_b", "value")
+    own = Window.partitionBy("gene_id", "_b", "group").orderBy("value").rangeBetween(Window.unboundedPreceding, 0)
+    ledger = (entries.withColumn("_le", F.sum("h").over(every)).withColumn("_at", F.sum("h").over(equal)).withColumn("_own_le", F.sum("h").over(own))
+              .where("t > 0")
+              .join(offsets(["gene_id"]).withColumnRenamed("_off", "_all_off"), ["gene_id", "_b"])
+              .join(offsets(["gene_id", "group"]), ["gene_id", "group", "_b"]))
+    # reference cells outside the group that are lower, and half of those that are equal
+    lower = (F.col("_all_off") + F.col("_le") - F.col("_at")) - (F.col("_off") + F.col("_own_le") - F.col("h"))
+    u = ledger.groupBy("gene_id", "group").agg(F.sum(F.col("t") * (lower + (F.col("_at") - F.col("h")) / 2.0)).alias("u"))
+    per_group = entries.groupBy("gene_id", "group").agg(F.sum("t").alias("nnz"), F.sum(F.col("value") * F.col("t")).alias("vsum"),
+                                                       F.sum("h").alias("h_nnz"), F.sum(F.col("value") * F.col("h")).alias("h_vsum"))
+    per_gene = per_group.groupBy("gene_id").agg(F.sum("h_nnz").alias("all_nnz"), F.sum("h_vsum").alias("all_vsum"))
+    sizes = sides.where("is_test").groupBy("group").agg(F.count(F.lit(1)).alias("n1"), F.count_if("is_ref").alias("own"))
+    pairs = sizes.withColumn("n2", _n_rows(sides.where("is_ref")) - F.col("own")).where("n2 > 0")
+    universe = genes.select("gene_id") if genes is not None else layer.select("gene_id").distinct()
+    df = (_grid(universe, pairs, ["group"]).join(per_gene, "gene_id", "left").join(per_group, ["gene_id", "group"], "left")
+          .join(u, ["gene_id", "group"], "left").fillna(0, ["nnz", "vsum", "h_nnz", "h_vsum", "all_nnz", "all_vsum", "u"]))
+    n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
+    zeros = F.col("n2") - (F.col("all_nnz") - F.col("h_nnz"))  # of the other side: lower than every entry, equal to every zero
+    total = F.col("u") + F.col("nnz") * zeros + (F.col("n1") - F.col("nnz")) * zeros / 2.0
+    z = (total - n1 * n2 / 2.0) / F.sqrt(n1 * n2 * (n1 + n2 + 1) / 12.0)
+    mean1, mean2 = F.col("vsum") / n1, (F.col("all_vsum") - F.col("h_vsum")) / n2
+    logfc = F.log2((F.expm1(mean1) + F.lit(1e-9)) / (F.expm1(mean2) + F.lit(1e-9)))
+    out = df.select("group", "gene_id", z.alias("score"), logfc.alias("logfc")).withColumn("pval", norm_sf_two_sided("score"))
+    return bh_adjust(out, "pval", ["group"], "padj", order_cols=["gene_id"])
 
 
 def rank_genes_vs(layer: DataFrame, labels: DataFrame, group_col: str, groups: list[str] | None,
                   reference: str, genes: DataFrame | None = None, bucket_width: float = 0.05) -> DataFrame:
     """Each tested group against the ``reference`` group only (ranks
     over the two groups' cells).  ``groups`` None = every other group."""
-    labels = labels.where(F.col(group_col).isNotNull())
-    if groups is None:
-        groups = [r[0] for r in labels.select(group_col).distinct().limit(MAX_GROUPS + 1).collect()]
-        if len(groups) > MAX_GROUPS:
-            raise ValueError(f"more than {MAX_GROUPS} groups")
-    groups = [g for g in groups if g != reference]
-    if not groups:
-        raise ValueError("no groups to test")
-    test = (labels.where(F.col(group_col).isin(*groups))
-            .select("cell_id", F.col(group_col).alias("comparison"), F.lit(True).alias("is_test")))
-    ref = (labels.where(F.col(group_col) == reference)
-           .select("cell_id", F.explode(F.array(*[F.lit(g) for g in groups])).alias("comparison"),
-                   F.lit(False).alias("is_test")))
-    return rank_genes_paired(layer, test.unionByName(ref), genes, bucket_width)
-
-
-def rank_clusters_vs_healthy(layer: DataFrame, cells: DataFrame, cluster_col: str, clusters: list,
+    is_ref = F.col(group_col) == reference
+    is_test = ~is_ref if groups is None else F.col(group_col).isin(*groups) & ~is_ref
+    sides = labels.where(F.col(group_col).isNotNull()).select("cell_id", F.col(group_col).alias("group"), is_test.alias("is_test"), is_ref.alias("is_ref"))
+    return rank_against(layer, sides, genes, bucket_width)
+
+
+def rank_clusters_vs_healthy(layer: DataFrame, cells: DataFrame, cluster_col: str, clusters,
                              status_col: str = "health_status", healthy: str = "healthy",
                              genes: DataFrame | None = None, bucket_width: float = 0.05) -> DataFrame:
-    """D2 as used for abnormal clusters: each cluster against the healthy
-    cells outside it.  A healthy cell of the cluster is on the cluster side
-    only (disjoint sides; the reference duplicated it, defect D-3)."""
-    clusters = [str(c) for c in clusters]
-    if not clusters:
-        raise ValueError("no clusters to test")
+    """D2 as used for abnormal clusters: each cluster of ``clusters`` (a list, or a table
+    with ``cluster_col``) against the healthy cells outside it.  A healthy cell of the
+    cluster is on the cluster side only (disjoint sides; the reference duplicated it,
+    defect D-3)."""
     cl = F.col(cluster_col).cast("string")
-    test = (cells.where(cl.isin(*clusters))
-            .select("cell_id", cl.alias("comparison"), F.lit(True).alias("is_test")))
-    ref = (cells.where(F.col(status_col) == healthy)
-           .select("cell_id", cl.alias("_own"), F.explode(F.array(*[F.lit(c) for c in clusters])).alias("comparison"))
-           .where(~F.col("_own").eqNullSafe(F.col("comparison")))
-           .select("cell_id", "comparison", F.lit(False).alias("is_test")))
-    return rank_genes_paired(layer, test.unionByName(ref), genes, bucket_width)
+    sides = cells.select("cell_id", cl.alias("group"), F.coalesce(F.col(status_col) == healthy, F.lit(False)).alias("is_ref"))
+    if isinstance(clusters, DataFrame):
+        tested = clusters.select(cl.alias("group"), F.lit(True).alias("is_test")).distinct()
+        sides = sides.join(tested, "group", "left").fillna(False, ["is_test"])
+    else:
+        names = [str(c) for c in clusters]
+        sides = sides.withColumn("is_test", F.coalesce(F.col("group").isin(*names), F.lit(False)) if names else F.lit(False))
+    return rank_against(layer, sides.select("cell_id", "group", "is_test", "is_ref"), genes, bucket_width)
 
 
 def rank_genes_within(layer: DataFrame, labels: DataFrame, cluster_col: str, group_col: str,

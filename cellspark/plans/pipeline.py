@@ -141,9 +141,9 @@ def analyze(counts: DataFrame, cells: DataFrame, genes: DataFrame, reference: tu
         annotated = annotated.withColumn("cell_type", LB.rule_labels("community", "health_status"))
     annotated = materialize(annotated)
     clusters = materialize(RF.abnormal_clusters_ratio(annotated, "community", threshold=abnormal_ratio, type_col="cell_type"))
-    abnormal = [r[0] for r in clusters.where("is_abnormal").select("community").collect()]  # one row per community
+    abnormal = clusters.where("is_abnormal").select("community")
     tested = f.genes.select("gene_id")
-    if abnormal and not annotated.where("health_status = 'healthy'").isEmpty():
+    if not abnormal.isEmpty() and not annotated.where("health_status = 'healthy'").isEmpty():
         de = DE.rank_clusters_vs_healthy(f.lognorm, annotated, "community", abnormal, genes=tested)
     else:
         de = DE.rank_genes(f.lognorm, annotated, "community", genes=tested)

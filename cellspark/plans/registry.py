@@ -582,8 +582,7 @@ def q_rank_genes_vs_reference(spark, sf_dir):
     outside it; ranks over the two sides only."""
     ann, (b, kept_cells, kept_genes, c2, ln) = _ann(spark, sf_dir)
     r1 = RF.abnormal_clusters_ratio(ann, "leiden", type_col=None)
-    clusters = [r[0] for r in r1.where("is_abnormal").select("leiden").collect()]  # <= number of clusters
-    de = DE.rank_clusters_vs_healthy(ln, ann, "leiden", clusters, genes=kept_genes.select("gene_id"))
+    de = DE.rank_clusters_vs_healthy(ln, ann, "leiden", r1.where("is_abnormal").select("leiden"), genes=kept_genes.select("gene_id"))
     return rounded(DE.significant(de, P["padj"], 0.5, flag="significant"))
 
 

@@ -83,3 +83,37 @@ def test_hvg_moments_match_dense(spark):
     for j in range(5):
         v = np.log1p(x[:, j])
         assert abs(st[j]["zero_value"] - (0 - v.mean()) / v.std(ddof=1)) < 1e-9
+
+
+def test_rank_against_equals_brute_force(spark, capsys):
+    """Each group against the reference cells outside it, by comparing all pairs of cells."""
+    import math
+    import random
+
+    from cellspark.operators import de as DE
+    rng = random.Random(8)
+    cells = [(f"c{i}", rng.choice(["a", "b", "c", None]), rng.choice(["healthy", "leukemia", None])) for i in range(60)]
+    genes = [f"g{j}" for j in range(5)]
+    value = {(c, g): rng.choice([0.0, 0.0, 0.5, 1.0, 1.04, 3.0]) for c, _, _ in cells for g in genes[:4]}  # g4 has no entry
+    layer = spark.createDataFrame([(c, g, v) for (c, g), v in value.items()], "cell_id string, gene_id string, value double")
+    table = spark.createDataFrame(cells, "cell_id string, cluster string, health_status string")
+    out = DE.rank_clusters_vs_healthy(layer, table, "cluster", ["a", "b", "nobody"], genes=spark.createDataFrame([(g,) for g in genes], "gene_id string"))
+    out.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    got = {(r.group, r.gene_id): (r.score, r.logfc) for r in out.collect()}
+    assert set(got) == {(g, x) for g in "ab" for x in genes}
+    for (g, x), (score, logfc) in got.items():
+        one = [value.get((c, x), 0.0) for c, k, _ in cells if k == g]
+        two = [value.get((c, x), 0.0) for c, k, h in cells if k != g and h == "healthy"]
+        u = sum((v > w) + 0.5 * (v == w) for v in one for w in two)
+        n1, n2 = len(one), len(two)
+        assert score == pytest.approx((u - n1 * n2 / 2) / math.sqrt(n1 * n2 * (n1 + n2 + 1) / 12), abs=1e-9)
+        mean = [math.expm1(sum(v) / len(v)) + 1e-9 for v in (one, two)]
+        assert logfc == pytest.approx(math.log2(mean[0] / mean[1]), abs=1e-9)
+    listed = {(r.group, r.gene_id): r.score for r in DE.rank_clusters_vs_healthy(layer, table, "cluster", table.where("cluster IN ('a', 'b')").select("cluster")).collect()}
+    assert listed == {k: v[0] for k, v in got.items() if k[1] != "g4"}
+    vs = {(r.group, r.gene_id) for r in DE.rank_genes(layer, table, "cluster", reference="c").collect()}
+    assert vs == {(g, x) for g in "ab" for x in genes[:4]}
+    with pytest.raises(ValueError):
+        DE.rank_clusters_vs_healthy(layer, table, "cluster", []).collect()
