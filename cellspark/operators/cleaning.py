@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .numbering import running
+
 # Sample-name prefixes and the subtype each denotes, in the
 # reference's order; the first matching prefix wins.
 SAMPLE_TYPE_RULES = (
@@ -58,21 +60,29 @@ def make_unique(df: DataFrame, name_col: str, order_col: str, out_col: str | Non
     stay null.
 
     The numbers taken for a name are those of the originals that end in -number;
-    if t_1 < t_2 < ... are taken, the k-th free one is k + #{i: t_i - i < k}.
-    The window partitions by name: one partition holds the copies of a name."""
+    if t_1 < t_2 < ... are taken, the k-th free one is k + #{i: t_i - i < k}.  Copies are
+    numbered, and taken numbers counted against them, in sorted ranges
+    (:func:`numbering.running`): no name's copies or numbers meet in one row or task."""
     out_col = out_col or name_col
     tail = f"^(.*){re.escape(sep)}([1-9][0-9]{{0,17}})$"
     name = F.col(name_col).cast("string")
-    w = Window.partitionBy(name_col).orderBy(order_col)
-    named = df.withColumn("_k", F.when(F.col(name_col).isNotNull(), F.row_number().over(w) - 1).otherwise(0))
-    taken = (df.select(name.alias("_name")).where(F.col("_name").rlike(tail)).distinct()
-             .groupBy(F.regexp_extract("_name", tail, 1).alias("_base"))
-             .agg(F.sort_array(F.collect_set(F.regexp_extract("_name", tail, 2).cast("long"))).alias("_t"))
-             .select("_base", F.transform("_t", lambda t, i: t - i - 1).alias("_gaps")))
-    joined = named.join(taken, name == F.col("_base"), "left")
-    skipped = F.coalesce(F.size(F.filter("_gaps", lambda g: g < F.col("_k"))), F.lit(0))
-    out = F.when(F.col("_k") == 0, name).otherwise(F.concat_ws(sep, name, (F.col("_k") + skipped).cast("string")))
-    return joined.withColumn(out_col, out).drop("_k", "_base", "_gaps")
+    row = {c: f"_c{i}" for i, c in enumerate(df.columns)}
+    named = df.select(*[F.col(f"`{c}`").alias(r) for c, r in row.items()], name.alias("_name"))
+    placed = running(named, ["_name"], [F.col(row[order_col])], out_col="_k").withColumn("_k", F.when(F.col("_name").isNull(), 0).otherwise(F.col("_k") - 1))
+    base, number = F.regexp_extract("_name", tail, 1), F.regexp_extract("_name", tail, 2)
+    taken = named.where(F.col("_name").rlike(tail)).select(base.alias("_base"), number.cast("long").alias("_t")).distinct()
+    gaps = running(taken, ["_base"], [F.col("_t")], out_col="_i").select(F.col("_base").alias("_name"), (F.col("_t") - F.col("_i")).alias("_at"))
+    # the k-th copy skips the taken numbers with fewer than k free ones below them
+    copies = placed.where("_k > 0").select("_name", F.col("_k").alias("_at"), F.lit(0).cast("long").alias("_one"))
+    both = copies.unionByName(gaps.withColumn("_one", F.lit(1).cast("long")))
+    skipped = (running(both, ["_name"], [F.col("_at"), F.col("_one")], sums={"_skip": "_one"}, out_col="_place")
+               .where("_one = 0").select("_name", F.col("_at").alias("_k"), "_skip"))
+    joined = placed.join(skipped, ["_name", "_k"], "left")
+    out = F.when(F.col("_k") == 0, F.col("_name")).otherwise(F.concat_ws(sep, "_name", (F.col("_k") + F.coalesce("_skip", F.lit(0))).cast("string")))
+    kept = [F.col(r).alias(c) for c, r in row.items() if c != out_col]
+    if out_col not in df.columns:
+        return joined.select(*kept, out.alias(out_col))
+    return joined.select(*[out.alias(c) if c == out_col else F.col(r).alias(c) for c, r in row.items()])
 
 
 def drop_null_labels(cells: DataFrame, label_col: str) -> DataFrame:
