@@ -6,9 +6,13 @@ driver only lists directories (S2) and names files.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.numbering import running
+
 BUNDLE_TABLES = ("counts", "cells", "genes")
 
 
@@ -22,6 +26,16 @@ def list_files(spark: SparkSession, data_dir: str, pattern: str = "*") -> list[s
     return sorted(r["path"] for r in found.collect())
 
 
+#: The files of a sample, and a path's sample; a file may be a folder of part files.
+_MTX = ("matrix.mtx", "barcodes.tsv", "genes.tsv", "features.tsv")
+_SAMPLE = r"([^/]+)/[^/]+\.(?:tsv|mtx)(?:\.gz)?(?:/[^/]+)?$"
+
+
+def _units(paths: list[str], is_unit) -> list[str]:
+    """The paths, those inside a folder that is itself a file's name by that folder."""
+    return sorted({p.rsplit("/", 1)[0] if is_unit(p.split("/")[-2]) else p for p in paths})
+
+
 def _by_folder(paths: list[str], names: list[str]) -> dict[str, str]:
     """folder -> its file of the first of ``names`` that it has."""
     out: dict[str, str] = {}
@@ -30,14 +44,21 @@ def _by_folder(paths: list[str], names: list[str]) -> dict[str, str]:
     return out
 
 
+def _sample():
+    return F.regexp_extract(F.url_decode(F.input_file_name()), _SAMPLE, 1)
+
+
+def _place():
+    """A line's place: part file, split of the file, row of the split."""
+    return F.input_file_name().alias("_f"), F.input_file_block_start().alias("_b"), F.monotonically_increasing_id().alias("_i")
+
+
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(sample, line number from 1, value) of the lines of one file per sample, its
-    folder's name.  Lines are numbered by their place in the file; a window partition
-    is one sample's file of barcodes or features."""
-    df = spark.read.text(paths).select("value", F.input_file_name().alias("_f"), F.input_file_block_start().alias("_b"),
-                                       F.monotonically_increasing_id().alias("_i"))
-    df = df.withColumn("sample", F.regexp_extract(F.url_decode("_f"), r"([^/]+)/[^/]+$", 1))
-    return df.select("sample", F.row_number().over(Window.partitionBy("sample").orderBy("_b", "_i")).cast("long").alias("idx"), "value")
+    folder's name.  Lines are numbered by their place in sorted ranges, so the splits of
+    a large file, and its lines, are spread over tasks."""
+    df = spark.read.text(paths).select("value", _sample().alias("sample"), *_place())
+    return running(df, ["sample"], [F.col("_f"), F.col("_b"), F.col("_i")], out_col="idx").select("sample", "idx", "value")
 
 
 def read_mtx_samples(spark: SparkSession, data_dir: str, samples: list[str] | None = None):
@@ -47,10 +68,11 @@ def read_mtx_samples(spark: SparkSession, data_dir: str, samples: list[str] | No
     '%' comment lines and one dimension line), barcodes.tsv[.gz] and
     genes.tsv[.gz] or features.tsv[.gz].  Missing folders or files are
     skipped with a warning; none valid -> ValueError.  All samples are read by one
-    scan per kind of file.  Cell ids are sample_barcode; gene ids are the
+    scan per kind of file; a file larger than a split is several tasks, and each
+    may be a folder of part files, as :func:`write_mtx_samples` writes it.  Cell ids are sample_barcode; gene ids are the
     feature ids; sample_type follows from the sample's name (P1)."""
     from ..operators.cleaning import sample_type_of
-    paths = list_files(spark, data_dir)
+    paths = _units(list_files(spark, data_dir), lambda name: name in _MTX)
     mtx = _by_folder(paths, ["matrix.mtx", "matrix.mtx.gz"])
     bc = _by_folder(paths, ["barcodes.tsv", "barcodes.tsv.gz"])
     ft = _by_folder(paths, ["genes.tsv", "genes.tsv.gz", "features.tsv", "features.tsv.gz"])
@@ -61,9 +83,7 @@ def read_mtx_samples(spark: SparkSession, data_dir: str, samples: list[str] | No
     if not whole:
         raise ValueError(f"{data_dir} holds no complete sample")
     # the first line that is no comment, by its place in the file, has the dimensions
-    raw = (spark.read.text([mtx[d] for d in whole])
-           .select("value", F.regexp_extract(F.url_decode(F.input_file_name()), r"([^/]+)/[^/]+$", 1).alias("sample"),
-                   F.struct(F.input_file_block_start().alias("b"), F.monotonically_increasing_id().alias("i")).alias("_at"))
+    raw = (spark.read.text([mtx[d] for d in whole]).select("value", _sample().alias("sample"), F.struct(*_place()).alias("_at"))
            .where(~F.col("value").startswith("%") & (F.length(F.trim("value")) > 0)))
     head = raw.groupBy("sample").agg(F.min("_at").alias("_first"))  # one row per sample
     t = F.split(F.trim("value"), r"\s+")
@@ -82,10 +102,51 @@ def read_mtx_samples(spark: SparkSession, data_dir: str, samples: list[str] | No
     return counts, cells, genes
 
 
+def _rename(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
+    """Give folders or files another name in the store they are in."""
+    conf, path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    for old, new in moves:
+        fs = path(old).getFileSystem(conf)
+        fs.mkdirs(path(new).getParent())
+        if not fs.rename(path(old), path(new)):
+            raise OSError(f"cannot rename {old} to {new}")
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [f.getPath().getName() for f in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at) if f.isDirectory()]
+
+
+def write_mtx_samples(path: str, counts: DataFrame, cells: DataFrame, genes: DataFrame) -> None:
+    """The layout that S1 reads: per sample matrix.mtx, barcodes.tsv and features.tsv,
+    each a folder of part files in order, so no sample is one task.  ``cells`` has cell_id and
+    sample, ``genes`` gene_id, gene_symbol and feature_type."""
+    spark = counts.sparkSession
+    bc = running(cells.select("sample", F.col("cell_id")), ["sample"], [F.col("cell_id")], out_col="col")
+    ft = running(genes.select("gene_id", "gene_symbol", "feature_type"), [], [F.col("gene_id")], out_col="row")
+    entries = counts.where("value <> 0").join(bc, "cell_id").join(ft.select("gene_id", "row"), "gene_id")
+    size = bc.groupBy("sample").agg(F.count("*").alias("nc")).join(entries.groupBy("sample").agg(F.count("*").alias("nnz")), "sample", "left")
+    head = size.select("sample", F.explode(F.array(
+        F.struct(F.lit(0).alias("o"), F.lit("%%MatrixMarket matrix coordinate real general").alias("value")),
+        F.struct(F.lit(1).alias("o"), F.concat_ws(" ", ft.agg(F.count("*")).scalar().cast("string"), "nc", F.coalesce("nnz", F.lit(0))).alias("value")))).alias("x"))
+    zero = F.lit(0).cast("long")
+    matrix = head.select("sample", "x.o", zero.alias("col"), zero.alias("row"), "x.value").unionByName(
+        entries.select("sample", F.lit(2).alias("o"), "col", "row", F.concat_ws(" ", "row", "col", F.col("value").cast("string")).alias("value")))
+    barcodes = bc.select("sample", F.lit(0).alias("o"), "col", zero.alias("row"), F.col("cell_id").cast("string").alias("value"))
+    features = (size.select("sample", F.explode(F.sequence(F.lit(1).cast("long"), ft.agg(F.max("row")).scalar())).alias("row")).join(ft, "row")
+                .select("sample", F.lit(0).alias("o"), zero.alias("col"), "row", F.concat_ws("\t", "gene_id", "gene_symbol", "feature_type").alias("value")))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for kind, lines in (("matrix.mtx", matrix), ("barcodes.tsv", barcodes), ("features.tsv", features)):
+        place = ["sample", "o", "col", "row"]
+        (lines.repartitionByRange(n, *place).sortWithinPartitions(*place).select("sample", "value")
+         .write.partitionBy("sample").text(f"{path}/_{kind}"))
+        _rename(spark, [(f"{path}/_{kind}/{d}", f"{path}/{d.removeprefix('sample=')}/{kind}") for d in _folders(spark, f"{path}/_{kind}")])  # one per sample
+
+
 def detect_layout(spark: SparkSession, data_dir: str) -> str:
     """S2: '10x' when raw/*/matrix.mtx[.gz] exists; 'processed' for
     data.h5ad, data.h5 or expression_matrix.csv/.tsv; else ValueError."""
-    paths = list_files(spark, data_dir)
+    paths = _units(list_files(spark, data_dir), lambda name: name in _MTX)
     if any(p.split("/")[-3:-2] == ["raw"] and p.rsplit("/", 1)[-1] in ("matrix.mtx", "matrix.mtx.gz") for p in paths):
         return "10x"
     top = {p.rsplit("/", 1)[-1] for p in paths}
@@ -115,8 +176,9 @@ def read_annotations(spark: SparkSession, data_dir: str, cells: DataFrame) -> Da
     """The first of cell_annotations.csv, metadata.csv, annotations.tsv
     (separator from the extension), first column = cell id; only columns
     the cell table lacks are added, by left join."""
-    paths = list_files(spark, data_dir)
-    named = [p for n in ("cell_annotations.csv", "metadata.csv", "annotations.tsv") for p in paths if p.endswith("/" + n)]
+    names = ("cell_annotations.csv", "metadata.csv", "annotations.tsv")
+    paths = _units(list_files(spark, data_dir), lambda name: name in names)
+    named = [p for n in names for p in paths if p.endswith("/" + n)]
     if not named:
         return cells
     p = named[0]
@@ -129,15 +191,17 @@ def read_annotations(spark: SparkSession, data_dir: str, cells: DataFrame) -> Da
 def read_prefixed(spark: SparkSession, data_dir: str, healthy_prefix: str, case_prefixes: list[str],
                   fmt: str = "csv") -> DataFrame:
     """The files of a folder whose names begin with one of the prefixes; sample_id =
-    file stem; a healthy file has sample_type and health_status 'healthy', another
+    stem of the file, or of a folder of part files; a healthy file has sample_type and health_status 'healthy', another
     the prefix as its type and 'leukemia'.  Files of other names are not read; no
     file of any prefix -> ValueError.  Returns the rows with these columns added."""
     prefixes = [healthy_prefix, *case_prefixes]
-    paths = [p for p in list_files(spark, data_dir) if p.rsplit("/", 1)[-1].startswith(tuple(prefixes))]
+    paths = _units(list_files(spark, data_dir), lambda name: name.startswith(tuple(prefixes)))
+    paths = [p for p in paths if p.rsplit("/", 1)[-1].startswith(tuple(prefixes))]
     if not paths:
         raise ValueError(f"{data_dir} holds no file that begins with {', '.join(prefixes)}")
     df = spark.read.format(fmt).option("header", True).load(paths)
-    stem = F.regexp_extract(F.url_decode(F.input_file_name()), r"([^/]+?)(\.[^./]+)*$", 1)
+    begins = "|".join(re.escape(p) for p in prefixes)
+    stem = F.regexp_extract(F.url_decode(F.input_file_name()), rf"/((?:{begins})[^/]*?)(?:\.[^./]+)*(?:/[^/]+)?$", 1)
     kind = F.when(stem.startswith(healthy_prefix), F.lit("healthy"))
     for c in case_prefixes:
         kind = kind.when(stem.startswith(c), F.lit(c))
