@@ -12,7 +12,7 @@ handled in blocks of at most BLOCK_CHARS characters, each broadcast in turn, so
 any number of items can be run against any number of texts.
 
 Defined results: a null or empty text or item matches nothing; an item of fewer
-than ``min_chars`` normalised characters is ignored (it occurs by chance); items
+than ``min_chars`` normalised characters matches only as it is, as whole words; items
 with equal texts each match; an empty table gives no matches; the match column
 replaces a column of its name and every other column passes through.
 """
@@ -77,13 +77,15 @@ def best_match(places: dict[str, int], m: int, text: str, limit: int) -> tuple[i
 class Items:
     """A block of items ready to be searched for."""
 
-    def __init__(self, rows: list[tuple[int | None, str]], max_error: float) -> None:
+    def __init__(self, rows: list[tuple[int | None, str]], max_error: float, min_chars: int = 0) -> None:
         import ahocorasick
 
-        self.items, starts = [], {}
+        self.items, starts, self.short = [], {}, set()
         for item_id, text in rows:
             m = len(text)
-            e = int(max_error * m)
+            e = int(max_error * m) if m >= min_chars else 0
+            if m < min_chars:
+                self.short.add(len(self.items))
             self.items.append((item_id, m, e, masks(text)))
             for a, b in pieces(m, e):
                 starts.setdefault(text[a:b], []).append((len(self.items) - 1, a))
@@ -95,9 +97,15 @@ class Items:
     def search(self, text: str) -> list[tuple[int | None, int, int]]:
         """(item_id, errors, end in the normalised text), the best match of each item."""
         near: dict[int, list[tuple[int, int]]] = {}
+        whole: dict[int, int] = {}  # short items, and the end of their first place
         for end, (size, where) in self.automaton.iter(text):
             for k, a in where:
                 _, m, e, _ = self.items[k]
+                if k in self.short:
+                    lo = end + 1 - size
+                    if k not in whole and (lo == 0 or text[lo - 1] == " ") and (end + 1 == len(text) or text[end + 1] == " "):
+                        whole[k] = end + 1
+                    continue
                 lo = end + 1 - size - a - e
                 hi = lo + m + 2 * e
                 spans = near.setdefault(k, [])
@@ -105,7 +113,7 @@ class Items:
                     spans[-1] = (min(lo, spans[-1][0]), max(hi, spans[-1][1]))
                 else:
                     spans.append((lo, hi))
-        out = []
+        out = [(self.items[k][0], 0, end) for k, end in whole.items()]
         for k, spans in near.items():
             item_id, m, e, places = self.items[k]
             found = []
@@ -121,7 +129,8 @@ class Items:
 def with_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                  max_error: float = 0.06, min_chars: int = 30, out_col: str = "matches") -> DataFrame:
     """``docs`` with ``out_col``: array of (item_id, errors, stop) of the items that
-    occur in the text with at most max_error of their length in edits."""
+    occur in the text with at most max_error of their length in edits.  Items of fewer
+    than ``min_chars`` normalised characters must occur as they are, as whole words."""
     spark = docs.sparkSession
 
     @F.arrow_udf("string")
@@ -129,21 +138,21 @@ def with_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item
         return pa.array([normalise(t.as_py()) for t in texts], pa.string())
 
     items = items.select(F.col(item_col).cast("long").alias("item_id"), plain(F.col(item_text).cast("string")).alias("text"))
-    items = items.where(F.length("text") >= min_chars)
+    items = items.where(F.length("text") > 0)
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = -(-total // BLOCK_CHARS)
     found = F.array().cast("array<struct<item_id:bigint,errors:int,stop:int>>")
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         block = spark.sparkContext.broadcast([tuple(r) for r in rows])
-        found = F.concat(found, _searcher(block, max_error)(F.col(text_col).cast("string")))
+        found = F.concat(found, _searcher(block, max_error, min_chars)(F.col(text_col).cast("string")))
     return docs.withColumn(out_col, found)
 
 
-def _searcher(block, max_error: float):
+def _searcher(block, max_error: float, min_chars: int):
     @F.arrow_udf("array<struct<item_id:bigint,errors:int,stop:int>>")
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        items = Items(block.value, max_error)
+        items = Items(block.value, max_error, min_chars)
         for texts in batches:
             yield pa.array([[{"item_id": i, "errors": e, "stop": s} for i, e, s in items.search(normalise(t.as_py()))] for t in texts],
                            pa.list_(_MATCH))

@@ -5,7 +5,7 @@ that the model knows scores the negative logarithm of its relative frequency in
 each language.  An unseen word falls back to its character 4-grams (with a blank
 at both ends); if none of them is known to 3-grams, and so on down to single
 characters, the first length with a known n-gram scoring the mean of those it
-knows.  What a language lacks scores ``PENALTY``.  The language with the lowest
+knows.  What a language lacks scores more than anything counted.  The language with the lowest
 mean over the words wins.
 
 Learning counts every word of every training text: words are counted per batch and
@@ -24,6 +24,7 @@ replace columns of their names and every other column passes through.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 
 import numpy as np
@@ -97,14 +98,22 @@ def _gram_counts(counts: DataFrame) -> DataFrame:
 def _by_feature(counts: DataFrame, totals: dict, langs: list[str]) -> DataFrame:
     """(n, feature, count, v) with the scores v in the order of ``langs``."""
 
+    absent = F.element_at(F.create_map(*[F.lit(x) for n, t in totals.items() for x in (n, _absent(t))]), F.col("n"))
+
     def score(lang):
         total = F.element_at(F.create_map(*[F.lit(x) for n, t in totals.items() if t.get(lang) for x in (n, float(t[lang]))]), F.col("n"))
-        found = F.max(F.when(F.col("lang") == lang, F.least(F.lit(PENALTY), -F.log10(F.col("count") / total))))
-        return F.coalesce(found, F.lit(PENALTY)).cast("float")
+        found = F.max(F.when(F.col("lang") == lang, -F.log10(F.col("count") / total)))
+        return F.coalesce(found, F.max(absent)).cast("float")
 
     return counts.groupBy("n", "feature").agg(F.sum("count").alias("count"), F.array(*[score(lang) for lang in langs]).alias("v"))
 
 
+def _absent(totals: dict[str, int]) -> float:
+    """The score of a feature that a language lacks: above that of any counted feature of
+    any language, however many there are, and PENALTY at least."""
+    return max(PENALTY, 1 + math.log10(max(totals.values(), default=1)))
+
+
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict:
     """The model: languages, and the written tables of words and of n-grams with
     their scores by language."""

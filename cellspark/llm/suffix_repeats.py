@@ -357,10 +357,11 @@ def _spans(docs: DataFrame, min_len: int, anchor: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   min_len: int = 400, anchor: int = 100, min_words: int | None = None) -> DataFrame:
+                   min_len: int = 400, anchor: int = 100, min_words: int | None = None, count_words: bool = True) -> DataFrame:
     """``docs`` with its text replaced by the kept bytes, and n_bytes, n_removed,
     n_spans (maximal removed runs) and kept_sha256 (of the kept bytes).  With
-    ``min_words``, passages of so many words that stand elsewhere go too."""
+    ``min_words``, passages of so many words that stand elsewhere go too; the figures
+    and the hash are then of both, or of the byte strings alone without ``count_words``."""
     spans = repeated_spans(docs, id_col, text_col, min_len, anchor).withColumn("words", F.lit(False))
     if min_words:
         spans = spans.unionByName(repeated_words(docs, id_col, text_col, min_words).withColumn("words", F.lit(True)))
@@ -375,27 +376,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         edges = np.flatnonzero(blank[1:] != blank[:-1])  # begin and end of each word
         return sorted((int(edges[2 * s["start"]]), int(edges[2 * s["stop"] - 1])) if s["words"] else (s["start"], s["stop"]) for s in found)
 
+    def without(data: bytes, spans) -> tuple[bytes, int]:
+        """The bytes outside sorted spans, and the number of removed runs."""
+        kept, at, n, end = [], 0, 0, -1  # the end of the open removed run
+        for start, stop in spans:
+            if start > end:
+                kept.append(data[at:start])
+                n += 1
+            at = end = max(end, stop)
+        return (b"".join([*kept, data[at:]]), n) if n else (data, 0)
+
     @F.arrow_udf("struct<text:string,n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept_sha256:string>")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
         for text, found in zip(texts, spans, strict=True):
-            text = text.as_py()
-            data, kept, at, n = (text or "").encode(), [], 0, 0
-            end = -1  # of the open removed run
-            for start, stop in byte_spans(data, found.as_py() or ()):
-                if start > end:
-                    kept.append(data[at:start])
-                    n += 1
-                end = max(end, stop)
-                at = end
-            if n:
-                kept.append(data[at:])
-                rest = b"".join(kept)
-                text = rest.decode("utf-8", "ignore")
-            else:
-                rest = data
-            out.append({"text": text, "n_bytes": len(data), "n_removed": len(data) - len(rest), "n_spans": n,
-                        "kept_sha256": hashlib.sha256(rest).hexdigest()})
+            text, found = text.as_py(), found.as_py() or ()
+            data = (text or "").encode()
+            kept, n = without(data, byte_spans(data, found))
+            text = text if not n else kept.decode("utf-8", "ignore")
+            if not count_words:
+                kept, n = without(data, [(s["start"], s["stop"]) for s in found if not s["words"]])
+            out.append({"text": text, "n_bytes": len(data), "n_removed": len(data) - len(kept), "n_spans": n,
+                        "kept_sha256": hashlib.sha256(kept).hexdigest()})
         return pa.array(out, pa.struct([("text", pa.string()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                                         ("n_spans", pa.int64()), ("kept_sha256", pa.string())]))
 

@@ -68,3 +68,17 @@ def test_interval_tree_reports_all_maximal_repeats():
         got = {(n, frozenset(p)) for n, p in sr.maximal_repeats(texts, 3)}
         # occurrences that end a text share an end; compare those that differ in their next byte
         assert {g for g in got} >= _brute_maximal(texts, 3)
+
+
+def test_figures_of_byte_strings_beside_a_text_without_word_passages(spark):
+    """count_words=False: the figures of 400-byte strings, the text also without passages of 51 short words."""
+    rng = random.Random(7)
+    prose = lambda n: " ".join(f"{rng.choice('bcdfg')}{rng.randrange(10 ** 4)}" for _ in range(n))
+    short, long = " ".join(f"{rng.choice('xyz')}{rng.randrange(10)}" for _ in range(55)), prose(120)
+    rows = [(i, f"{prose(20)} {short if i % 2 else long} {prose(20)}") for i in range(8)] + [(8, None), (9, prose(60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sr.remove_repeats(df, min_words=51, count_words=False).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out), key=str) == sorted(without_repeats(rows, 400), key=str)
+    kept = {r.doc_id: r.text for r in out}
+    assert all(short not in kept[i] and len(kept[i].split()) == 40 for i in range(1, 8, 2))
+    assert all(len(kept[i]) < 300 for i in range(0, 8, 2)) and kept[8] is None and kept[9] == rows[9][1]

@@ -265,3 +265,21 @@ def test_language_rare_beside_a_large_one(spark):
     rows = [(t, "aa") for t in large * 2] + [(rare, "bb")]
     model = language.train(spark.createDataFrame(rows, "text string, lang string"))
     assert language.identify(spark.createDataFrame([(rare,)], "text string"), model).first().lang_pred == "bb"
+
+
+def test_a_word_seen_once_decides_however_large_the_corpus(spark):
+    """With over 10 ** 7 words of a language, its rarest word still scores better than a word it lacks."""
+    words = spark.createDataFrame([(0, "rare", "aa", 1), (0, "both", "aa", 20_000), (0, "both", "bb", 1)], "n int, feature string, lang string, count long")
+    v = {r.feature: r.v for r in language._by_feature(words, {0: {"aa": 20_000_000, "bb": 1000}}, ["aa", "bb"]).collect()}
+    assert v["rare"][0] < v["rare"][1]
+    assert v["rare"][0] == pytest.approx(7.30103, abs=1e-5)
+    assert v["both"] == pytest.approx([3.0, 3.0], abs=1e-6)
+
+
+def test_short_benchmark_items_match_exactly_and_as_whole_words(spark):
+    items = spark.createDataFrame([(1, "Two plus two"), (2, "pi"), (3, "..."), (4, None)], "item_id long, text string")
+    texts = ["what is TWO, plus two?", "two plus twos", "two plus tw", "apian pie", "the value of pi", "pi", "", None]
+    docs = spark.createDataFrame([(i, t, "m") for i, t in enumerate(texts)], "doc_id long, text string, matches string")
+    got = {r.doc_id: [(m.item_id, m.errors, m.stop) for m in r.matches] for r in decontaminate.with_matches(docs, items).collect()}
+    assert got == {0: [(1, 0, 20)], 1: [], 2: [], 3: [], 4: [(2, 0, 15)], 5: [(2, 0, 2)], 6: [], 7: []}
+    assert decontaminate.with_matches(docs.limit(0), items).collect() == []
