@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from cellspark.functions.stats import bh_adjust, erfc, ln_factorial
