@@ -1,9 +1,9 @@
 """Cell labels: model scoring, votes, transfer, agreement.
 
 A linear model is a coefficient table (type, gene_id, weight) plus an
-intercept table (type, intercept); scoring is a join of the sparse layer
-with the coefficients and one group-by per (cell, type), so the work grows
-with the nonzeros, never with cells x genes.
+intercept table (type, intercept).  For scoring, a gene's weights for all types
+are one array; the arrays of a cell's genes are added up by one aggregate, and the
+label is the place of the largest sum.  No row per (cell, type) is made.
 """
 
 from __future__ import annotations
@@ -22,6 +22,21 @@ def _type_array(types: DataFrame):
     return types.agg(F.sort_array(F.collect_set("type"))).scalar()
 
 
+def _per_gene(df: DataFrame, types, value_col: str) -> DataFrame:
+    """(gene_id, _w): the values of a gene in the order of ``types`` (an array column),
+    0 where it has none."""
+    held = df.groupBy("gene_id").agg(F.map_from_entries(F.collect_list(F.struct("type", F.col(value_col).cast("double")))).alias("_m"))
+    return held.withColumn("_t", types).select("gene_id", F.transform("_t", lambda t: F.coalesce(F.element_at("_m", t), F.lit(0.0))).alias("_w"))
+
+
+def _summed(rows: DataFrame, array) -> DataFrame:
+    """(cell_id, _sums): the sum of the cell's arrays, place by place."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    total = rows.select("cell_id", array_to_vector(array).alias("_a")).groupBy("cell_id").agg(Summarizer.sum(F.col("_a")).alias("_s"))
+    return total.select("cell_id", vector_to_array("_s").alias("_sums"))
+
+
 def classify_cells(layer: DataFrame, cells: DataFrame, coef: DataFrame, intercept: DataFrame | None = None,
                    prob: str = "softmax") -> DataFrame:
     """L1: decision_t(cell) = sum_g w_tg x_g + b_t for every type; label =
@@ -30,24 +45,19 @@ def classify_cells(layer: DataFrame, cells: DataFrame, coef: DataFrame, intercep
     Cells of ``cells`` without any scored gene get the intercepts only.
     Returns cell_id, predicted_celltype, confidence, decision."""
     b = intercept if intercept is not None else coef.select("type").distinct().withColumn("intercept", F.lit(0.0))
-    dot = (layer.join(coef, "gene_id").groupBy("cell_id", "type")
-           .agg(F.sum(F.col("value") * F.col("weight")).alias("_dot")))
-    # every cell gets every type of the model
-    grid = cells.select("cell_id", F.explode(_type_array(b.select("type"))).alias("type"))
-    d = (grid.join(dot, ["cell_id", "type"], "left").join(b.select("type", "intercept"), "type", "left")
-         .select("cell_id", "type", (F.coalesce("_dot", F.lit(0.0)) + F.coalesce("intercept", F.lit(0.0)))
-                 .alias("decision")))
-    # a window partition holds one cell's types
-    w = Window.partitionBy("cell_id")
-    wr = Window.partitionBy("cell_id").orderBy(F.col("decision").desc(), F.col("type"))
-    d = d.withColumn("_max", F.max("decision").over(w)).withColumn("_r", F.row_number().over(wr))
+    types = _type_array(b.select("type"))
+    weights = _per_gene(coef.join(b.select("type"), "type", "left_semi"), types, "weight")
+    dot = _summed(layer.join(weights, "gene_id"), F.transform("_w", lambda w: w * F.col("value")))
+    base = b.agg(F.map_from_entries(F.collect_list(F.struct("type", F.coalesce(F.col("intercept").cast("double"), F.lit(0.0)))))).scalar()
+    scored = (cells.select("cell_id").join(dot, "cell_id", "left").select("cell_id", types.alias("_types"), base.alias("_base"), "_sums")
+              .withColumn("_d", F.transform("_types", lambda t, i: F.element_at("_base", t) + F.coalesce(F.get("_sums", i), F.lit(0.0))))
+              .withColumn("decision", F.array_max("_d")))
     if prob == "softmax":
-        d = d.withColumn("_z", F.sum(F.exp(F.col("decision") - F.col("_max"))).over(w))
-        conf = F.lit(1.0) / F.col("_z")
+        conf = F.lit(1.0) / F.aggregate("_d", F.lit(0.0), lambda z, d: z + F.exp(d - F.col("decision")))
     else:
         conf = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("decision")))
-    return (d.where(F.col("_r") == 1)
-            .select("cell_id", F.col("type").alias("predicted_celltype"), conf.alias("confidence"), "decision"))
+    label = F.element_at("_types", F.array_position("_d", F.col("decision")).cast("int"))
+    return scored.select("cell_id", label.alias("predicted_celltype"), conf.alias("confidence"), "decision")
 
 
 def centroid_model(layer: DataFrame, labels: DataFrame, label_col: str):
@@ -131,31 +141,35 @@ def transfer_labels_corr(layer: DataFrame, cells: DataFrame, profiles: DataFrame
     wpt = Window.partitionBy("type", "mean_expression")
     pr = (pr.withColumn("_rk", F.rank().over(wp) + (F.count(F.lit(1)).over(wpt) - 1) / 2.0)
             .select("type", "gene_id", F.col("_rk").alias("rt")))
-    ptot = pr.groupBy("type").agg(F.sum("rt").alias("_srt"), F.sum(F.col("rt") * F.col("rt")).alias("_srt2"))
+    types = _type_array(profiles.select("type"))
+    square = F.sum(F.col("rt") * F.col("rt"))
+    totals = pr.groupBy("type").agg(F.struct(F.sum("rt").alias("s"), square.alias("s2")).alias("t"))
+    totals = totals.agg(F.map_from_entries(F.collect_list(F.struct("type", "t")))).scalar()
+    ranks = _per_gene(pr, types, "rt")
     x = layer.where(F.col("value") > 0).join(genes.select("gene_id"), "gene_id", "left_semi")
     wc = Window.partitionBy("cell_id")
     wcr = Window.partitionBy("cell_id").orderBy("value")
     wct = Window.partitionBy("cell_id", "value")
     x = (x.withColumn("_nz", F.count(F.lit(1)).over(wc))
           .withColumn("rc", (G - F.col("_nz")) + F.rank().over(wcr) + (F.count(F.lit(1)).over(wct) - 1) / 2.0))
-    cstat = x.groupBy("cell_id").agg(F.first("_nz").alias("nz"), F.sum("rc").alias("_src"),
-                                     F.sum(F.col("rc") * F.col("rc")).alias("_src2"))
-    cross = x.join(pr, "gene_id").groupBy("cell_id", "type").agg(
-        F.sum(F.col("rc") * F.col("rt")).alias("_sxy"), F.sum("rt").alias("_srt_nz"))
-    grid = cells.select("cell_id", F.explode(_type_array(profiles.select("type"))).alias("type"))
-    d = (grid.join(cstat, "cell_id", "left").join(ptot, "type").join(cross, ["cell_id", "type"], "left")
-         .fillna({"nz": 0, "_src": 0.0, "_src2": 0.0, "_sxy": 0.0, "_srt_nz": 0.0}))
+    cstat = x.groupBy("cell_id").agg(F.first("_nz").alias("nz"), F.sum(F.col("rc") * F.col("rc")).alias("_src2"))
+    cross = _summed(x.join(ranks, "gene_id"), F.concat(F.transform("_w", lambda r: r * F.col("rc")), F.col("_w")))
+    d = (cells.select("cell_id").join(cstat, "cell_id", "left").join(cross, "cell_id", "left").fillna({"nz": 0, "_src2": 0.0})
+         .withColumns({"_types": types, "_t": totals}))
     z = G - F.col("nz")
     r0 = (z + 1) / 2.0
-    sxy = F.col("_sxy") + r0 * (F.col("_srt") - F.col("_srt_nz"))
-    sxx = F.col("_src2") + z * r0 * r0
-    cov = sxy - G * mu * mu
-    var_c = sxx - G * mu * mu
-    var_t = F.col("_srt2") - G * mu * mu
-    d = d.select("cell_id", "type", (cov / F.sqrt(var_c * var_t)).alias("corr"))
-    w = Window.partitionBy("cell_id").orderBy(F.col("corr").desc_nulls_last(), F.col("type"))
-    return (d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
-            .select("cell_id", F.col("type").alias("predicted_celltype"), F.col("corr").alias("score")))
+    var_c = F.col("_src2") + z * r0 * r0 - G * mu * mu
+    d = d.withColumns({"_r0": r0, "_var": var_c, "_mid": G * mu * mu})
+
+    def corr(name, i):
+        t = F.element_at("_t", name)
+        both, part = (F.coalesce(F.get("_sums", j), F.lit(0.0)) for j in (i, i + F.size("_types")))
+        cov = both + F.col("_r0") * (t["s"] - part) - F.col("_mid")
+        return F.try_divide(cov, F.sqrt(F.col("_var") * (t["s2"] - F.col("_mid"))))
+
+    d = d.withColumn("_d", F.transform("_types", corr)).withColumn("score", F.array_max("_d"))
+    place = F.greatest(F.coalesce(F.array_position("_d", F.col("score")), F.lit(1)), F.lit(1)).cast("int")  # no correlation: the first type
+    return d.select("cell_id", F.element_at("_types", place).alias("predicted_celltype"), "score")
 
 
 def first_available(cells: DataFrame, columns: list[str], out_col: str = "celltype",

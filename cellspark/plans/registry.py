@@ -491,8 +491,8 @@ def q_transfer_labels_corr(spark, sf_dir):
     """L4: Spearman correlation with segment mean profiles, argmax."""
     b, kept_cells, kept_genes, c2, ln = _prep(spark, sf_dir)
     gm = DE.group_means(ln, kept_cells, "sample_type")
-    types = [r[0] for r in kept_cells.select("sample_type").distinct().collect()]
-    grid = kept_genes.select("gene_id", F.explode(F.array(*[F.lit(t) for t in sorted(types)])).alias("type"))
+    types = F.array_sort(F.collect_set("sample_type"))
+    grid = kept_genes.select("gene_id", F.explode(kept_cells.agg(types).scalar()).alias("type"))
     prof = (grid.join(gm.select(F.col("group").alias("type"), "gene_id", "mean_expression"), ["type", "gene_id"], "left")
             .fillna({"mean_expression": 0.0}))
     return rounded(LB.transfer_labels_corr(ln, kept_cells, prof, kept_genes.select("gene_id")))
