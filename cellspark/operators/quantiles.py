@@ -12,13 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.pipeline import materialize
+from ..plans.pipeline import materialize, tidy
 
 #: Bins per range and round.
 BINS = 1024
 _MOST = 1.7976931348623157e308
 
 
+@tidy
 def quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None) -> DataFrame:
     """Columns ``by``, n and q: the quantiles ``probs`` of ``value`` per group, interpolated
     linearly between the two values around each (as ``percentile`` does).  Null and NaN

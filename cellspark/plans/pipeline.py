@@ -11,13 +11,58 @@ import os
 import time
 import uuid
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import normalize as NZ
 from ..operators import qc as QC
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, delete_path
+
+
+#: Tables written in each open ``scratch`` block.
+_open: list[list[str]] = []
+
+
+class scratch:  # noqa: N801  used like a function
+    """A block whose written tables are deleted when it ends; ``keep`` writes one that stays
+    (with the enclosing block, if there is one).  What the block returns must be kept:
+
+        with scratch(spark) as s:
+            parts = materialize(...)
+            return s.keep(parts.groupBy(...))
+    """
+
+    def __init__(self, spark) -> None:
+        self.spark = spark
+
+    def __enter__(self) -> scratch:
+        _open.append([])
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        own = _open.pop()
+        try:
+            return materialize(df)
+        finally:
+            _open.append(own)
+
+    def __exit__(self, *_) -> None:
+        for path in _open.pop():
+            delete_path(self.spark, path)
+
+
+def tidy(operator):
+    """An operator (DataFrame, ...) -> DataFrame whose result is a written table, and whose
+    other written tables are deleted."""
+
+    @wraps(operator)
+    def run(first: DataFrame, *args, **kwargs) -> DataFrame:
+        with scratch(first.sparkSession) as s:
+            return s.keep(operator(first, *args, **kwargs))
+
+    return run
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -37,6 +82,8 @@ def materialize(df: DataFrame) -> DataFrame:
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/table-{uuid.uuid4().hex}"
     t = time.time()
+    if _open:
+        _open[-1].append(path)
     df.write.mode("errorifexists").parquet(path)
     out = spark.read.parquet(path)
     if os.environ.get("CELLSPARK_DEBUG"):

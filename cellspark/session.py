@@ -54,3 +54,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="cellspark-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is in."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
