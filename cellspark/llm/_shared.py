@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.pipeline import materialize
+from ..plans.pipeline import materialize, scratch, tidy
 
-__all__ = ["materialize", "table", "bound_batches", "held_out", "small_side", "sampled"]
+__all__ = ["materialize", "scratch", "tidy", "table", "bound_batches", "held_out", "small_side", "sampled"]
 
 #: Bytes of an Arrow batch that is sent to a Python worker.
 ARROW_BYTES = 8 << 20

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.numbering import number_rows, running
-from ._shared import materialize
+from ._shared import materialize, tidy
 
 #: Word occurrences of a block, ids of a tile's side, and bytes tokenised at a time.
 BLOCK, TILE, _CHUNK = 1 << 18, 512, 1 << 20
@@ -400,6 +400,7 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max
     return out, totals
 
 
+@tidy
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 5, min_count: int = 100,
                  inside_share: int = 100, top: int | None = 2000) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's ``top`` phrases (all if None).

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._shared import materialize
+from ._shared import materialize, scratch, tidy
 from ._text import mix, set_id, shingles
 from .ngram_join import FRAGMENTS, _hub_pairs, _overlaps, _rest, _segments
 
@@ -111,6 +111,7 @@ def _profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, text_key long, n int, sid long, sketch array<int>, bands array<long>")
 
 
+@tidy
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4,
                     num: int = 8, den: int = 10) -> DataFrame:
     """One row per row of ``docs``: its id, n_shingles, component_id (the smallest id
@@ -128,7 +129,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return _segments(docs, profiles, nodes.distinct(), k, repeated, fragments)
 
     rows = profiles.where("bands IS NOT NULL").select(F.explode("bands").alias("segment"), F.col("sid").alias("node"), "n")
-    pairs = materialize(_hub_pairs(rows))
+    with scratch(docs.sparkSession) as s:
+        pairs = s.keep(_hub_pairs(rows))
     alive = pairs.where(f"least(na, nb) * {den}L >= greatest(na, nb) * {num}L")
     whole = segments_of(alive.select(F.col("a").alias("sid")).union(alive.select(F.col("b").alias("sid"))), FRAGMENTS)
     links = materialize(alive.join(_overlaps(alive, whole), ["a", "b"])

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._shared import materialize, small_side
+from ._shared import materialize, scratch, small_side, tidy
 from ._text import mix, set_id, shingles
 
 #: Ratio of the sizes of a class.
@@ -364,6 +364,7 @@ def _rest(pairs: DataFrame, comps: DataFrame, sketches: DataFrame, segments_of,
     return full.groupBy("a", "block").applyInArrow(decided, "a long, b long")
 
 
+@tidy
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
                        num: int = 9, den: int = 10) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles (size of its set), sid (the
@@ -379,7 +380,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def segments_of(nodes: DataFrame, fragments: int) -> DataFrame:
         return _segments(docs, profiles, nodes.distinct(), k, repeated, fragments)
 
-    pairs = materialize(_hub_pairs(_segment_rows(docs.where("text IS NOT NULL").select("text"), k, num, den)))
+    with scratch(docs.sparkSession) as s:
+        pairs = s.keep(_hub_pairs(_segment_rows(docs.where("text IS NOT NULL").select("text"), k, num, den)))
     nodes = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
     sketches = materialize(profiles.join(nodes, "sid", "left_semi").groupBy("sid").agg(F.first("sketch").alias("sketch")))
     alive = materialize(_possible(pairs, sketches, num, den))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.numbering import running
-from ._shared import materialize
+from ._shared import materialize, tidy
 
 #: Turns in a band that is peeled in one step, and levels of any other band.
 TAIL_ROWS, LEVELS = 8192, 16
@@ -211,6 +211,7 @@ def _digests(ends: DataFrame) -> DataFrame:
     return text.repartition(n, *node).sortWithinPartitions(*node, "first").mapInArrow(digest, "depth long, k1 long, k2 long, ends_sha256 string")
 
 
+@tidy
 def trie(convs: DataFrame, rows: DataFrame) -> DataFrame:
     """The nodes of the trie of the conversations ``convs`` (conv), whose turns are ``rows``
     (conv, pos, h1, h2, n_bytes); conversations without turns end at the root.

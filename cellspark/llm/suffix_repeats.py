@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize, small_side
+from ._shared import materialize, scratch, small_side
 from ._text import _BLANK, mix, powers, prefix_sums, word_hashes
 
 #: Window starts handled at a time, windows of a piece at each level, different pieces per suffix array.
@@ -362,11 +362,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n_spans (maximal removed runs) and kept_sha256 (of the kept bytes).  With
     ``min_words``, passages of so many words that stand elsewhere go too; the figures
     and the hash are then of both, or of the byte strings alone without ``count_words``."""
-    spans = repeated_spans(docs, id_col, text_col, min_len, anchor).withColumn("words", F.lit(False))
-    if min_words:
-        spans = spans.unionByName(repeated_words(docs, id_col, text_col, min_words).withColumn("words", F.lit(True)))
-    per_text = materialize(spans.groupBy("id", "key").agg(F.array_sort(F.collect_set(F.struct("start", "stop", "words"))).alias("_spans"))
-                           .withColumnsRenamed({"id": "_sid", "key": "_skey"}))
+    with scratch(docs.sparkSession) as s:
+        with scratch(docs.sparkSession) as own:
+            spans = own.keep(repeated_spans(docs, id_col, text_col, min_len, anchor).withColumn("words", F.lit(False)))
+        if min_words:
+            with scratch(docs.sparkSession) as own:
+                spans = spans.unionByName(own.keep(repeated_words(docs, id_col, text_col, min_words).withColumn("words", F.lit(True))))
+        per_text = s.keep(spans.groupBy("id", "key").agg(F.array_sort(F.collect_set(F.struct("start", "stop", "words"))).alias("_spans"))
+                          .withColumnsRenamed({"id": "_sid", "key": "_skey"}))
 
     def byte_spans(data: bytes, found) -> list[tuple[int, int]]:
         if not any(s["words"] for s in found):
