@@ -7,10 +7,12 @@ closed form instead of densifying the matrix.
 
 from __future__ import annotations
 
+import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import number_rows
 from .qc import _n_rows
 
 
@@ -87,14 +89,12 @@ def highly_variable_genes(layer: DataFrame, cells: DataFrame, genes: DataFrame |
         F.least(F.lit(n_bins - 1),
                 F.greatest(F.lit(0), (F.ceil((F.col("means") - r["lo"]) / width) - 1).cast("int"))))
     g = g.withColumn("mean_bin", bin_)
-    # one row per bin: at most n_bins groups
-    wb = Window.partitionBy("mean_bin")
-    g = (g.withColumn("_bm", F.avg("dispersions").over(wb))
-          .withColumn("_bs", F.stddev_samp("dispersions").over(wb)))
+    stats = g.groupBy("mean_bin").agg(F.avg("dispersions").alias("_bm"), F.stddev_samp("dispersions").alias("_bs"))  # n_bins rows
+    g = g.join(F.broadcast(stats), "mean_bin")
     one = F.col("_bs").isNull()
     g = g.withColumn("dispersions_norm",
                      (F.col("dispersions") - F.when(one, F.lit(0.0)).otherwise(F.col("_bm")))
-                     / F.when(one, F.col("_bm")).otherwise(F.col("_bs"))).drop("_bm", "_bs")
+                     / F.when(one, F.col("_bm")).otherwise(F.col("_bs"))).select("gene_id", "means", "dispersions", "mean_bin", "dispersions_norm")
     return _flag_top(g, "dispersions_norm", n_top_genes, "highly_variable")
 
 
@@ -109,47 +109,66 @@ def _flag_top(g: DataFrame, score: str, n: int, flag: str) -> DataFrame:
     return g.withColumn(flag, F.coalesce(F.col(score) >= cut, F.lit(False)))
 
 
+def loess(rows: DataFrame, span: float = 0.3, knots: int = 50) -> DataFrame:
+    """``rows`` (gene_id, x, y) with ``trend``: local quadratic regression of y on x.
+
+    At a knot x0 the regression is weighted by (1 - (d / h)^3)^3, d the distance to x0 and
+    h that of the ``span`` n-th nearest row; between knots, which stand at equal
+    steps of the sorted x, the trend is linear.  Where the neighbourhood does not
+    determine a parabola it is the weighted mean."""
+    numbered = number_rows(rows.select("gene_id", "x", "y"), [F.col("x"), F.col("gene_id")], "_p")
+    n = numbered.count()
+    if not n:
+        return rows.withColumn("trend", F.lit(None).cast("double"))
+    q = max(3, math.floor(span * n + 1e-5))
+    places = sorted({math.floor(i * (n - 1) / (knots - 1) + 0.5) for i in range(knots)})
+    at = numbered.where(F.col("_p").isin(places)).agg(F.array_sort(F.collect_set("x"))).scalar()  # a value per knot
+    each = numbered.withColumn("_at", at).select("x", "y", F.explode("_at").alias("x0")).withColumn("d", F.abs(F.col("x") - F.col("x0")))
+    nearest = Window.partitionBy("x0").orderBy("d")  # a knot's genes
+    wide = each.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= q).groupBy("x0").agg(F.max("d").alias("h"))
+    near = each.join(F.broadcast(wide), "x0").where("d < h OR d = 0")  # a row per knot
+    w = F.when(F.col("h") > 0, F.pow(1 - F.pow(F.col("d") / F.col("h"), 3), 3)).otherwise(F.lit(1.0))
+    u = F.when(F.col("h") > 0, (F.col("x") - F.col("x0")) / F.col("h")).otherwise(F.lit(0.0))
+    near = near.select("x0", "y", w.alias("w"), u.alias("u"))
+    sums = near.groupBy("x0").agg(*[F.sum(F.col("w") * F.pow("u", F.lit(i))).alias(f"s{i}") for i in range(5)],
+                                  *[F.sum(F.col("w") * F.pow("u", F.lit(i)) * F.col("y")).alias(f"t{i}") for i in range(3)])
+    s0, s1, s2, s3, s4, t0, t1, t2 = (F.col(c) for c in ("s0", "s1", "s2", "s3", "s4", "t0", "t1", "t2"))
+    det = _det3(s0, s1, s2, s1, s2, s3, s2, s3, s4)
+    fit = F.when(det > 1e-9 * F.pow(s0, 3), F.try_divide(_det3(t0, s1, s2, t1, s2, s3, t2, s3, s4), det)).otherwise(t0 / s0)
+    curve = sums.agg(F.array_sort(F.collect_list(F.struct(F.col("x0").alias("x"), fit.alias("f"))))).scalar()
+    placed = rows.withColumn("_curve", curve).withColumn("_below", F.filter("_curve", lambda k: k["x"] <= F.col("x")))
+    lo, hi = F.element_at("_below", -1), F.get("_curve", F.size("_below"))
+    line = lo["f"] + (F.col("x") - lo["x"]) * (hi["f"] - lo["f"]) / (hi["x"] - lo["x"])
+    return placed.withColumn("trend", F.when(hi.isNull(), lo["f"]).otherwise(line)).drop("_curve", "_below")
+
+
+def _det3(a11, a12, a13, a21, a22, a23, a31, a32, a33):
+    return (a11 * (a22 * a33 - a23 * a32) - a12 * (a21 * a33 - a23 * a31)
+            + a13 * (a21 * a32 - a22 * a31))
+
+
 def highly_variable_genes_v3(counts: DataFrame, cells: DataFrame, genes: DataFrame | None = None,
-                             n_top_genes: int = 2000) -> DataFrame:
+                             n_top_genes: int = 2000, span: float = 0.3) -> DataFrame:
     """flavor='seurat_v3' on raw counts.
 
-    mean / var (ddof 1) per gene; a trend of log10 var on log10 mean is fitted
-    over the non-constant genes; each count is standardised by the trend's
-    sd and clipped at sqrt(N) sds; the variance of the clipped standardised
-    values ranks the genes.
-
-    NOTE: the reference fits the trend with loess (span 0.3).  Here the trend
-    is a degree-2 least-squares polynomial (normal equations from six sums,
-    solved by Cramer's rule as column expressions), so values and the
-    selected set can differ from the reference's on the same data.
+    mean / var (ddof 1) per gene; a trend of log10 var on log10 mean is fitted over the
+    non-constant genes by local regression (:func:`loess`); each count is
+    standardised by the trend's sd and clipped at sqrt(N) sds; the variance of the
+    clipped standardised values ranks the genes.
 
     Returns gene_id, means, variances, variances_norm, highly_variable,
     highly_variable_rank (0-based among selected, null otherwise).
     """
+    from ..plans.pipeline import materialize
     n = _n_rows(cells)
     mom = gene_moments(counts, n)
     if genes is not None:
         mom = (genes.select("gene_id").join(mom, "gene_id", "left")
                .fillna({"mean": 0.0, "var": 0.0, "n_cells_nz": 0}))
-    x, y = F.log10("mean"), F.log10("var")
-    fit_rows = mom.where(F.col("var") > 0)
-    s = fit_rows.agg(
-        F.count(F.lit(1)).cast("double").alias("s0"), F.sum(x).alias("s1"),
-        F.sum(F.pow(x, 2)).alias("s2"), F.sum(F.pow(x, 3)).alias("s3"),
-        F.sum(F.pow(x, 4)).alias("s4"), F.sum(y).alias("t0"),
-        F.sum(x * y).alias("t1"), F.sum(F.pow(x, 2) * y).alias("t2"))
-    c = s.select(F.struct(*s.columns)).scalar()
-    s0, s1, s2, s3, s4, t0, t1, t2 = (c[k] for k in ("s0", "s1", "s2", "s3", "s4", "t0", "t1", "t2"))
-
-    def det3(a11, a12, a13, a21, a22, a23, a31, a32, a33):
-        return (a11 * (a22 * a33 - a23 * a32) - a12 * (a21 * a33 - a23 * a31)
-                + a13 * (a21 * a32 - a22 * a31))
-    # normal equations [s0 s1 s2; s1 s2 s3; s2 s3 s4] [b0 b1 b2]' = [t0 t1 t2]'
-    d = det3(s0, s1, s2, s1, s2, s3, s2, s3, s4)
-    b0 = det3(t0, s1, s2, t1, s2, s3, t2, s3, s4) / d
-    b1 = det3(s0, t0, s2, s1, t1, s3, s2, t2, s4) / d
-    b2 = det3(s0, s1, t0, s1, s2, t1, s2, s3, t2) / d
-    est = F.when(F.col("var") > 0, b0 + b1 * x + b2 * x * x).otherwise(F.lit(0.0))
+    mom = materialize(mom)
+    trend = loess(mom.where("var > 0").select("gene_id", F.log10("mean").alias("x"), F.log10("var").alias("y")), span)
+    mom = mom.join(trend.select("gene_id", "trend"), "gene_id", "left")
+    est = F.coalesce("trend", F.lit(0.0))
     g = mom.withColumn("reg_std", F.sqrt(F.pow(F.lit(10.0), est)))
     g = g.withColumn("clip_val", F.col("reg_std") * F.sqrt(n.cast("double")) + F.col("mean"))
     clipped = (counts.join(g.select("gene_id", "clip_val"), "gene_id")
@@ -160,11 +179,8 @@ def highly_variable_genes_v3(counts: DataFrame, cells: DataFrame, genes: DataFra
             * (n * F.pow(F.col("mean"), 2) + F.col("_s2") - 2 * F.col("_s1") * F.col("mean")))
     g = g.select("gene_id", F.col("mean").alias("means"), F.col("var").alias("variances"),
                  norm.alias("variances_norm"))
-    top = (g.orderBy(F.col("variances_norm").desc(), F.col("gene_id")).limit(n_top_genes)
-           .withColumn("highly_variable_rank",
-                       (F.row_number().over(Window.orderBy(F.col("variances_norm").desc(), F.col("gene_id")))
-                        - 1).cast("double"))
-           .select("gene_id", "highly_variable_rank"))
+    by = [F.col("variances_norm").desc(), F.col("gene_id")]
+    top = number_rows(g.orderBy(*by).limit(n_top_genes), by, "highly_variable_rank").select("gene_id", F.col("highly_variable_rank").cast("double"))
     return (g.join(top, "gene_id", "left")
             .withColumn("highly_variable", F.col("highly_variable_rank").isNotNull()))
 

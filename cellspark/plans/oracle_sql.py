@@ -298,12 +298,19 @@ sql("hvg_seurat_v3", with_("c2", "kept_cells", "kept_genes",
                   COALESCE((var_nz * (nnz - 1) + nnz * pow(mu_nz - s / n, 2) + (n - nnz) * pow(s / n, 2)) / (n - 1),
                            0.0) AS var
            FROM vm, vn""",
-    vs="""SELECT COUNT(*)::DOUBLE AS s0, SUM(x) AS s1, SUM(x * x) AS s2, SUM(x * x * x) AS s3,
-                 SUM(x * x * x * x) AS s4, SUM(y) AS t0, SUM(x * y) AS t1, SUM(x * x * y) AS t2
-          FROM (SELECT log10(mean) AS x, log10(var) AS y FROM vmv WHERE var > 0)""",
-    vc=f"SELECT {_cramer(0)} AS b0, {_cramer(1)} AS b1, {_cramer(2)} AS b2 FROM vs",
-    vr="""SELECT vmv.*, sqrt(pow(10.0, CASE WHEN var > 0 THEN b0 + b1 * log10(mean) + b2 * log10(mean) * log10(mean)
-                                          ELSE 0.0 END)) AS reg_std FROM vmv, vc""",
+    lx="SELECT gene_id, log10(mean) AS x, log10(var) AS y, ROW_NUMBER() OVER (ORDER BY log10(mean), gene_id) - 1 AS p FROM vmv WHERE var > 0",
+    lq="SELECT COUNT(*) AS n, GREATEST(3, CAST(floor(0.3 * COUNT(*) + 1e-5) AS BIGINT)) AS q FROM lx",
+    lk="SELECT DISTINCT x AS x0 FROM lx WHERE p IN (SELECT CAST(floor(i * (n - 1) / 49.0 + 0.5) AS BIGINT) FROM lq, range(50) t(i))",
+    ld="SELECT x0, x, y, abs(x - x0) AS d, ROW_NUMBER() OVER (PARTITION BY x0 ORDER BY abs(x - x0)) AS r FROM lk, lx",
+    lh="SELECT x0, MAX(d) AS h FROM ld, lq WHERE r <= q GROUP BY 1",
+    lw="SELECT x0, y, pow(1 - pow(d / h, 3), 3) AS w, (x - x0) / h AS u FROM ld JOIN lh USING (x0) WHERE d < h",
+    vs="""SELECT x0, SUM(w) AS s0, SUM(w * u) AS s1, SUM(w * u * u) AS s2, SUM(w * u * u * u) AS s3, SUM(w * u * u * u * u) AS s4,
+                 SUM(w * y) AS t0, SUM(w * u * y) AS t1, SUM(w * u * u * y) AS t2 FROM lw GROUP BY 1""",
+    lf=f"SELECT x0, {_cramer(0)} AS f FROM vs",
+    lp="SELECT x0 AS a, f AS fa, LEAD(x0) OVER (ORDER BY x0) AS b, LEAD(f) OVER (ORDER BY x0) AS fb FROM lf",
+    lt="""SELECT gene_id, CASE WHEN b IS NULL THEN fa ELSE fa + (x - a) * (fb - fa) / (b - a) END AS trend
+          FROM lx JOIN lp ON x >= a AND (b IS NULL OR x < b)""",
+    vr="SELECT vmv.*, sqrt(pow(10.0, COALESCE(trend, 0.0))) AS reg_std FROM vmv LEFT JOIN lt USING (gene_id)",
     vcl="""SELECT x.gene_id, SUM(LEAST(x.value, r.reg_std * sqrt(vn.n) + r.mean)) AS s1,
                   SUM(pow(LEAST(x.value, r.reg_std * sqrt(vn.n) + r.mean), 2)) AS s2
            FROM c2 x JOIN vr r USING (gene_id), vn GROUP BY 1""",
