@@ -495,7 +495,7 @@ sql("rank_genes_within", with_("ln", "ann", "kept_genes", **_R2,
         FROM de WHERE grp = 'leukemia'""")
 sql("subtype_markers", with_("ln", "kept_cells", "kept_genes", "genes", **_DE_CTES,
     sm="""SELECT *, ROW_NUMBER() OVER (PARTITION BY grp ORDER BY score DESC, gene_id) AS rank
-          FROM de WHERE grp LIKE '%ING%' AND padj < 0.999 AND logfc > 0.5""") +
+          FROM de WHERE grp LIKE '%AUTO%' AND padj < 0.999 AND logfc > 0.5""") +
     """SELECT sm.grp AS Cluster, COALESCE(g.gene_symbol, CAST(sm.gene_id AS VARCHAR)) AS Gene,
               round(logfc, 6) AS Log2_FC, round(padj, 6) AS Adj_P_Value, round(score, 6) AS Score, rank
        FROM sm LEFT JOIN genes g USING (gene_id) WHERE rank <= 10""")
@@ -596,3 +596,23 @@ sql("group_connectivity", with_(**_KNN,
     """SELECT group_a, group_b, n_edges, round(expected, 6) AS expected,
               round(CASE WHEN expected = 0 THEN 1.0 ELSE LEAST(1.0, n_edges / expected) END, 6) AS connectivity
        FROM x""")
+
+# the bisection as a fold over 64 steps; a step halves the bracket or, without an upper end, doubles
+_STEP = "list_sum(list_transform(ds, lambda d: CASE WHEN d - rho > 0 THEN exp(-(d - rho) / st.mid) ELSE 1.0 END))"
+_UMAP = dict(
+    cn="SELECT src, dst, dist FROM kn WHERE rank <= 14",
+    cp="""SELECT src, list(dist ORDER BY dist) AS ds, COALESCE(MIN(dist) FILTER (dist > 0), 0.0) AS rho,
+                 log2(COUNT(*) + 1) AS target, SUM(dist) / (COUNT(*) + 1) AS mean_i FROM cn GROUP BY 1""",
+    cf=f"""SELECT *, list_reduce(list_transform(range(65), lambda i: {{'lo': 0.0::DOUBLE, 'hi': 'inf'::DOUBLE, 'mid': 1.0::DOUBLE, 'done': FALSE}}),
+             lambda st, x: CASE WHEN st.done THEN st
+               WHEN abs({_STEP} - target) < 1e-5 THEN {{'lo': st.lo, 'hi': st.hi, 'mid': st.mid, 'done': TRUE}}
+               WHEN {_STEP} > target THEN {{'lo': st.lo, 'hi': st.mid, 'mid': (st.lo + st.mid) / 2, 'done': FALSE}}
+               WHEN st.hi = 'inf'::DOUBLE THEN {{'lo': st.mid, 'hi': st.hi, 'mid': st.mid * 2, 'done': FALSE}}
+               ELSE {{'lo': st.mid, 'hi': st.hi, 'mid': (st.mid + st.hi) / 2, 'done': FALSE}} END).mid AS found FROM cp""",
+    cs="""SELECT src, rho, GREATEST(found, 1e-3 * CASE WHEN rho > 0 THEN mean_i ELSE (SELECT AVG(dist) FROM cn) END) AS sigma FROM cf""",
+    cw="SELECT src, dst, CASE WHEN dist <= rho OR sigma = 0 THEN 1.0 ELSE exp(-(dist - rho) / sigma) END AS w FROM cn JOIN cs USING (src)",
+    cg="""SELECT COALESCE(a.src, b.dst) AS src, COALESCE(a.dst, b.src) AS dst,
+                 COALESCE(a.w, 0) + COALESCE(b.w, 0) - COALESCE(a.w, 0) * COALESCE(b.w, 0) AS weight
+          FROM cw a FULL JOIN cw b ON a.src = b.dst AND a.dst = b.src""",
+)
+sql("connectivities", with_(**_KNN, **_UMAP) + f"SELECT src, dst, {rnd('weight')} FROM cg")

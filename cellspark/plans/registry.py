@@ -599,9 +599,9 @@ def q_rank_genes_within(spark, sf_dir):
 
 @register("subtype_markers")
 def q_subtype_markers(spark, sf_dir):
-    """Groups whose name contains 'ING' (BUILDING), logfc > 0.5, the query's padj cut."""
+    """Groups whose name contains 'AUTO', logfc > 0.5, the query's padj cut."""
     de, (b, *_r) = _de(spark, sf_dir)
-    return rounded(DE.subtype_markers(de, "ING", P["padj"], 0.5, genes=b.genes))
+    return rounded(DE.subtype_markers(de, "AUTO", P["padj"], 0.5, genes=b.genes))
 
 
 @register("volcano")
@@ -681,7 +681,7 @@ def q_group_connectivity(spark, sf_dir):
 
 @register("connectivities")
 def q_connectivities(spark, sf_dir):
-    """UMAP fuzzy-set weights of the kNN graph (rows-only check)."""
+    """UMAP fuzzy-set weights of the kNN graph."""
     emb, edges = _emb_knn(spark, sf_dir, P["n_neighbors"] - 1)
     return rounded(GR.connectivities(edges))
 
