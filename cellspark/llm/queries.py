@@ -37,10 +37,9 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What 400-byte strings that occur elsewhere too make up of each document; kept_text is
-    the text without them and without passages of over 50 words that stand elsewhere,
-    and kept_bytes its length."""
+    the text without them, and kept_bytes its length."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = suffix_repeats.remove_repeats(docs, min_len=400, min_words=51, count_words=False)
+    out = suffix_repeats.remove_repeats(docs, min_len=400)
     text = F.coalesce("text", F.lit(""))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", text.alias("kept_text"), F.octet_length(text).cast("long").alias("kept_bytes"))
 
