@@ -241,6 +241,37 @@ def compare_labels(df: DataFrame, a: str, b: str) -> DataFrame:
                       A["ka"].alias("n_labels_a"), B["kb"].alias("n_labels_b"))
 
 
+def compare_all_labels(df: DataFrame, methods: list[str]) -> DataFrame:
+    """L7 for every pair of label columns: method1, method2, n_cells, ari and nmi as
+    :func:`compare_labels` defines them, over the cells that both methods label.  All
+    pairs come from one scan and one contingency group-by."""
+    pairs = [(a, b) for i, a in enumerate(methods) for b in methods[i + 1:]]
+    if not pairs:
+        raise ValueError("two methods at least")
+    each = F.array(*[F.struct(F.lit(a).alias("method1"), F.lit(b).alias("method2"), F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b"))
+                     for a, b in pairs])
+    key = ["method1", "method2"]
+    t = (df.select(F.explode(each).alias("p")).select("p.*").where("a IS NOT NULL AND b IS NOT NULL")
+         .groupBy(*key, "a", "b").agg(F.count("*").cast("double").alias("n")))
+
+    def side(c):
+        per = t.groupBy(*key, c).agg(F.sum("n").alias("_n"))
+        return per, per.groupBy(*key).agg(F.sum(F.col("_n") * F.col("_n")).alias(f"s{c}"), F.count("*").alias(f"k{c}"), F.sum(-F.col("_n") * F.log("_n")).alias(f"h{c}"))
+
+    (pa, sa), (pb, sb) = side("a"), side("b")
+    joined = t.join(pa.withColumnRenamed("_n", "na"), [*key, "a"]).join(pb.withColumnRenamed("_n", "nb"), [*key, "b"])
+    total = joined.groupBy(*key).agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("ss"),
+                                     F.sum(F.col("n") * F.log(F.col("n") / (F.col("na") * F.col("nb")))).alias("m"))
+    n, ss = F.col("n"), F.col("ss")
+    fp, fn = F.col("sb") - ss, F.col("sa") - ss
+    tp, tn = ss - n, n * n - F.col("sa") - F.col("sb") + ss
+    ari = F.when((fn == 0) & (fp == 0), 1.0).otherwise(F.try_divide(2.0 * (tp * tn - fn * fp), (tp + fn) * (fn + tn) + (tp + fp) * (fp + tn)))
+    mi = F.col("m") / n + F.log(n)
+    nmi = (F.when((F.col("ka") == 1) & (F.col("kb") == 1), 1.0).when(F.abs(mi) < 1e-15, 0.0)
+           .otherwise(F.try_divide(mi, F.log(n) + (F.col("ha") + F.col("hb")) / n / 2.0)))
+    return total.join(sa, key).join(sb, key).select(*key, n.cast("long").alias("n_cells"), ari.alias("ari"), nmi.alias("nmi"))
+
+
 def per_type_accuracy(df: DataFrame, manual: str, auto: str) -> DataFrame:
     """For every label of either column (the union, so an unseen label
     cannot fail), the share of cells with that manual label that the

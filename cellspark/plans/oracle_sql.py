@@ -409,6 +409,26 @@ sql("compare_labels", with_("ann",
               round(CASE WHEN ka = 1 AND kb = 1 THEN 1.0 WHEN abs(mi_v) < 1e-15 THEN 0.0
                          ELSE mi_v / ((h_a + h_b) / 2.0) END, 6) AS nmi,
               nn::BIGINT AS n_cells, ka AS n_labels_a, kb AS n_labels_b FROM pc""")
+_METHODS = ["sample_type", "region", "rule_cell_type", "classifier_cell_type"]
+sql("compare_all_labels", with_("ann",
+    t=" UNION ALL ".join(f"SELECT '{x}' AS method1, '{y}' AS method2, {x} AS a, {y} AS b, COUNT(*)::DOUBLE AS n FROM ann GROUP BY ALL"
+                         for i, x in enumerate(_METHODS) for y in _METHODS[i + 1:]),
+    ra="SELECT method1, method2, a, SUM(n) AS na FROM t GROUP BY ALL",
+    cb="SELECT method1, method2, b, SUM(n) AS nb FROM t GROUP BY ALL",
+    # pairs of cells: together in both, in the first, in the second, all
+    pr="""SELECT method1, method2, (SELECT SUM(n * (n - 1) / 2) FROM t WHERE t.method1 = m.method1 AND t.method2 = m.method2) AS joint,
+                 (SELECT SUM(na * (na - 1) / 2) FROM ra WHERE ra.method1 = m.method1 AND ra.method2 = m.method2) AS pa,
+                 (SELECT SUM(nb * (nb - 1) / 2) FROM cb WHERE cb.method1 = m.method1 AND cb.method2 = m.method2) AS pb,
+                 (SELECT SUM(n) FROM t WHERE t.method1 = m.method1 AND t.method2 = m.method2) AS nn
+          FROM (SELECT DISTINCT method1, method2 FROM t) m""",
+    ent="""SELECT method1, method2, SUM(n / nn * ln(n * nn / (na * nb))) AS mi FROM t JOIN ra USING (method1, method2, a)
+           JOIN cb USING (method1, method2, b) JOIN pr USING (method1, method2) GROUP BY ALL""",
+    ha="SELECT method1, method2, -SUM(na / nn * ln(na / nn)) AS ha FROM ra JOIN pr USING (method1, method2) GROUP BY ALL",
+    hb="SELECT method1, method2, -SUM(nb / nn * ln(nb / nn)) AS hb FROM cb JOIN pr USING (method1, method2) GROUP BY ALL") +
+    """SELECT method1, method2, nn::BIGINT AS n_cells,
+              round((joint - pa * pb / (nn * (nn - 1) / 2)) / ((pa + pb) / 2 - pa * pb / (nn * (nn - 1) / 2)), 6) AS ari,
+              round(mi / ((ha + hb) / 2), 6) AS nmi
+       FROM pr JOIN ent USING (method1, method2) JOIN ha USING (method1, method2) JOIN hb USING (method1, method2)""")
 sql("per_type_accuracy", with_("ann",
     labs="SELECT sample_type AS label FROM ann UNION SELECT classifier_cell_type FROM ann",
     per="""SELECT sample_type AS label, COUNT(*) AS n_manual,

@@ -522,6 +522,13 @@ def q_compare_labels(spark, sf_dir):
     return rounded(LB.compare_labels(ann, "sample_type", "classifier_cell_type"))
 
 
+@register("compare_all_labels")
+def q_compare_all_labels(spark, sf_dir):
+    """ARI and NMI of every pair of segment, region, rule and classifier labels."""
+    ann, _ = _ann(spark, sf_dir)
+    return rounded(LB.compare_all_labels(ann, ["sample_type", "region", "rule_cell_type", "classifier_cell_type"]))
+
+
 @register("per_type_accuracy")
 def q_per_type_accuracy(spark, sf_dir):
     """Per label agreement of the classifier with the segments."""
