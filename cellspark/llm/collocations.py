@@ -10,9 +10,10 @@
 3. *Tiles.*  Neighbouring ids are pairs; the plane of pairs is cut into tiles of
    TILE x TILE ids.  As ids are frequency ranks, most pairs fall into few tiles near
    the origin, which are counted by ``bincount`` into a dense table; the pairs of all
-   other tiles are sorted and run-length counted.  Stripes of tiles are the shuffle's rows,
-   so counts travel as a few bytes per cell; a stripe's counts are summed in a dense
-   table again, and what one task sends of a stripe is bounded, however hot it is.
+   other tiles are sorted and run-length counted.  Stripes of some tiles are the shuffle's
+   rows, so counts travel as a few bytes per cell; a stripe's counts are summed in a dense
+   table where it is full, and by sorting where it is not.  What one task sends of a
+   stripe is bounded by its cells, however hot it is.
 4. *Recursion.*  Frequent pairs are ranked by frequency again, and the blocks are
    rewritten with these ids: place i holds the id of the phrase that starts there.
    Two neighbouring phrases of n words overlap in n - 1, so the pair of their ids is
@@ -45,8 +46,8 @@ from ._shared import materialize, tidy
 
 #: Word occurrences of a block, ids of a tile's side, and bytes tokenised at a time.
 BLOCK, TILE, _CHUNK = 1 << 18, 512, 1 << 20
-#: Cells of a stripe: some rows of a tile, which are shuffled together.
-STRIPE = 1 << 14
+#: Cells of a stripe: neighbouring tiles, which are shuffled and summed together.
+STRIPE = 1 << 20
 #: Entries, and bytes of words, up to which a table of ids is sent to the tasks.
 HEAD, HEAD_BYTES = 1 << 17, 16 << 20
 BREAK = -1
@@ -174,24 +175,33 @@ def tile_counts(a: np.ndarray, b: np.ndarray, side: int) -> list[tuple[np.ndarra
 
 
 def _stripes(cell: np.ndarray, count: np.ndarray) -> list[tuple[int, bytes, bytes]]:
-    """(stripe, places of its cells, their counts) of ascending cells: the rows that are
-    shuffled.  Without counts, each place is written as often as it occurs."""
+    """(stripe, steps between its cells, their counts) of ascending cells: the rows that are
+    shuffled.  Steps are as narrow as the widest of them (its bytes come first).
+    Without counts, each cell is written as often as it occurs, with steps of 0."""
     stripe = cell // STRIPE
     edges = np.flatnonzero(np.concatenate([[True], stripe[1:] != stripe[:-1], [True]]))
-    place, count = (cell % STRIPE).astype(np.uint16), count.astype(np.uint32)
     out = []
     for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        if int(count[lo:hi].sum()) <= 2 * (hi - lo):
-            out.append((int(stripe[lo]), np.repeat(place[lo:hi], count[lo:hi]).tobytes(), b""))
-        else:
-            out.append((int(stripe[lo]), place[lo:hi].tobytes(), count[lo:hi].tobytes()))
+        place, times = cell[lo:hi] % STRIPE, count[lo:hi]
+        alone = int(times.sum()) <= 2 * (hi - lo)
+        if alone:
+            place = np.repeat(place, times)
+        step = np.diff(place, prepend=0)
+        width = 1 if (top := int(step.max())) < 1 << 8 else 2 if top < 1 << 16 else 4
+        out.append((int(stripe[lo]), bytes([width]) + step.astype(f"u{width}").tobytes(), b"" if alone else times.astype(np.uint32).tobytes()))
     return out
 
 
+def _cells(stripe: int, steps: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The cells and counts of a row of ``_stripes``."""
+    cell = np.cumsum(np.frombuffer(steps, f"u{steps[0]}", offset=1), dtype=np.int64) + stripe * STRIPE
+    return cell, np.frombuffer(counts, np.uint32).astype(np.int64) if counts else np.ones(len(cell), np.int64)
+
+
 def _summed(cells: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Different cells, ascending, and the sums of their counts."""
     cell, count = np.concatenate(cells), np.concatenate(counts)
-    if len(cell) and cell.max() - cell.min() < STRIPE * 4:  # few stripes: a dense table
+    if len(cell) and cell.max() - cell.min() < 4 * len(cell):  # a dense table
         base = cell.min()
         table = np.bincount(cell - base, weights=count).astype(np.int64)  # exact below 2 ** 53
         found = np.flatnonzero(table)
@@ -204,7 +214,7 @@ def _summed(cells: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 
 def _count_pairs(blocks: DataFrame, n_ids: int, min_count: int) -> DataFrame:
     """(a, b, f): pairs of neighbouring ids below ``n_ids`` with at least ``min_count``
-    occurrences.  A task sends, for every stripe of a tile, one row with all it has counted."""
+    occurrences.  A task sends, for every stripe, one row with all it has counted."""
     held_pairs, side = 2 * BLOCK, n_ids // TILE + 1
 
     def count(batches):
@@ -213,7 +223,7 @@ def _count_pairs(blocks: DataFrame, n_ids: int, min_count: int) -> DataFrame:
         def flush():
             rows = [r for part in tile_counts(*np.concatenate(held, axis=1), side) for r in _stripes(*part)]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
-                                               pa.array([r[2] for r in rows], pa.binary())], names=["stripe", "places", "counts"])
+                                               pa.array([r[2] for r in rows], pa.binary())], names=["stripe", "steps", "counts"])
 
         for batch in batches:
             for owned, codes in zip(batch.column("owned").to_pylist(), batch.column("codes"), strict=True):
@@ -230,7 +240,7 @@ def _count_pairs(blocks: DataFrame, n_ids: int, min_count: int) -> DataFrame:
 
     def total(batches):
         """Stripes come in order: all but the last are complete."""
-        cells, counts, n = [], [], 0
+        cells, counts, n, limit = [], [], 0, held_pairs
 
         def result(cell, count):
             keep = count >= min_count
@@ -240,21 +250,22 @@ def _count_pairs(blocks: DataFrame, n_ids: int, min_count: int) -> DataFrame:
                                                pa.array(count.astype(np.int64))], names=["a", "b", "f"])
 
         for batch in batches:
-            for stripe, places, number in zip(*(batch.column(c).to_pylist() for c in ("stripe", "places", "counts")), strict=True):
-                place = np.frombuffer(places, np.uint16).astype(np.int64)
-                cells.append(place + stripe * STRIPE)
-                counts.append(np.frombuffer(number, np.uint32).astype(np.int64) if number else np.ones(len(place), np.int64))
-                n += len(place)
-                if n >= held_pairs:
+            for stripe, steps, number in zip(*(batch.column(c).to_pylist() for c in ("stripe", "steps", "counts")), strict=True):
+                cell, count = _cells(stripe, steps, number)
+                cells.append(cell)
+                counts.append(count)
+                n += len(cell)
+                if n >= limit:
                     cell, count = _summed(cells, counts)
                     last = cell >= stripe * STRIPE
                     yield result(cell[~last], count[~last])
                     cells, counts, n = [cell[last]], [count[last]], int(last.sum())  # a stripe's cells at most
+                    limit = n + held_pairs
         if cells:
             yield result(*_summed(cells, counts))
 
     n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stripes = blocks.mapInArrow(count, "stripe long, places binary, counts binary").repartition(n, "stripe").sortWithinPartitions("stripe")
+    stripes = blocks.mapInArrow(count, "stripe long, steps binary, counts binary").repartition(n, "stripe").sortWithinPartitions("stripe")
     return materialize(stripes.mapInArrow(total, "a long, b long, f long"))
 
 
