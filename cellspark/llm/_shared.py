@@ -10,7 +10,7 @@ from ..plans.pipeline import materialize, scratch, tidy
 __all__ = ["materialize", "scratch", "tidy", "table", "bound_batches", "held_out", "small_side", "sampled"]
 
 #: Bytes of an Arrow batch that is sent to a Python worker.
-ARROW_BYTES = 8 << 20
+ARROW_BYTES = 4 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:

@@ -39,7 +39,7 @@ from .ngram_join import FRAGMENTS, _hub_pairs, _overlaps, _rest, _segments
 #: Coordinates of a sketch, and coordinates of a band.
 T, ROWS = 120, 3
 #: Shingles sketched at a time.
-_FLAT = 1 << 20
+_FLAT = 1 << 18
 _STEP = 0x9E3779B97F4A7C15
 
 

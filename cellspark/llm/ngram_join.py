@@ -139,7 +139,7 @@ def _segment_rows(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     def run(batches):
         classes = SizeClasses(num, den)
         seen: set[int] = set()
-        for batch in batches:
+        for batch in (b.slice(r, 256) for b in batches for r in range(0, b.num_rows, 256)):
             out, nodes, sizes = [], [], []
             for text in batch.column("text"):
                 s = shingles(text.as_py(), k)
