@@ -47,7 +47,7 @@ from ._shared import materialize, tidy
 #: Word occurrences of a block, ids of a tile's side, and bytes tokenised at a time.
 BLOCK, TILE, _CHUNK = 1 << 18, 512, 1 << 20
 #: Cells of a stripe: neighbouring tiles, which are shuffled and summed together.
-STRIPE = 1 << 20
+STRIPE = 1 << 22
 #: Entries, and bytes of words, up to which a table of ids is sent to the tasks.
 HEAD, HEAD_BYTES = 1 << 17, 16 << 20
 BREAK = -1
