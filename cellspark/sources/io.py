@@ -28,7 +28,7 @@ def list_files(spark: SparkSession, data_dir: str, pattern: str = "*") -> list[s
 
 #: The files of a sample, and a path's sample; a file may be a folder of part files.
 _MTX = ("matrix.mtx", "barcodes.tsv", "genes.tsv", "features.tsv")
-_SAMPLE = r"([^/]+)/[^/]+\.(?:tsv|mtx)(?:\.gz)?(?:/[^/]+)?$"
+_SAMPLE = r"(?<![^/])([^/]++)/[^/]+\.(?:tsv|mtx)(?:\.gz)?(?:/[^/]+)?$"
 
 
 def _units(paths: list[str], is_unit) -> list[str]:
@@ -117,6 +117,12 @@ def _folders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at) if f.isDirectory()]
 
 
+def _with_samples(genes: DataFrame, samples: DataFrame) -> DataFrame:
+    """Every gene for every sample.  The samples, one row each, are sent to the genes, so
+    neither the genes nor the pairs pass through the driver."""
+    return genes.crossJoin(F.broadcast(samples))
+
+
 def write_mtx_samples(path: str, counts: DataFrame, cells: DataFrame, genes: DataFrame) -> None:
     """The layout that S1 reads: per sample matrix.mtx, barcodes.tsv and features.tsv,
     each a folder of part files in order, so no sample is one task.  ``cells`` has cell_id and
@@ -133,7 +139,7 @@ def write_mtx_samples(path: str, counts: DataFrame, cells: DataFrame, genes: Dat
     matrix = head.select("sample", "x.o", zero.alias("col"), zero.alias("row"), "x.value").unionByName(
         entries.select("sample", F.lit(2).alias("o"), "col", "row", F.concat_ws(" ", "row", "col", F.col("value").cast("string")).alias("value")))
     barcodes = bc.select("sample", F.lit(0).alias("o"), "col", zero.alias("row"), F.col("cell_id").cast("string").alias("value"))
-    features = (size.select("sample", F.explode(F.sequence(F.lit(1).cast("long"), ft.agg(F.max("row")).scalar())).alias("row")).join(ft, "row")
+    features = (_with_samples(ft, size.select("sample"))
                 .select("sample", F.lit(0).alias("o"), zero.alias("col"), "row", F.concat_ws("\t", "gene_id", "gene_symbol", "feature_type").alias("value")))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for kind, lines in (("matrix.mtx", matrix), ("barcodes.tsv", barcodes), ("features.tsv", features)):
