@@ -131,7 +131,7 @@ def q_write_de(spark, sf_dir):
     de, _ = _de(spark, sf_dir)
     folder = _folder(spark)
     IO.write_de(de, folder, P["padj"], 0.5, 50)
-    parts = [spark.read.csv(f"{folder}/{p}", header=True).groupBy("group").agg(F.count("*").alias("n"), F.round(F.max(F.col("score").cast("double")), 6).alias("top_score"))
+    parts = [IO.read_de(spark, folder, p, de.columns).groupBy("group").agg(F.count("*").alias("n"), F.round(F.max(F.col("score").cast("double")), 6).alias("top_score"))
              .withColumn("file", F.lit(p)) for p in ("all", "significant", "top50", "combined")]
     out = parts[0]
     for p in parts[1:]:

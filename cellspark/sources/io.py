@@ -246,6 +246,13 @@ def write_de(de: DataFrame, path: str, padj: float = 0.05, logfc: float = 0.5, t
     de.write.mode("overwrite").csv(f"{path}/combined", header=True)
 
 
+def read_de(spark: SparkSession, path: str, part: str, columns: list[str]) -> DataFrame:
+    """One file of :func:`write_de` as strings; ``columns`` are those of the written
+    table, so a file to which no row came is an empty table."""
+    names = [*columns, "rank"] if part.startswith("top") else list(columns)
+    return spark.read.schema(", ".join(f"`{c}` string" for c in names)).csv(f"{path}/{part}", header=True)
+
+
 def write_json_results(df: DataFrame, path: str) -> None:
     """Enrichment / drug tables as JSON lines (arrays kept as arrays)."""
     df.write.mode("overwrite").json(path)
