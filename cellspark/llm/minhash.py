@@ -34,10 +34,16 @@ from pyspark.sql import functions as F
 from ._components import components
 from ._shared import materialize, scratch, tidy
 from ._text import mix, set_id, shingles
-from .ngram_join import FRAGMENTS, _hub_pairs, _overlaps, _rest, _segments
+from .ngram_join import _hub_pairs, _overlaps, _rest, _segments
 
 #: Coordinates of a sketch, and coordinates of a band.
 T, ROWS = 120, 3
+#: The part of the hash order that decides early in blocks.  Sets of similarity s differ there by
+#: about (1 - s) / (1 + s) * FIRST of their shingles, where a link at 0.8 allows 1 / 9 in all: a
+#: half excludes most pairs below 0.64, 2 / 9 would only those below a third.
+FIRST = 1 / 2
+#: Fragments in which the sets of a pair are compared.
+FRAGMENTS = 2
 #: Shingles sketched at a time.
 _FLAT = 1 << 18
 _STEP = 0x9E3779B97F4A7C15
@@ -71,11 +77,11 @@ def bands(sketch: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return key
 
 
-def _profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _profiles(docs: DataFrame, k: int) -> DataFrame:
     """(id, text_key, n, sid, sketch, bands) per text.  ``sketch`` is the set's part in
-    a first fragment of the hash order, on which step 3 drops pairs of a hub's partners
+    a first fragment of the hash order, on which step 3 drops most pairs of a hub's partners
     early; ``bands`` is null for a set that its task has met before."""
-    width = np.uint64(min((1 << 64) - 1, (1 << 64) * 2 * (den - num) // (den + num)))
+    width = np.uint64(round(FIRST * (1 << 32)) << 32)
 
     def run(batches):
         seen: set[int] = set()
@@ -122,7 +128,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     probability 5e-8); links below the asked similarity are never returned."""
     text = F.col(text_col).cast("string")
     docs = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
-    profiles = materialize(_profiles(docs, k, num, den))
+    profiles = materialize(_profiles(docs, k))
     repeated = not profiles.groupBy("id", "text_key").count().where("count > 1").isEmpty()
 
     def segments_of(nodes: DataFrame, fragments: int) -> DataFrame:
@@ -131,12 +137,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = profiles.where("bands IS NOT NULL").select(F.explode("bands").alias("segment"), F.col("sid").alias("node"), "n")
     with scratch(docs.sparkSession) as s:
         pairs = s.keep(_hub_pairs(rows))
+    paired = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
+    parts = materialize(profiles.where("bands IS NOT NULL").join(paired, "sid", "left_semi").groupBy("sid").agg(F.first("sketch").alias("sketch")))
     alive = pairs.where(f"least(na, nb) * {den}L >= greatest(na, nb) * {num}L")
     whole = segments_of(alive.select(F.col("a").alias("sid")).union(alive.select(F.col("b").alias("sid"))), FRAGMENTS)
     links = materialize(alive.join(_overlaps(alive, whole), ["a", "b"])
                         .where(f"overlap * {num + den} >= (na + nb) * {num}L").select("a", "b"))
     comps = components(links)
-    parts = profiles.where("bands IS NOT NULL").groupBy("sid").agg(F.first("sketch").alias("sketch"))
     more = materialize(_rest(pairs, comps, parts, segments_of, num, den))
     if not more.isEmpty():
         comps = components(links.union(more))
