@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cellspark.llm import minhash, ngram_join
 from cellspark.llm._text import mix
@@ -42,6 +43,32 @@ def test_large_family_of_near_copies(spark, monkeypatch):
     assert set(_got(df)) == set(_expected(rows, 4, 8, 10))
 
 
+def test_blocks_and_pairs_bring_few_rows(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = []  # texts that share bands with one hub, most of them too unlike to link
+    for i in range(60):
+        w = [f"b{j}" for j in range(120)]
+        at = rng.randrange(120)
+        for j in range(rng.randint(8, 14)):
+            w[(at + 3 * j) % 120] = f"x{rng.randrange(500)}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    real = minhash._segments
+
+    def segments(*args):
+        found = real(*args)
+        seen.append((args[-1], found.groupBy("sid").count().agg(F.max("count")).first()[0]))
+        return found
+
+    monkeypatch.setattr(minhash, "_segments", segments)
+    assert set(_got(df)) == set(_expected(rows, 4, 8, 10))
+    assert seen and max(most or 0 for _, most in seen) <= 2  # rows of a set, for each of its pairs
+    profile = minhash._profiles(df.select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("text_key")), 4)
+    part = [len(r.sketch) / r.n for r in profile.collect()]
+    assert 0.4 < sum(part) / len(part) < 0.6
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i % 5003}x{i % 7}" for i in range(250_000))  # over a MiB, cut while hashing
     text = " ".join(f"t{i}" for i in range(50))
