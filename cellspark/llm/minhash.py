@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._shared import materialize, scratch, tidy
+from ._shared import materialize, scratch, small_side, tidy
 from ._text import mix, set_id, shingles
 from .ngram_join import _hub_pairs, _overlaps, _rest, _segments
 
@@ -137,8 +137,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = profiles.where("bands IS NOT NULL").select(F.explode("bands").alias("segment"), F.col("sid").alias("node"), "n")
     with scratch(docs.sparkSession) as s:
         pairs = s.keep(_hub_pairs(rows))
-    paired = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    parts = materialize(profiles.where("bands IS NOT NULL").join(paired, "sid", "left_semi").groupBy("sid").agg(F.first("sketch").alias("sketch")))
+    paired = materialize(pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct())
+    parts = materialize(profiles.where("bands IS NOT NULL").join(small_side(paired), "sid", "left_semi").groupBy("sid").agg(F.first("sketch").alias("sketch")))
     alive = pairs.where(f"least(na, nb) * {den}L >= greatest(na, nb) * {num}L")
     whole = segments_of(alive.select(F.col("a").alias("sid")).union(alive.select(F.col("b").alias("sid"))), FRAGMENTS)
     links = materialize(alive.join(_overlaps(alive, whole), ["a", "b"])

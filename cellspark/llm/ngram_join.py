@@ -53,7 +53,7 @@ CLASS_RATIO = 1.25
 #: Fragments in which overlaps are counted.
 FRAGMENTS = 6
 #: Partners of a hub per task group, and rows and shingles of a block in step 4.
-PARTNERS, BLOCK_ROWS, BLOCK_SHINGLES = 512, 512, 1 << 18
+PARTNERS, BLOCK_ROWS, BLOCK_SHINGLES = 512, 1024, 1 << 19
 
 
 def _profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -239,11 +239,13 @@ def _segments(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, k: int, re
 
 def _overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """(a, b, overlap) of pairs that overlap: partial overlaps by fragment, summed."""
-    groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("groups"))
-    hubs = (groups.join(segments, F.col("a") == F.col("sid"))
+    groups = materialize(pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("groups")))
+    dealt = materialize(pairs.select("a", "b").join(small_side(groups), "a"))
+    # the segments are the large side, and move only once, to their group
+    hubs = (segments.join(small_side(groups), F.col("a") == F.col("sid"))
             .select("a", F.explode(F.sequence(F.lit(0), F.col("groups").cast("int") - 1)).alias("part"), "frag",
                     F.lit(None).cast("long").alias("b"), "seg"))
-    partners = (pairs.select("a", "b").join(groups, "a").join(segments, F.col("b") == F.col("sid"))
+    partners = (segments.join(small_side(dealt), F.col("b") == F.col("sid"))
                 .select("a", F.pmod(F.xxhash64("b"), "groups").cast("int").alias("part"), "frag", "b", "seg"))
 
     def run(batches):
@@ -299,30 +301,35 @@ def _blocks(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return one.union(two).join(member, ["a", "part"]).select("a", "block", "side", "b", F.col("nb").alias("n"), "comp")
 
 
-def _read_block(block: pa.Table, num: int, den: int):
-    """Nodes, sizes, components and sides of a block, the matrix of overlaps in the
-    given segments and that of differences in them, and the mask of pairs to decide:
-    of different components, compatible in size, and each pair once."""
+def _read_block(block: pa.Table, num: int, den: int, whole: bool):
+    """Nodes, components and sides of a block, the place in it of each node's row, and the mask
+    of pairs that link (``whole``: the segments are whole sets) or that the given segments do
+    not exclude: of different components, compatible in size, and each pair once."""
     column = {c: block.column(c).to_numpy(zero_copy_only=False) for c in ("b", "n", "comp", "side")}
     b, first, row_of = np.unique(column["b"], return_index=True, return_inverse=True)
     n, comp, side = (column[c][first] for c in ("n", "comp", "side"))
+    n = n.astype(np.int64)
     each = [x.values.to_numpy(zero_copy_only=False) if x.is_valid else np.zeros(0, np.int64) for x in block.column("seg")]
     row = np.repeat(row_of, [len(x) for x in each])
     column_of = np.unique(np.concatenate(each), return_inverse=True)[1]
     order = np.argsort(column_of, kind="stable")
     row, column_of = row[order], column_of[order]
-    overlap = np.zeros((len(b), len(b)), np.float32)
-    for lo in range(0, int(column_of[-1]) + 1 if len(column_of) else 0, 8192):
-        i, j = np.searchsorted(column_of, [lo, lo + 8192])
-        m = np.zeros((len(b), 8192), np.float32)
+    overlap = np.zeros((len(b), len(b)), np.int32)
+    for lo in range(0, int(column_of[-1]) + 1 if len(column_of) else 0, 4096):
+        i, j = np.searchsorted(column_of, [lo, lo + 4096])
+        m = np.zeros((len(b), 4096), np.float32)
         m[row[i:j], column_of[i:j] - lo] = 1
-        overlap += m @ m.T
-    overlap = overlap.astype(np.int64)
-    size = np.diag(overlap)
-    both = n[:, None].astype(np.int64) + n[None, :]
-    ask = ((comp[:, None] != comp[None, :]) & (np.minimum(n[:, None], n[None, :]) * den >= np.maximum(n[:, None], n[None, :]) * num))
-    ask &= (side[:, None] < side[None, :]) if side.any() else np.triu(np.ones_like(ask), 1)
-    return b, comp, side, overlap, size[:, None] + size[None, :] - 2 * overlap, both, ask
+        overlap += (m @ m.T).astype(np.int32)
+    size = np.diag(overlap).astype(np.int64)
+    ask = np.zeros(overlap.shape, bool)
+    two, place = side.any(), np.arange(len(b))
+    for lo in range(0, len(b), 256):  # some rows at a time: the block's matrices in 64 bits are large
+        at = slice(lo, lo + 256)
+        o, both = overlap[at].astype(np.int64), n[at, None] + n[None, :]
+        ask[at] = (num + den) * o >= num * both if whole else (size[at, None] + size[None, :] - 2 * o) * (den + num) <= both * (den - num)
+        ask[at] &= (comp[at, None] != comp[None, :]) & (np.minimum(n[at, None], n[None, :]) * den >= np.maximum(n[at, None], n[None, :]) * num)
+        ask[at] &= side[at, None] < side[None, :] if two else place[at, None] < place[None, :]
+    return b, comp, first, ask
 
 
 def _rest(pairs: DataFrame, comps: DataFrame, sketches: DataFrame, segments_of, num: int, den: int) -> DataFrame:
@@ -331,15 +338,11 @@ def _rest(pairs: DataFrame, comps: DataFrame, sketches: DataFrame, segments_of,
     bring their segments."""
 
     def possible(block: pa.Table) -> pa.Table:
-        b, _, _, _, differ, both, ask = _read_block(block, num, den)
-        ask &= differ * (den + num) <= both * (den - num)
-        keep = pa.array(b[ask.any(axis=0) | ask.any(axis=1)], pa.int64())
-        return pa.table({"a": pa.array([block.column("a")[0].as_py()] * len(keep), pa.int64()),
-                         "block": pa.array([block.column("block")[0].as_py()] * len(keep), pa.int64()), "b": keep})
+        _, _, first, ask = _read_block(block, num, den, False)
+        return block.select(names[:-1]).take(pa.array(first[ask.any(axis=0) | ask.any(axis=1)]))
 
     def decided(block: pa.Table) -> pa.Table:
-        b, comp, _, overlap, _, both, ask = _read_block(block, num, den)
-        ask &= (num + den) * overlap >= num * both
+        b, comp, _, ask = _read_block(block, num, den, True)
         top: dict[int, int] = {}
 
         def root(c):
@@ -357,10 +360,10 @@ def _rest(pairs: DataFrame, comps: DataFrame, sketches: DataFrame, segments_of,
 
     placed = materialize(_blocks(pairs, comps))
     names = ["a", "block", "side", "b", "n", "comp", "seg"]
-    light = placed.join(sketches.withColumnRenamed("sketch", "seg"), F.col("b") == F.col("sid")).select(names)
-    kept = materialize(light.groupBy("a", "block").applyInArrow(possible, "a long, block long, b long"))
+    light = sketches.withColumnRenamed("sketch", "seg").join(small_side(placed, F.lit(48)), F.col("b") == F.col("sid")).select(names)
+    kept = materialize(light.groupBy("a", "block").applyInArrow(possible, "a long, block long, side int, b long, n int, comp long"))
     segments = segments_of(kept.select(F.col("b").alias("sid")), 1)  # a block compares whole sets
-    full = placed.join(kept, ["a", "block", "b"]).join(segments, F.col("b") == F.col("sid")).select(names)
+    full = segments.join(small_side(kept, F.lit(48)), F.col("b") == F.col("sid")).select(names)
     return full.groupBy("a", "block").applyInArrow(decided, "a long, b long")
 
 

@@ -102,3 +102,41 @@ def test_sketches_do_not_depend_on_the_batch():
     sets = [rng.integers(0, 1 << 60, n, dtype=np.uint64) for n in (3, 300, 30)]
     together = minhash.sketches(sets)
     assert all((minhash.sketches([s])[0] == r).all() for s, r in zip(sets, together, strict=True))
+
+
+def test_a_large_family_is_placed_once_and_segments_move_once(spark):
+    rows = [(1, 50, b, 50) for b in range(2, 1002)]  # partners of one hub, none of them linked with it
+    pairs = spark.createDataFrame(rows, "a long, na int, b long, nb int")
+    comps = spark.createDataFrame([(b, 2 + b // 4) for b in range(2, 1002)], "node long, comp long")
+    placed = ngram_join._blocks(pairs, comps)
+    assert placed.count() == 1000 and placed.select("b").distinct().count() == 1000
+    segments = spark.createDataFrame([(i, f, [i, i + 1, 7 + f]) for i in range(1, 1002) for f in range(2)], "sid long, frag int, seg array<long>")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = ngram_join._overlaps(pairs, segments)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan  # the segments themselves are not shuffled for the pairs
+        assert found.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_block_decides_as_sets_do(whole):
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 60, 40)
+    sets = [np.unique(np.where(rng.random(40) < rng.random() * 0.4, rng.integers(0, 1 << 60, 40), base)) for _ in range(600)]
+    half = [s if whole else s[s < 1 << 59] for s in sets]
+    table = pa.table({"b": pa.array(range(600), pa.int64()), "n": pa.array([len(s) for s in sets], pa.int32()),
+                      "comp": pa.array([i // 2 for i in range(600)], pa.int64()), "side": pa.array([i % 2 for i in range(600)], pa.int32()),
+                      "seg": pa.array([s.tolist() for s in half], pa.list_(pa.int64()))})
+    b, comp, first, ask = ngram_join._read_block(table, 8, 10, whole)
+    assert b.tolist() == list(range(600)) and first.tolist() == b.tolist() and (comp == b // 2).all()
+    for i in rng.integers(0, 600, 60):
+        for j in range(600):
+            n, o = len(sets[i]) + len(sets[j]), len(np.intersect1d(half[i], half[j]))
+            size = min(len(sets[i]), len(sets[j])) * 10 >= max(len(sets[i]), len(sets[j])) * 8
+            close = 18 * o >= 8 * n if whole else (len(half[i]) + len(half[j]) - 2 * o) * 18 <= n * 2
+            assert ask[i, j] == (i // 2 != j // 2 and i % 2 < j % 2 and size and close)
