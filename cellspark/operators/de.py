@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import bh_adjust, norm_sf_two_sided
-from ..plans.pipeline import materialize
+from ..plans.pipeline import by_count, materialize
 from .numbering import number_rows
 from .qc import _n_rows
 
@@ -48,7 +48,7 @@ def rank_sums(layer: DataFrame, labels: DataFrame, group_col: str = "group",
     """
     strata = strata or []
     lab = labels.select("cell_id", *strata, F.col(group_col).alias("group"))
-    x = layer.join(lab, "cell_id").where(F.col("value") != 0)
+    x = layer.join(by_count(lab), "cell_id").where(F.col("value") != 0)
     key = [*strata, "gene_id"]
     agg = materialize(x.groupBy(*key, "value", "group").agg(F.count(F.lit(1)).alias("n"))
                       .withColumn("_b", _bucket("value", bucket_width)))  # offsets and ranks read it
@@ -159,7 +159,7 @@ def rank_against(layer: DataFrame, sides: DataFrame, genes: DataFrame | None = N
     difference is taken row by row of one table (gene, value, group).
     Returns group and the DE columns."""
     sides = sides.where("is_test OR is_ref")
-    x = layer.join(sides, "cell_id").where(F.col("value") != 0)
+    x = layer.join(by_count(sides), "cell_id").where(F.col("value") != 0)
     entries = materialize(x.groupBy("gene_id", "value", "group").agg(F.count_if("is_test").alias("t"), F.count_if("is_ref").alias("h"))
                           .withColumn("_b", _bucket("value", bucket_width)))
 

@@ -122,7 +122,7 @@ def filter_genes(counts: DataFrame, genes: DataFrame, min_cells: int = 3) -> Dat
     per_gene = (counts.where(F.col("value") > 0).groupBy("gene_id")
                 .agg(F.count(F.lit(1)).alias("n_cells")))
     kept = per_gene.where(F.col("n_cells") >= min_cells)
-    return genes.join(kept, "gene_id", "inner")
+    return genes.hint("merge").join(kept, "gene_id", "inner")  # ``kept`` is dealt by gene already
 
 
 def validate(counts: DataFrame, cells: DataFrame, genes: DataFrame) -> dict:
