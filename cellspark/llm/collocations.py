@@ -23,8 +23,10 @@
    two parts, so every cut is scored without searching for the parts; the arithmetic is in
    decimals of 38 digits.
 
-Ids are looked up in tables: those of at most HEAD entries are sent to the tasks, larger
-ones are joined with the blocks' distinct words or pairs, with the same result.
+Ids are looked up in tables: those of at most HEAD words or PAIRS * HEAD pairs are sent to the tasks,
+larger ones are joined with the blocks' distinct words or pairs, with the same result: what is
+found follows its block in sorted order, and a task holds one block's ids at a time.
+Codes are written as bytes, and in row groups of a few blocks, so that readers hold few of them.
 
 Defined results: a null text is empty; a null language is ``und``; repeated rows count
 as often as they occur; a phrase is text, so one that occurs in two languages is a row in
@@ -48,8 +50,10 @@ from ._shared import materialize, tidy
 BLOCK, TILE, _CHUNK = 1 << 18, 512, 1 << 20
 #: Cells of a stripe: neighbouring tiles, which are shuffled and summed together.
 STRIPE = 1 << 22
-#: Entries, and bytes of words, up to which a table of ids is sent to the tasks.
-HEAD, HEAD_BYTES = 1 << 17, 16 << 20
+#: Words, their bytes, and pairs (16 bytes each) per word up to which a table of ids is sent to the tasks.
+HEAD, HEAD_BYTES, PAIRS = 1 << 17, 16 << 20, 8
+#: Bytes of a row group of blocks.
+GROUP_BYTES = 8 << 20
 BREAK = -1
 
 _TABLE = bytes(0x0A if c in b".,;:!?\x0a\x0b\x0c\x0d" else 0x20 if c == 0x09 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -68,6 +72,17 @@ def words(text: str) -> Iterator[list[bytes]]:
         at = end
 
 
+def _bytes(codes: np.ndarray) -> bytes:
+    """Codes as bytes; the first one tells the width of the others."""
+    width = 4 if not len(codes) or codes.max() < 1 << 31 else 8
+    return bytes([width]) + codes.astype(f"i{width}").tobytes()
+
+
+def _codes(data: pa.Scalar) -> np.ndarray:
+    raw = data.as_buffer()
+    return np.frombuffer(raw, f"i{raw[0]}", offset=1).astype(np.int64)
+
+
 class _Builder:
     """Word occurrences of one language on their way into blocks."""
 
@@ -101,7 +116,7 @@ def _blocks(docs: DataFrame, overlap: int) -> DataFrame:
     def rows(blocks):
         return pa.RecordBatch.from_arrays(
             [pa.array([b[0] for b in blocks], pa.string()), pa.array([b[1][1] for b in blocks], pa.int32()),
-             pa.array([np.array(b[1][0], np.int32) for b in blocks], pa.list_(pa.int32())),
+             pa.array([_bytes(np.array(b[1][0], np.int64)) for b in blocks], pa.binary()),
              pa.array([[w.decode("utf-8", "surrogatepass") for w in b[1][2]] for b in blocks], pa.list_(pa.string())),
              pa.array([b[1][3] for b in blocks], pa.list_(pa.int64()))], names=["lang", "owned", "codes", "words", "counts"])
 
@@ -128,8 +143,8 @@ def _blocks(docs: DataFrame, overlap: int) -> DataFrame:
             if found := builder.block(True):
                 yield rows([(lang, found)])
 
-    out = docs.mapInArrow(run, "lang string, owned int, codes array<int>, words array<string>, counts array<long>")
-    return materialize(out.withColumn("block", F.monotonically_increasing_id()))
+    out = docs.mapInArrow(run, "lang string, owned int, codes binary, words array<string>, counts array<long>")
+    return materialize(out.withColumn("block", F.monotonically_increasing_id()), GROUP_BYTES)
 
 
 def compact(codes: np.ndarray, owned: int) -> tuple[np.ndarray, int]:
@@ -227,7 +242,7 @@ def _count_pairs(blocks: DataFrame, n_ids: int, min_count: int) -> DataFrame:
 
         for batch in batches:
             for owned, codes in zip(batch.column("owned").to_pylist(), batch.column("codes"), strict=True):
-                x = codes.values.to_numpy(zero_copy_only=False).astype(np.int64)
+                x = _codes(codes)
                 a, b = x[:-1][:owned], x[1:][:owned]
                 both = (a >= 0) & (b >= 0)
                 held.append(np.stack([a[both], b[both]]))
@@ -275,30 +290,63 @@ def _ranked(found: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
     return out, out.count()
 
 
+def _rows(out: list[tuple[int, np.ndarray, int]]) -> Iterator[pa.RecordBatch]:
+    """Blocks (number, codes, owned), without those that own nothing any more."""
+    out = [(block, *compact(codes, owned)) for block, codes, owned in out]
+    out = [r for r in out if r[2]]
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.int32()),
+                                          pa.array([_bytes(r[1]) for r in out], pa.binary())], names=["block", "owned", "codes"])
+
+
 def _rewrite(blocks: DataFrame, lookup) -> DataFrame:
     """Blocks (block, owned, codes) with the ids that ``lookup(row)`` gives for every place."""
 
     def run(batches):
         for batch in batches:
-            out = []
-            for i in range(batch.num_rows):
-                codes, owned = compact(*lookup(batch, i))
-                if owned:
-                    out.append((batch.column("block")[i].as_py(), owned, codes))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int32()),
-                     pa.array([r[2] for r in out], pa.list_(pa.int64()))], names=["block", "owned", "codes"])
+            yield from _rows([(batch.column("block")[i].as_py(), *lookup(batch, i)) for i in range(batch.num_rows)])
+
+    return materialize(blocks.mapInArrow(run, "block long, owned int, codes binary"), GROUP_BYTES)
 
-    return materialize(blocks.mapInArrow(run, "block long, owned int, codes array<long>"))
+
+def _rewrite_found(blocks: DataFrame, found: DataFrame, apply) -> DataFrame:
+    """Blocks with the ids that ``apply(codes, found)`` gives for every place, ``found`` being the
+    block's rows of the table ``found`` (block, longs) in the order of its columns, as one matrix.  Sorted, a block comes
+    before what was found for it, so a task holds one block."""
+    names = [c for c in found.columns if c != "block"]
+    head = blocks.select("block", *[F.lit(None).cast("long").alias(c) for c in names], "owned", "codes")
+    both = head.unionByName(found.select("block", *names, F.lit(None).cast("int").alias("owned"), F.lit(None).cast("binary").alias("codes")))
+    n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = both.repartition(n, "block").sortWithinPartitions("block", *[F.col(c).asc_nulls_first() for c in names])
+
+    def run(batches):
+        block = codes = owned = None
+        held = []
+
+        def result():
+            rows = np.concatenate(held, axis=1) if held else np.zeros((len(names), 0), np.int64)
+            return _rows([(block, apply(codes, rows), owned)])
+
+        for batch in batches:
+            first = np.flatnonzero(batch.column("codes").is_valid().to_numpy(zero_copy_only=False)).tolist()
+            edges = [*([0] if not first or first[0] else []), *first, batch.num_rows]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                if batch.column("codes")[lo].is_valid:
+                    if block is not None:
+                        yield from result()
+                    block, owned, codes = batch.column("block")[lo].as_py(), batch.column("owned")[lo].as_py(), _codes(batch.column("codes")[lo])
+                    held, lo = [], lo + 1
+                if lo < hi:
+                    held.append(np.stack([batch.column(c).slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(np.int64) for c in names]))
+        if block is not None:
+            yield from result()
+
+    return materialize(both.mapInArrow(run, "block long, owned int, codes binary"), GROUP_BYTES)
 
 
 def _word_ids(blocks: DataFrame, vocabulary: DataFrame, n: int) -> DataFrame:
     """Blocks whose codes are the ranks of their words."""
 
-    def apply(codes, ids, owned):
-        return np.append(ids, BREAK)[codes.values.to_numpy(zero_copy_only=False)], owned  # place -1 is the break
-
     if n <= HEAD and (vocabulary.agg(F.sum(F.octet_length("word"))).first()[0] or 0) <= HEAD_BYTES:
         ranks: dict[str, dict[str, int]] = {}
         for r in vocabulary.select("lang", "word", "id").collect():
@@ -307,72 +355,67 @@ def _word_ids(blocks: DataFrame, vocabulary: DataFrame, n: int) -> DataFrame:
 
         def lookup(batch, i):
             known = shared.value.get(batch.column("lang")[i].as_py(), {})
-            ids = np.array([known.get(w, BREAK) for w in batch.column("words")[i].as_py()], np.int64)
-            return apply(batch.column("codes")[i], ids, batch.column("owned")[i].as_py())
+            ids = np.array([*(known.get(w, BREAK) for w in batch.column("words")[i].as_py()), BREAK], np.int64)  # place -1 is the break
+            return ids[_codes(batch.column("codes")[i])], batch.column("owned")[i].as_py()
 
         return _rewrite(blocks.select("block", "lang", "owned", "codes", "words"), lookup)
 
     place = blocks.select("block", "lang", F.posexplode("words").alias("place", "word"))
-    found = (place.join(vocabulary.select("lang", "word", "id"), ["lang", "word"])
-             .groupBy("block").agg(F.sort_array(F.collect_list(F.struct("place", "id"))).alias("found")))  # a block's different words
-    joined = blocks.select("block", "owned", "codes", F.size("words").alias("n")).join(found.select("block", "found.place", "found.id"), "block")
+    found = place.join(vocabulary.select("lang", "word", "id"), ["lang", "word"]).select("block", F.col("place").cast("long").alias("place"), "id")
 
-    def lookup_joined(batch, i):
-        ids = np.full(batch.column("n")[i].as_py(), BREAK, np.int64)
-        ids[batch.column("place")[i].values.to_numpy(zero_copy_only=False)] = batch.column("id")[i].values.to_numpy(zero_copy_only=False)
-        return apply(batch.column("codes")[i], ids, batch.column("owned")[i].as_py())
+    def apply(codes, found):
+        ids = np.full(int(codes.max(initial=0)) + 2, BREAK, np.int64)
+        ids[found[0]] = found[1]
+        ids[-1] = BREAK
+        return ids[codes]
 
-    return _rewrite(joined, lookup_joined)
+    return _rewrite_found(blocks, found, apply)
+
+
+def _keys(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Ascending keys of the pairs ``a``, ``b`` (sorted): the numbers of a, so that a key fits 64 bits,
+    times a step, and b.  Also the different a, and the step."""
+    first, group = np.unique(a, return_inverse=True)
+    step = int(b.max(initial=0)) + 1
+    return group * step + b, first, step
 
 
 def _pair_ids(blocks: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """Blocks whose codes are the ranks of the pairs that start at each place."""
 
-    def apply(codes, owned, a, b, ids):
-        """``a``, ``b`` sorted, with their ids."""
-        x = codes.values.to_numpy(zero_copy_only=False).astype(np.int64)
+    def apply(x, key, first, step, ids):
         out = np.full(len(x), BREAK, np.int64)
-        at = np.flatnonzero((x[:-1] >= 0) & (x[1:] >= 0))
-        if len(a) and len(at):
-            first, group = np.unique(a, return_inverse=True)  # numbers of a, so that a key fits 64 bits
-            step = max(int(b.max()), int(x.max())) + 1
-            key = group * step + b
+        at = np.flatnonzero((x[:-1] >= 0) & (x[1:] >= 0) & (x[1:] < step))
+        if len(key) and len(at):
             g = np.minimum(np.searchsorted(first, x[at]), len(first) - 1)
             want = np.where(first[g] == x[at], g * step + x[at + 1], -1)
             pos = np.minimum(np.searchsorted(key, want), len(key) - 1)
             hit = key[pos] == want
             out[at[hit]] = ids[pos[hit]]
-        return out, owned
+        return out
 
-    if n <= HEAD:
-        rows = pairs.select("a", "b", "id").collect()
-        table = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 3)
-        table = table[np.lexsort((table[:, 1], table[:, 0]))].T.copy()
-        shared = blocks.sparkSession.sparkContext.broadcast(table)  # HEAD entries at most
+    if n <= PAIRS * HEAD:
+        rows = pairs.select("a", "b", "id").toArrow()
+        a, b, ids = (rows.column(c).to_numpy().astype(np.int64) for c in ("a", "b", "id"))
+        order = np.lexsort((b, a))
+        shared = blocks.sparkSession.sparkContext.broadcast((*_keys(a[order], b[order]), ids[order]))  # PAIRS * HEAD entries at most
 
         def lookup(batch, i):
-            return apply(batch.column("codes")[i], batch.column("owned")[i].as_py(), *shared.value)
+            return apply(_codes(batch.column("codes")[i]), *shared.value), batch.column("owned")[i].as_py()
 
         return _rewrite(blocks, lookup)
 
     def distinct(batches):
         for batch in batches:
             for block, codes in zip(batch.column("block").to_pylist(), batch.column("codes"), strict=True):
-                x = codes.values.to_numpy(zero_copy_only=False).astype(np.int64)
+                x = _codes(codes)
                 both = (x[:-1] >= 0) & (x[1:] >= 0)
                 if both.any():
                     a, b = np.unique(np.stack([x[:-1][both], x[1:][both]]), axis=1)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), block)), pa.array(a), pa.array(b)], names=["block", "a", "b"])
 
-    found = (blocks.mapInArrow(distinct, "block long, a long, b long").join(pairs.select("a", "b", "id"), ["a", "b"])
-             .groupBy("block").agg(F.sort_array(F.collect_list(F.struct("a", "b", "id"))).alias("p")))  # a block's different pairs
-    joined = blocks.join(found.select("block", "p.a", "p.b", "p.id"), "block")
-
-    def lookup_joined(batch, i):
-        return apply(batch.column("codes")[i], batch.column("owned")[i].as_py(),
-                     *(batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("a", "b", "id")))
-
-    return _rewrite(joined, lookup_joined)
+    found = blocks.mapInArrow(distinct, "block long, a long, b long").join(pairs.select("a", "b", "id"), ["a", "b"]).select("block", "a", "b", "id")
+    return _rewrite_found(blocks, found, lambda codes, rows: apply(codes, *_keys(rows[0], rows[1]), rows[2]))
 
 
 def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 5, min_count: int = 100) -> tuple[DataFrame, DataFrame]:

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from cellspark.llm import collocations
@@ -111,3 +112,27 @@ def test_compact_keeps_all_pairs():
         pairs = lambda z, k: [(a, b) for i, (a, b) in enumerate(zip(z[:-1], z[1:], strict=True)) if i < k and a >= 0 and b >= 0]
         assert pairs(x.tolist(), owned) == pairs(y.tolist(), own)
         assert pairs(x.tolist(), 99) == pairs(y.tolist(), 99)
+
+
+def test_readers_hold_few_blocks(spark, monkeypatch):
+    """Row groups of written blocks hold a few blocks, whatever a task's share of the texts is, and
+    codes are bytes, which are read without a level per place."""
+    monkeypatch.setattr(collocations, "BLOCK", 1 << 12)
+    monkeypatch.setattr(collocations, "GROUP_BYTES", 1 << 16)
+    rng = random.Random(8)
+    rows = [("en", " ".join(rng.choices([f"w{i}" for i in range(600)], k=3000))) for _ in range(120)]
+    tables, real = [], collocations.materialize
+    monkeypatch.setattr(collocations, "materialize", lambda df, *a: tables.append(real(df, *a)) or tables[-1])
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    found = [tuple(r) for r in collocations.phrases(df, max_words=3, min_count=2)[0].select("phrase", "a").collect()]
+    assert len(found) > 600
+    seen = 0
+    for t in tables:
+        if "codes" in t.columns:
+            assert dict(t.dtypes)["codes"] == "binary"
+            for f in t.inputFiles():
+                meta = pq.ParquetFile(f.removeprefix("file:")).metadata
+                groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
+                assert all(g.num_rows <= 12 for g in groups), [g.num_rows for g in groups]
+                seen += len(groups)
+    assert seen >= 20
